@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reconciled marts are batch rebuilds of warehouse tables; the source has no
+stream, watermark, window or state anywhere. Nothing is added here beyond what
+the source computes (see README, "Not built").
+"""
