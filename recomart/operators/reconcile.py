@@ -93,11 +93,23 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
                          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
                          max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
                          rows_per_salt: int | None = None,
-                         max_salt: int = DEFAULT_MAX_SALT) -> DataFrame:
+                         max_salt: int = DEFAULT_MAX_SALT,
+                         left_keys: DataFrame | None = None,
+                         right_keys: DataFrame | None = None) -> DataFrame:
     """``left`` FULL OUTER JOIN ``right`` ON left_key = right_key, skew-safe.
 
     Column names of the two sides must be disjoint. ``hot_key_rows=None``
     turns the hot-key path off (NULL-key split only).
+
+    ``left_keys`` / ``right_keys``: optional one-column DataFrames with exactly
+    the same *set* of keys as the side (counts may be lower, e.g. before a
+    fan-out join). They only feed the key-count pass, so a side produced by a
+    long join chain need not be computed twice. Presence on each side must be
+    exact because one-sided hot keys skip the join.
+
+    The hot-key list is collected at planning time; it has at most
+    ``max_hot_keys`` rows by construction, whatever the input size. With no hot
+    key the plan is the NULL-key split plus one ordinary full join.
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
@@ -115,8 +127,15 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
         return _union(parts, out_cols)
 
     rows_per_salt = rows_per_salt or hot_key_rows
-    hot = F.broadcast(hot_keys(key_counts(l_nn, r_nn, left_key, right_key),
-                               hot_key_rows, max_hot_keys, rows_per_salt, max_salt))
+    lks = l_nn if left_keys is None else left_keys.toDF(left_key)
+    rks = r_nn if right_keys is None else right_keys.toDF(right_key)
+    hot_df = hot_keys(key_counts(lks, rks, left_key, right_key), hot_key_rows, max_hot_keys, rows_per_salt,
+                      max_salt)
+    hot_rows = hot_df.collect()  # bounded: at most max_hot_keys rows
+    if not hot_rows:
+        parts.insert(0, l_nn.join(r_nn, lk == rk, "full"))
+        return _union(parts, out_cols)
+    hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows, hot_df.schema))
     lt = l_nn.join(hot, lk == F.col(_K), "left")
     rt = r_nn.join(hot, rk == F.col(_K), "left")
 

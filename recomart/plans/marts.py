@@ -22,7 +22,8 @@ from ..operators.reconcile import DEFAULT_HOT_KEY_ROWS, full_outer_reconcile
 from ..operators.union import union_positional
 from ..sources.catalog import Sources
 from .deals import DealRules, crm_filter, stage_deals
-from .product import enriched_bookings, listings_with_landlords, requests_with_people
+from .product import (booking_contact_keys, enriched_bookings, listing_contact_keys, listings_with_landlords,
+                      request_contact_keys, requests_with_people)
 
 
 def _pfx(df: DataFrame, prefix: str) -> DataFrame:
@@ -86,7 +87,8 @@ def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None,
     """M1 / M8 / M8b / M8c / M8d."""
     left = _pfx(crm_bookings(src, spec, as_of), "pd__")
     right = _pfx(enriched_bookings(src, as_of, spec.contact), "prd__")
-    j = full_outer_reconcile(left, right, "pd__email", "prd__email", hot_key_rows=hot_key_rows)
+    j = full_outer_reconcile(left, right, "pd__email", "prd__email", hot_key_rows=hot_key_rows,
+                             right_keys=booking_contact_keys(src, spec.contact))
 
     prd_cls = X.price_class(prd("price"))
     if spec.needed_months:
@@ -156,7 +158,8 @@ def booking_mart_v1(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT
         "ll_pets_allowed", "nights_per_rent_duration", "min_nights_per_rent_duration",
         "max_nights_per_rent_duration"), "pd__")
     right = _pfx(enriched_bookings(src, as_of, "landlord", core_first=True), "prd__")
-    j = full_outer_reconcile(left, right, "pd__email", "prd__email", hot_key_rows=hot_key_rows)
+    j = full_outer_reconcile(left, right, "pd__email", "prd__email", hot_key_rows=hot_key_rows,
+                             right_keys=booking_contact_keys(src, "landlord"))
     flag = X.source_flag(pd("email"), prd("email"))
     nights = X.days_between(prd("booked_to"), prd("booked_from"))
     city = (F.when(pd("city").isNotNull() & prd("city").isNotNull(), prd("city"))
@@ -212,7 +215,8 @@ def listing_mart(src: Sources, as_of=None, extended: bool = False,
         F.col("ll_pets_allowed_bool").alias("pets_allowed"), "open_deal", "lost_deal", "won_deal",
         occupied.alias("ls_is_occupied"), requests.alias("ls_has_requests")), "pd__")
     right = _pfx(listings_with_landlords(src), "prd__")
-    j = full_outer_reconcile(left, right, "pd__email", "prd__freshworks_email", hot_key_rows=hot_key_rows)
+    j = full_outer_reconcile(left, right, "pd__email", "prd__freshworks_email", hot_key_rows=hot_key_rows,
+                             right_keys=listing_contact_keys(src))
     cols = [
         X.source_flag(pd("id"), prd("listing_id")).alias("source_flag"),
         X.prefer(prd("listing_id"), pd("id")).alias("distinct_ls_id"),
@@ -301,7 +305,8 @@ def request_mart(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT_HO
         F.col("ls_beds").alias("beds"), "listing_price", F.col("ls_rooms").alias("rooms"),
         F.col("ls_accommodates").alias("accommodates"), "deal_status", "status_reason", "adults", "children",
         "number_of_tenants", "tenant_has_pets", "pets_allowed"), "prd__")
-    j = full_outer_reconcile(left, right, "pd__email", "prd__te_email", hot_key_rows=hot_key_rows)
+    j = full_outer_reconcile(left, right, "pd__email", "prd__te_email", hot_key_rows=hot_key_rows,
+                             right_keys=request_contact_keys(src))
     prd_cls = X.price_class(prd("listing_price"))
     prd_pets = X.to_bool(prd("pets_allowed"))
     prd_te_pets = prd("tenant_has_pets").cast("boolean")

@@ -109,3 +109,30 @@ def requests_with_people(src: Sources, as_of=None, with_listing: bool = True) ->
         ls = _prefixed(src.listings, "ls_", LISTING_COLS)
         lr = lr.join(ls, F.col("listing_id") == F.col("ls_listing_id"), "left")
     return lr
+
+
+def booking_contact_keys(src: Sources, contact: str = "landlord") -> DataFrame:
+    """The contact e-mail of every booking (bookings LEFT JOIN contact dimension).
+
+    Same key set as ``enriched_bookings`` (its other joins are LEFT joins and do
+    not touch the e-mail), without the listing joins: a cheap input for the
+    hot-key count of the reconciliation."""
+    if contact == "landlord":
+        dim = src.landlords.select(F.col("landlord_id").alias("c_id"), F.col("freshworks_email").alias("k"))
+        on = F.col("landlord_id") == F.col("c_id")
+    else:
+        dim = src.users.select(F.col("user_id").alias("c_id"), F.col("email").alias("k"))
+        on = F.col("tenant_id") == F.col("c_id")
+    return src.bookings.select("landlord_id", "tenant_id").join(dim, on, "left").select("k")
+
+
+def listing_contact_keys(src: Sources) -> DataFrame:
+    """Landlord e-mail of every program listing (key source for the hot-key count)."""
+    dim = src.landlords.select(F.col("landlord_id").alias("c_id"), F.col("freshworks_email").alias("k"))
+    return src.listings.select("landlord_id").join(dim, F.col("landlord_id") == F.col("c_id"), "left").select("k")
+
+
+def request_contact_keys(src: Sources) -> DataFrame:
+    """Tenant e-mail of every listing request (key source for the hot-key count)."""
+    dim = src.users.select(F.col("user_id").alias("c_id"), F.col("email").alias("k"))
+    return src.listing_requests.select("tenant_id").join(dim, F.col("tenant_id") == F.col("c_id"), "left").select("k")
