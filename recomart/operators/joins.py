@@ -43,3 +43,20 @@ def anti(df: DataFrame, other: DataFrame, on: Column) -> DataFrame:
 
 def semi(df: DataFrame, other: DataFrame, on: Column) -> DataFrame:
     return df.join(other, on, "left_semi")
+
+
+def left_join_compressed(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
+    """``df`` LEFT JOIN ``other`` ON df_key = other_key, same rows, fan-out safe.
+
+    ``other`` (a few narrow columns) is first reduced to one row per distinct
+    (key, columns) with its number of copies -- map-side combined -- and the
+    joined rows are expanded back afterwards. A key that holds a large share of
+    ``other`` becomes a handful of rows instead of a right-side partition that
+    AQE cannot split; unmatched ``df`` rows keep one row with NULLs.
+    """
+    cnt = "__lj_copies"
+    cols = other.columns
+    compressed = other.where(F.col(other_key).isNotNull()).groupBy(*cols).agg(F.count(F.lit(1)).alias(cnt))
+    joined = df.join(compressed, F.col(df_key) == F.col(other_key), "left")
+    copies = F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col(cnt)))
+    return joined.select("*", copies.alias("__lj_copy")).drop(cnt, "__lj_copy")

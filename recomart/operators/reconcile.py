@@ -27,7 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_KEY_ROWS = 100_000
+DEFAULT_HOT_KEY_ROWS = 1_000_000       # input rows of one key (both sides) that make it hot
+DEFAULT_HOT_OUTPUT_ROWS = 100_000_000  # output rows of one key (left x right) that make it hot
+DEFAULT_OUTPUT_ROWS_PER_SALT = 20_000_000
 DEFAULT_MAX_HOT_KEYS = 10_000
 DEFAULT_MAX_SALT = 512
 
@@ -54,14 +56,23 @@ def key_counts(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
 
 
 def hot_keys(counts: DataFrame, hot_key_rows: int, max_hot_keys: int, rows_per_salt: int,
-             max_salt: int) -> DataFrame:
-    """Heaviest keys above the threshold, at most ``max_hot_keys`` rows (broadcastable)."""
-    weight = F.col(_NL) + F.col(_NR)
+             max_salt: int, hot_output_rows: int = DEFAULT_HOT_OUTPUT_ROWS,
+             output_rows_per_salt: int = DEFAULT_OUTPUT_ROWS_PER_SALT) -> DataFrame:
+    """Heaviest keys above either threshold, at most ``max_hot_keys`` rows (broadcastable).
+
+    A key is hot when its input rows (left + right) or its output rows
+    (left x right) exceed the thresholds. Its salt count spreads both the
+    split side (``rows_per_salt``) and the produced rows (``output_rows_per_salt``).
+    """
+    n_in = F.col(_NL) + F.col(_NR)
+    n_out = F.col(_NL).cast("double") * F.col(_NR).cast("double")
     biggest = F.greatest(F.col(_NL), F.col(_NR))
     salts = F.least(F.lit(max_salt).cast("long"),
-                    F.greatest(F.lit(1).cast("long"), F.ceil(biggest / F.lit(rows_per_salt)).cast("long")))
-    return (counts.where(weight > hot_key_rows)
-            .orderBy(weight.desc(), F.col(_K))
+                    F.greatest(F.lit(1).cast("long"),
+                               F.ceil(biggest / F.lit(rows_per_salt)).cast("long"),
+                               F.ceil(n_out / F.lit(float(output_rows_per_salt))).cast("long")))
+    return (counts.where((n_in > hot_key_rows) | (n_out > float(hot_output_rows)))
+            .orderBy((n_in + n_out).desc(), F.col(_K))
             .limit(max_hot_keys)
             .withColumn(_S, salts))
 
@@ -94,6 +105,8 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
                          max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
                          rows_per_salt: int | None = None,
                          max_salt: int = DEFAULT_MAX_SALT,
+                         hot_output_rows: int = DEFAULT_HOT_OUTPUT_ROWS,
+                         output_rows_per_salt: int = DEFAULT_OUTPUT_ROWS_PER_SALT,
                          left_keys: DataFrame | None = None,
                          right_keys: DataFrame | None = None) -> DataFrame:
     """``left`` FULL OUTER JOIN ``right`` ON left_key = right_key, skew-safe.
@@ -130,7 +143,7 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
     lks = l_nn if left_keys is None else left_keys.toDF(left_key)
     rks = r_nn if right_keys is None else right_keys.toDF(right_key)
     hot_df = hot_keys(key_counts(lks, rks, left_key, right_key), hot_key_rows, max_hot_keys, rows_per_salt,
-                      max_salt)
+                      max_salt, hot_output_rows, output_rows_per_salt)
     hot_rows = hot_df.collect()  # bounded: at most max_hot_keys rows
     if not hot_rows:
         parts.insert(0, l_nn.join(r_nn, lk == rk, "full"))

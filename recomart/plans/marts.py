@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import labels as L
+from ..operators.joins import left_join_compressed
 from ..operators.reconcile import DEFAULT_HOT_KEY_ROWS, full_outer_reconcile
 from ..operators.union import union_positional
 from ..sources.catalog import Sources
@@ -258,7 +259,7 @@ def listing_union_mart(src: Sources, as_of=None) -> DataFrame:
     prod = src.listings.join(ll, F.col("landlord_id") == F.col("ll_landlord_id"), "left")
 
     fw = prod.select(F.col("freshworks_email").alias("m_fw"))
-    crm_side = crm.join(fw, F.col("email") == F.col("m_fw"), "left")
+    crm_side = left_join_compressed(crm, fw, "email", "m_fw")
     null_b, null_s, null_l = F.lit(None).cast("boolean"), F.lit(None).cast("string"), F.lit(None).cast("long")
     branch1 = crm_side.select(
         F.lit("Pipedrive").alias("data_source"), F.col("email"),
@@ -385,7 +386,7 @@ def tenant_union_mart(src: Sources, as_of=None, with_reason: bool = True) -> Dat
         F.col("number_of_tenants").alias("p_n"), F.col("tenant_has_pets").alias("p_pets"),
         F.col("status_reason").alias("p_reason"))
     null_s, null_l = F.lit(None).cast("string"), F.lit(None).cast("long")
-    m = crm.join(prod.select("p_email", "p_created_at"), F.col("email") == F.col("p_email"), "left")
+    m = left_join_compressed(crm, prod.select("p_email", "p_created_at"), "email", "p_email")
     b1 = [F.lit("Pipedrive").alias("data_surce"), F.col("email"),
           X.true_or_null(F.col("email").isNull() & F.col("p_email").isNotNull()).alias("in_product"),
           X.true_or_null(F.col("email").isNotNull() & F.col("p_email").isNull()).alias("in_pipedrive"),

@@ -70,3 +70,25 @@ def test_reconcile_hot_copies_and_nulls(spark):
     got2 = full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=100, rows_per_salt=16,
                                 right_keys=r_df.select("rk").distinct())
     assert rows(got2) == expected
+
+
+def test_left_join_compressed_equals_left_join(spark):
+    from recomart.operators.joins import left_join_compressed
+    left = [("a", 1), ("b", 2), (None, 3), ("hot", 4), ("hot", 4)]
+    right = [("hot", "x")] * 50 + [("hot", "y")] * 3 + [("a", None), ("a", None), (None, "n"), ("z", "q")]
+    l_df = spark.createDataFrame(left, "k string, v long")
+    r_df = spark.createDataFrame(right, "rk string, rv string")
+    expected = rows(l_df.join(r_df, F.col("k") == F.col("rk"), "left"))
+    assert rows(left_join_compressed(l_df, r_df, "k", "rk")) == expected
+
+
+def test_output_weighted_hot_key(spark):
+    # 40 x 40 rows on one key: not hot by input (80 < 100) but hot by output (1600 > 500)
+    left = [("k", i) for i in range(40)] + [("c", 1)]
+    right = [("k", i) for i in range(40)] + [("d", 1)]
+    l_df = spark.createDataFrame(left, "lk string, lv long")
+    r_df = spark.createDataFrame(right, "rk string, rv long")
+    expected = rows(l_df.join(r_df, F.col("lk") == F.col("rk"), "full"))
+    got = full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=100, hot_output_rows=500,
+                               output_rows_per_salt=200, rows_per_salt=1000)
+    assert rows(got) == expected
