@@ -29,17 +29,34 @@ def as_of_date(as_of: str | _dt.date | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return f"{v}L"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(pairs, value_type: str | None = None) -> Column:
+    """A literal map column (one expression, parsed once)."""
+    body = ", ".join(f"{_sql_lit(k)}, {_sql_lit(v)}" for k, v in pairs)
+    m = F.expr(f"map({body})")
+    return m.cast(f"map<string,{value_type}>") if value_type else m
+
+
 def _lookup(col: ColumnOrName, table, pick, default, dtype: str | None = None) -> Column:
-    """First-match CASE over (answers, ...) rows; ``pick`` selects the result."""
+    """First-match CASE over disjoint (answers, ...) rows, as one literal-map probe.
+
+    ``map_contains_key`` keeps "answer found, value NULL" apart from "not found"
+    (which takes the default), exactly like the CASE ... ELSE it replaces; a
+    NULL input is "not found"."""
     c = _c(col)
-    out = None
-    for row in table:
-        answers = row[0]
-        val = pick(row)
-        lit = F.lit(val) if dtype is None else F.lit(val).cast(dtype)
-        out = F.when(c.isin(*answers), lit) if out is None else out.when(c.isin(*answers), lit)
+    pairs = [(a, pick(row)) for row in table for a in row[0]]
+    m = literal_map(pairs, dtype or "string")
     d = F.lit(default) if dtype is None else F.lit(default).cast(dtype)
-    return out.otherwise(d)
+    return F.when(F.map_contains_key(m, c), F.try_element_at(m, c)).otherwise(d)
 
 
 # -- D1, D5, D6, D7 ---------------------------------------------------------------
@@ -184,13 +201,10 @@ def merged_lower(prd: ColumnOrName, pd: ColumnOrName) -> Column:
 # -- D13, D14 ------------------------------------------------------------------------
 def needed_months_class(col: ColumnOrName) -> Column:
     """Free-text needed months -> class. Exact (code point) equality first,
-    via a literal map (one hash probe, no 80-branch CASE), then the LIKE rules,
+    via a literal map (one probe, no 80-branch CASE), then the LIKE rules,
     then 'Unknown'."""
     c = _c(col)
-    kv = []
-    for text, cls in L.NEEDED_MONTHS_EQUALS:
-        kv += [F.lit(text), F.lit(cls)]
-    exact = F.try_element_at(F.create_map(*kv), c)
+    exact = F.try_element_at(literal_map(L.NEEDED_MONTHS_EQUALS), c)
     like = None
     for pat, cls in L.NEEDED_MONTHS_LIKE:
         like = F.when(c.like(pat), F.lit(cls)) if like is None else like.when(c.like(pat), F.lit(cls))

@@ -38,12 +38,12 @@ _K, _NL, _NR, _S = "__rk_key", "__rk_nl", "__rk_nr", "__rk_salts"
 
 def _null_side(df: DataFrame, like: DataFrame) -> DataFrame:
     """Rows of ``df`` padded with typed NULL columns of ``like``."""
-    pads = [F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields]
-    return df.select(*[F.col(c) for c in df.columns], *pads)
+    pads = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in like.schema.fields]
+    return df.selectExpr("*", *pads)
 
 
 def _ordered(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.col(c) for c in cols])
+    return df if df.columns == cols else df.select(*cols)
 
 
 def key_counts(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -179,7 +179,7 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
 def _union(parts: list[DataFrame], cols: list[str]) -> DataFrame:
     out = _ordered(parts[0], cols)
     for p in parts[1:]:
-        out = out.unionByName(_ordered(p, cols))
+        out = out.unionByName(p)
     return out
 
 

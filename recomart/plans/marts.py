@@ -28,7 +28,7 @@ from .product import (booking_contact_keys, enriched_bookings, listing_contact_k
 
 
 def _pfx(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+    return df.toDF(*[prefix + c for c in df.columns])
 
 
 def pd(c: str):
@@ -306,8 +306,11 @@ def request_mart(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT_HO
         F.col("ls_beds").alias("beds"), "listing_price", F.col("ls_rooms").alias("rooms"),
         F.col("ls_accommodates").alias("accommodates"), "deal_status", "status_reason", "adults", "children",
         "number_of_tenants", "tenant_has_pets", "pets_allowed"), "prd__")
+    # Key source for the hot-key count: the CRM rows before the re-aggregation
+    # (every group keeps its e-mail, so the key set is the same; counts are upper bounds).
+    crm_keys = crm_filter(stage_deals(src.deals, DealRules(city="scalar"), as_of, pipeline=L.TENANT_PIPELINE))
     j = full_outer_reconcile(left, right, "pd__email", "prd__te_email", hot_key_rows=hot_key_rows,
-                             right_keys=request_contact_keys(src))
+                             left_keys=crm_keys.select("email"), right_keys=request_contact_keys(src))
     prd_cls = X.price_class(prd("listing_price"))
     prd_pets = X.to_bool(prd("pets_allowed"))
     prd_te_pets = prd("tenant_has_pets").cast("boolean")

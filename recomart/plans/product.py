@@ -21,8 +21,9 @@ from ..sources.catalog import Sources
 
 
 def _prefixed(df: DataFrame, prefix: str, cols: list[str] | None = None) -> DataFrame:
-    cols = cols or df.columns
-    return df.select(*[F.col(c).alias(prefix + c) for c in cols])
+    if cols:
+        df = df.select(*cols)
+    return df.toDF(*[prefix + c for c in df.columns])
 
 
 LISTING_COLS = ["listing_id", "city", "is_bookable", "is_online", "is_published", "is_deleted", "has_requests",

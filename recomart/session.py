@@ -4,6 +4,11 @@
 * ANSI mode stays on (Spark 4 default); tolerant casts use ``try_cast``.
 * AQE on, with skew-join splitting and partition coalescing, so join strategy
   (broadcast vs. sort-merge) is decided on runtime sizes, not guesses.
+* ``spark.sql.codegen.hugeMethodLimit=8000``: HotSpot does not JIT-compile
+  methods above 8000 bytes of bytecode, so a whole-stage-codegen method between
+  8000 and 64 KB would run interpreted (several times slower than the
+  non-fused fallback). Wide projections (the 65-column marts, the staging
+  projections) hit this; the limit makes Spark fall back for that subtree only.
 * The checkpoint folder is read from ``spark.checkpoint.dir``. A cluster sets it
   to a shared folder; only when it is unset (tests, local runs) do we set one.
 """
@@ -22,6 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -46,6 +52,7 @@ def apply_conventions(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     ensure_checkpoint_dir(spark)
 
 

@@ -37,6 +37,24 @@ class Sources:
         """Read each logical source from parquet with its declared schema."""
         return cls(**{f.name: spark.read.schema(SCHEMAS[f.name]).parquet(paths[f.name]) for f in fields(cls)})
 
+    def materialize(self, path: str, partitions: int | None = None) -> "Sources":
+        """Write every source once as parquet under ``path`` (a shared folder, e.g.
+        below ``spark.checkpoint.dir``) and bind to the written files.
+
+        This is the staging-model step: later marts read files (parallel scans,
+        no recomputation of the derivation, lineage cut so a lost executor
+        re-reads files instead of re-deriving)."""
+        spark = self.deals.sparkSession
+        out = {}
+        for f in fields(self):
+            df = getattr(self, f.name)
+            if partitions:
+                df = df.repartition(partitions)
+            target = f"{path.rstrip('/')}/{f.name}"
+            df.write.mode("overwrite").parquet(target)
+            out[f.name] = spark.read.parquet(target)
+        return Sources(**out)
+
     def register(self, prefix: str = "") -> None:
         """Expose every source as a temp view (for SQL users)."""
         for f in fields(self):
