@@ -52,10 +52,18 @@ def _lookup(col: ColumnOrName, table, pick, default, dtype: str | None = None) -
     ``map_contains_key`` keeps "answer found, value NULL" apart from "not found"
     (which takes the default), exactly like the CASE ... ELSE it replaces; a
     NULL input is "not found"."""
-    c = _c(col)
     pairs = [(a, pick(row)) for row in table for a in row[0]]
-    m = literal_map(pairs, dtype or "string")
-    d = F.lit(default) if dtype is None else F.lit(default).cast(dtype)
+    vtype = dtype or "string"
+    if isinstance(col, str):
+        # one parsed expression instead of a chain of driver round-trips
+        body = ", ".join(f"{_sql_lit(k)}, {_sql_lit(v)}" for k, v in pairs)
+        m = f"CAST(map({body}) AS MAP<STRING, {vtype.upper()}>)"
+        ref = "`" + col.replace("`", "``") + "`"
+        return F.expr(f"CASE WHEN map_contains_key({m}, {ref}) THEN try_element_at({m}, {ref}) "
+                      f"ELSE CAST({_sql_lit(default)} AS {vtype.upper()}) END")
+    c = _c(col)
+    m = literal_map(pairs, vtype)
+    d = F.lit(default).cast(vtype)
     return F.when(F.map_contains_key(m, c), F.try_element_at(m, c)).otherwise(d)
 
 

@@ -118,3 +118,12 @@ def crm_filter(df: DataFrame, pipeline: int | None = None, status: str | None =
     if status is not None:
         out = out.where(F.col("status") == status)
     return out
+
+
+def crm_emails(deals: DataFrame, pipeline: int | None = None) -> DataFrame:
+    """Primary e-mails of the deals that pass ``crm_filter`` (one column ``email``):
+    the key set of any staging of these deals, without the derived columns."""
+    src = deals if pipeline is None else deals.where(F.col("pipeline_id") == pipeline)
+    reason = F.coalesce(F.col("lost_reason"), F.lit(L.UNDEFINED))
+    return explode_primary(src.where(~reason.isin(*L.EXCLUDED_LOST_REASONS)), "person_id.email",
+                           out="email").select("email")

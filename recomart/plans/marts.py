@@ -22,7 +22,7 @@ from ..operators.joins import left_join_compressed
 from ..operators.reconcile import DEFAULT_HOT_KEY_ROWS, full_outer_reconcile
 from ..operators.union import union_positional
 from ..sources.catalog import Sources
-from .deals import DealRules, crm_filter, stage_deals
+from .deals import DealRules, crm_emails, crm_filter, stage_deals
 from .product import (booking_contact_keys, enriched_bookings, listing_contact_keys, listings_with_landlords,
                       request_contact_keys, requests_with_people)
 
@@ -308,9 +308,9 @@ def request_mart(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT_HO
         "number_of_tenants", "tenant_has_pets", "pets_allowed"), "prd__")
     # Key source for the hot-key count: the CRM rows before the re-aggregation
     # (every group keeps its e-mail, so the key set is the same; counts are upper bounds).
-    crm_keys = crm_filter(stage_deals(src.deals, DealRules(city="scalar"), as_of, pipeline=L.TENANT_PIPELINE))
     j = full_outer_reconcile(left, right, "pd__email", "prd__te_email", hot_key_rows=hot_key_rows,
-                             left_keys=crm_keys.select("email"), right_keys=request_contact_keys(src))
+                             left_keys=crm_emails(src.deals, L.TENANT_PIPELINE),
+                             right_keys=request_contact_keys(src))
     prd_cls = X.price_class(prd("listing_price"))
     prd_pets = X.to_bool(prd("pets_allowed"))
     prd_te_pets = prd("tenant_has_pets").cast("boolean")
