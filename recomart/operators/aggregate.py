@@ -17,11 +17,8 @@ from pyspark.sql import functions as F
 
 
 def non_null_elements(arr: Column) -> Column:
-    return F.filter(F.coalesce(arr, F.array().cast(arr_type_hint())), lambda x: x.isNotNull())
-
-
-def arr_type_hint() -> str:
-    return "array<string>"
+    """Elements that are not NULL; a NULL array counts as empty."""
+    return F.filter(F.coalesce(arr, F.array().cast("array<string>")), lambda x: x.isNotNull())
 
 
 def joined_or_null(arr: Column, sep: str = ",") -> Column:

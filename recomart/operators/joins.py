@@ -1,49 +1,17 @@
-"""Enrichment joins.
+"""Join helpers for the enrichment side.
 
-* ``size_checked_broadcast``: broadcast a side only if the optimizer's size
-  estimate of its plan is below a limit; otherwise leave the choice to AQE,
-  which re-plans with the runtime size after the shuffle map stage.
-* ``left_enrich``: LEFT JOIN on one equality (J5*), optional extra guard.
-* ``anti``: rows of ``df`` without a partner (J7).
+Join strategy is not hinted here: AQE re-plans each join from the runtime size
+of its shuffled inputs (broadcast below ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
+sort-merge or shuffled hash otherwise) and splits skewed partitions of the
+streamed side. The one helper below removes the case AQE cannot split: a hot
+key on the *right* side of a LEFT join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` (None if unavailable)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - plan stats not reachable (e.g. Spark Connect)
-        return None
-
-
-def size_checked_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """``F.broadcast(df)`` when its estimated size is known and under ``limit``."""
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
-def left_enrich(df: DataFrame, dim: DataFrame, on: Column, broadcast_limit: int | None = None) -> DataFrame:
-    """LEFT JOIN ``dim`` ON ``on``; ``broadcast_limit`` enables the size-checked hint."""
-    side = size_checked_broadcast(dim, broadcast_limit) if broadcast_limit else dim
-    return df.join(side, on, "left")
-
-
-def anti(df: DataFrame, other: DataFrame, on: Column) -> DataFrame:
-    return df.join(other, on, "left_anti")
-
-
-def semi(df: DataFrame, other: DataFrame, on: Column) -> DataFrame:
-    return df.join(other, on, "left_semi")
-
 
 def left_join_compressed(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
     """``df`` LEFT JOIN ``other`` ON df_key = other_key, same rows, fan-out safe.
