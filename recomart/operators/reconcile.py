@@ -10,12 +10,13 @@ Plain ``full`` joins have three scale problems, each handled here:
    skew-proof), capped to the heaviest ``max_hot_keys`` so the broadcast list has
    a fixed bound. Keys beyond the cap take the ordinary path, still correct.
 3. Within a hot key, copies of the same row would all get the same hash salt.
-   So the split side is first compressed to (row, copies), the copies are cut
-   into chunks of at most ``rows_per_salt``, each chunk is salted by a hash of
-   (row, chunk number), the other side is replicated once per salt, and the
-   joined rows are expanded back to their multiplicity. Every salt is a pure
-   function of the data, so a re-run task after an executor loss routes every
-   row exactly as before.
+   So both sides' hot rows are first compressed to (row, copies); on the
+   bigger side of each key the copies are cut into chunks of at most
+   ``rows_per_salt``, each chunk salted by a hash of (row, chunk number); the
+   other side is replicated once per salt; one inner join on (key, salt) meets
+   every pair exactly once and the output is expanded back to
+   copies_left x copies_right. Every salt is a pure function of the data, so a
+   re-run task after an executor loss routes every row exactly as before.
 
 Hot keys present on one side only need no join at all: they are emitted as
 one-sided rows straight away. Output = the same multiset of rows as
@@ -77,27 +78,51 @@ def hot_keys(counts: DataFrame, hot_key_rows: int, max_hot_keys: int, rows_per_s
             .withColumn(_S, salts))
 
 
-def _salted_inner(split: DataFrame, repl: DataFrame, split_key: str, repl_key: str,
-                  rows_per_salt: int) -> DataFrame:
-    """Inner join of hot-key rows; ``split`` is the bigger side, cut into salted chunks."""
-    cols = [c for c in split.columns if c != _S]
+def _prepare_hot_side(rows: DataFrame, split_col: str, rows_per_salt: int) -> DataFrame:
+    """Compress one side's hot-key rows to (row, copies) and give each a salt.
+
+    A row whose side is the *split* side for its key is cut into chunks of at
+    most ``rows_per_salt`` copies, each with salt = hash(row, chunk) mod salts.
+    A row of the *replicated* side is emitted once per salt, carrying all its
+    copies. ``__rk_cnt`` is the number of copies each output row stands for.
+    """
+    cols = [c for c in rows.columns if c not in (_S, split_col)]
     n, chunk, cnt, salt = "__rk_n", "__rk_chunk", "__rk_cnt", "__rk_salt"
-    compressed = split.groupBy(*cols, _S).agg(F.count(F.lit(1)).alias(n))
+    compressed = rows.groupBy(*cols, _S, split_col).agg(F.count(F.lit(1)).alias(n))
     nchunks = F.ceil(F.col(n) / F.lit(rows_per_salt)).cast("int")
-    chunked = (compressed
-               .withColumn(chunk, F.explode(F.sequence(F.lit(0), nchunks - 1)))
-               .withColumn(cnt, F.least(F.lit(rows_per_salt).cast("long"),
-                                        F.col(n) - F.col(chunk).cast("long") * rows_per_salt))
-               .withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.col(chunk)),
-                                        F.col(_S)))
-               .drop(n, chunk, _S))
-    replicated = repl.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.col(_S) - 1))).drop(_S)
-    rsalt = "__rk_rsalt"
-    replicated = replicated.withColumnRenamed(salt, rsalt)
-    joined = chunked.join(replicated, (F.col(split_key) == F.col(repl_key)) & (F.col(salt) == F.col(rsalt)),
-                          "inner")
-    expanded = joined.withColumn("__rk_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(cnt))))
-    return expanded.drop(salt, rsalt, cnt, "__rk_copy")
+    is_split = F.col(split_col)
+    chunked = compressed.withColumn(
+        chunk, F.explode(F.when(is_split, F.sequence(F.lit(0), nchunks - 1))
+                         .otherwise(F.sequence(F.lit(0), F.col(_S).cast("int") - 1))))
+    return (chunked
+            .withColumn(cnt, F.when(is_split, F.least(F.lit(rows_per_salt).cast("long"),
+                                                      F.col(n) - F.col(chunk).cast("long") * rows_per_salt))
+                        .otherwise(F.col(n)))
+            .withColumn(salt, F.when(is_split, F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.col(chunk)),
+                                                      F.col(_S)))
+                        .otherwise(F.col(chunk).cast("long")))
+            .drop(n, chunk, _S, split_col))
+
+
+def _salted_hot_join(l_hot: DataFrame, r_hot: DataFrame, left_key: str, right_key: str,
+                     rows_per_salt: int) -> DataFrame:
+    """Inner join of the rows of keys present on both sides, spread over salts.
+
+    Per key the bigger side is split, the other replicated; every (split chunk,
+    replicated row) pair meets in exactly one salt, so the join yields each
+    pair once and the expansion restores copies_left x copies_right rows."""
+    split_left = F.col(_NL) >= F.col(_NR)
+    lp = _prepare_hot_side(l_hot.withColumn("__rk_split", split_left).drop(_K, _NL, _NR), "__rk_split",
+                           rows_per_salt)
+    rp = _prepare_hot_side(r_hot.withColumn("__rk_split", ~split_left).drop(_K, _NL, _NR), "__rk_split",
+                           rows_per_salt)
+    lp = lp.withColumnRenamed("__rk_cnt", "__rk_lcnt").withColumnRenamed("__rk_salt", "__rk_lsalt")
+    rp = rp.withColumnRenamed("__rk_cnt", "__rk_rcnt").withColumnRenamed("__rk_salt", "__rk_rsalt")
+    joined = lp.join(rp, (F.col(left_key) == F.col(right_key)) & (F.col("__rk_lsalt") == F.col("__rk_rsalt")),
+                     "inner")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__rk_lcnt") * F.col("__rk_rcnt")))
+    return joined.select("*", copies.alias("__rk_copy")).drop("__rk_lcnt", "__rk_rcnt", "__rk_lsalt",
+                                                            "__rk_rsalt", "__rk_copy")
 
 
 def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,
@@ -130,14 +155,9 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
     out_cols = left.columns + right.columns
     lk, rk = F.col(left_key), F.col(right_key)
 
-    # 1. NULL keys: one-sided rows, no shuffle.
-    parts = [_null_side(left.where(lk.isNull()), right),
-             _ordered(_null_side(right.where(rk.isNull()), left), out_cols)]
     l_nn, r_nn = left.where(lk.isNotNull()), right.where(rk.isNotNull())
-
     if hot_key_rows is None:
-        parts.insert(0, l_nn.join(r_nn, lk == rk, "full"))
-        return _union(parts, out_cols)
+        return _plain_split(left, right, lk, rk, out_cols)
 
     rows_per_salt = rows_per_salt or hot_key_rows
     lks = l_nn if left_keys is None else left_keys.toDF(left_key)
@@ -146,34 +166,34 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
                       max_salt, hot_output_rows, output_rows_per_salt)
     hot_rows = hot_df.collect()  # bounded: at most max_hot_keys rows
     if not hot_rows:
-        parts.insert(0, l_nn.join(r_nn, lk == rk, "full"))
-        return _union(parts, out_cols)
+        return _plain_split(left, right, lk, rk, out_cols)
     hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows, hot_df.schema))
-    lt = l_nn.join(hot, lk == F.col(_K), "left")
-    rt = r_nn.join(hot, rk == F.col(_K), "left")
 
+    # Every input row is tagged once (broadcast hash join against the bounded
+    # hot list; NULL keys never match it) and read by three branches.
+    lt = left.join(hot, lk == F.col(_K), "left")
+    rt = right.join(hot, rk == F.col(_K), "left")
     stat_cols = [_K, _NL, _NR, _S]
-    # 2. Cold keys: ordinary shuffled full join.
-    cold = lt.where(F.col(_K).isNull()).drop(*stat_cols).join(
-        rt.where(F.col(_K).isNull()).drop(*stat_cols), lk == rk, "full")
-    parts.insert(0, cold)
-
-    # 3. Hot keys present on one side only: pass through.
-    parts.append(_null_side(lt.where(F.col(_K).isNotNull() & (F.col(_NR) == 0)).drop(*stat_cols), right))
-    parts.append(_ordered(_null_side(rt.where(F.col(_K).isNotNull() & (F.col(_NL) == 0)).drop(*stat_cols),
-                                     left), out_cols))
+    is_hot = F.col(_K).isNotNull()
 
-    # 4. Hot keys on both sides: salted inner join, the bigger side is split.
-    both = F.col(_K).isNotNull() & (F.col(_NL) > 0) & (F.col(_NR) > 0)
-    split_left = F.col(_NL) >= F.col(_NR)
-    l_hot, r_hot = lt.where(both), rt.where(both)
-    parts.append(_ordered(_salted_inner(
-        l_hot.where(split_left).drop(_K, _NL, _NR), r_hot.where(split_left).drop(_K, _NL, _NR),
-        left_key, right_key, rows_per_salt), out_cols))
-    parts.append(_ordered(_salted_inner(
-        r_hot.where(~split_left).drop(_K, _NL, _NR), l_hot.where(~split_left).drop(_K, _NL, _NR),
-        right_key, left_key, rows_per_salt), out_cols))
-    return _union(parts, out_cols)
+    # 1. Pass-through, no shuffle: NULL keys, and hot keys absent on the other side.
+    parts = [_null_side(lt.where(lk.isNull() | (is_hot & (F.col(_NR) == 0))).drop(*stat_cols), right),
+             _ordered(_null_side(rt.where(rk.isNull() | (is_hot & (F.col(_NL) == 0))).drop(*stat_cols), left),
+                      out_cols)]
+    # 2. Cold keys: ordinary shuffled full join.
+    cold = lt.where(lk.isNotNull() & ~is_hot).drop(*stat_cols).join(
+        rt.where(rk.isNotNull() & ~is_hot).drop(*stat_cols), lk == rk, "full")
+    # 3. Hot keys on both sides: one salted inner join.
+    both = is_hot & (F.col(_NL) > 0) & (F.col(_NR) > 0)
+    salted = _salted_hot_join(lt.where(both), rt.where(both), left_key, right_key, rows_per_salt)
+    return _union([cold] + parts + [salted], out_cols)
+
+
+def _plain_split(left: DataFrame, right: DataFrame, lk, rk, out_cols: list[str]) -> DataFrame:
+    """NULL keys one-sided without a shuffle; the rest through one full join."""
+    joined = left.where(lk.isNotNull()).join(right.where(rk.isNotNull()), lk == rk, "full")
+    return _union([joined, _null_side(left.where(lk.isNull()), right),
+                   _null_side(right.where(rk.isNull()), left)], out_cols)
 
 
 def _union(parts: list[DataFrame], cols: list[str]) -> DataFrame:
