@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_HOT_KEY_ROWS = 1_000_000       # input rows of one key (both sides) that make it hot
 DEFAULT_HOT_OUTPUT_ROWS = 100_000_000  # output rows of one key (left x right) that make it hot
@@ -39,8 +40,12 @@ _K, _NL, _NR, _S = "__rk_key", "__rk_nl", "__rk_nr", "__rk_salts"
 
 def _null_side(df: DataFrame, like: DataFrame) -> DataFrame:
     """Rows of ``df`` padded with typed NULL columns of ``like``."""
-    pads = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in like.schema.fields]
-    return df.selectExpr("*", *pads)
+    simple = all(not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) for f in like.schema.fields)
+    if simple:  # one parsed projection
+        pads = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name.replace('`', '``')}`"
+                for f in like.schema.fields]
+        return df.selectExpr("*", *pads)
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
 def _ordered(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -92,3 +92,16 @@ def test_output_weighted_hot_key(spark):
     got = full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=100, hot_output_rows=500,
                                output_rows_per_salt=200, rows_per_salt=1000)
     assert rows(got) == expected
+
+
+def test_reconcile_with_nested_columns(spark):
+    def srows(df):
+        return Counter(repr(tuple(r)) for r in df.collect())
+
+    left = spark.createDataFrame([("a", [("x", True)]), (None, None)],
+                                 "lk string, lnest array<struct<value:string,primary:boolean>>")
+    right = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "rk string, rv long")
+    expected = srows(left.join(right, F.col("lk") == F.col("rk"), "full"))
+    assert srows(full_outer_reconcile(right, left, "rk", "lk", hot_key_rows=None)) == srows(
+        right.join(left, F.col("rk") == F.col("lk"), "full"))
+    assert srows(full_outer_reconcile(left, right, "lk", "rk", hot_key_rows=1, rows_per_salt=1)) == expected
