@@ -6,7 +6,7 @@ Typical use::
     spark = build_session()
     src = Sources.from_tables(spark)            # or Sources.from_parquet / domain_sources
     df = marts.booking_mart(src, marts.M1, as_of="2024-01-01")
-    publish(df, "refugee_ll_bookings")
+    publish(df, "landlord_bookings")
 """
 
 from .plans import marts

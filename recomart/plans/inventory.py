@@ -100,8 +100,8 @@ def s7(spark, sf):
 def s8(spark, sf):
     """Publish a mart (parquet in the shared checkpoint folder) and read it back."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/marts/refugee_ll_{uuid.uuid4().hex}"
-    return publish(M.listing_union_mart(sources(spark, sf), AS_OF), "refugee_ll", mode="parquet", path=path)
+    path = f"{root}/marts/landlord_listings_{uuid.uuid4().hex}"
+    return publish(M.listing_union_mart(sources(spark, sf), AS_OF), "landlord_listings", mode="parquet", path=path)
 
 
 # ----------------------------------------------------------------------------- P

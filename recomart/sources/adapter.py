@@ -135,7 +135,7 @@ def crm_deals(orders: DataFrame) -> DataFrame:
 
 
 def program_listings(part: DataFrame) -> DataFrame:
-    """Program ('refugee') listings: parts with p_partkey % 5 <> 0."""
+    """Program listings: parts with p_partkey % 5 <> 0."""
     p, size = F.col("p_partkey"), F.col("p_size")
     nullflag = p % 13 == 0
     return part.where(p % 5 != 0).select(
