@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recomart.llm import bpe, mixing, secrets, simhash, toxicity
+from recomart.llm import bpe, mixing, secret_scan, simhash, toxicity
 from recomart.llm.queries import table, vocab_path
 from recomart.session import ensure_checkpoint_dir
 
@@ -28,7 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets found are masked in the text; no document goes."""
-    return secrets.redacted(docs)
+    return secret_scan.redacted(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,10 +5,14 @@ the columns of its contract."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, secrets, simhash, toxicity
+from ..session import ensure_checkpoint_dir
+from . import bpe, crosspolytope, langid, lm, maxscore, mixing, secret_scan, simhash, toxicity, warc
+from .common import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,14 +25,42 @@ def vocab_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = crosspolytope.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return g.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                     "component_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
+    model = langid.train(docs, ~F.col("held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder).withColumnRenamed("id", "page_id")
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    scored = lm.score(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2),
+                      vocab_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return scored.withColumnRenamed("id", "doc_id")
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return secret_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +78,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op7_secret_scan, op8_bpe, op9_toxicity, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_simhash, op3_language_id, op4_warc, op5_lm_score, op6_top_k,
+                                   op7_secret_scan, op8_bpe, op9_toxicity, op10_mixing)}
 
-ORACLES = {"op10_mixing": mixing.ORACLE}
+ORACLES = {"op1_embedding_dedup": crosspolytope.ORACLE, "op4_warc": warc.ORACLE, "op6_top_k": maxscore.ORACLE,
+           "op10_mixing": mixing.ORACLE}

@@ -238,11 +238,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    max_bits: int = 3) -> DataFrame:
     """One row per row of ``docs``: id, text_hash, fp, root (names the group), component_id (its smallest id)."""
     fps = C.cut(with_fingerprint(docs, id_col, text_col, shingle))
-    root = groups(fps, max_bits)
-    rows = fps.join(root, "fp")
-    label = (fps.groupBy("fp").agg(F.min("id").alias("low")).join(root, "fp")
-             .groupBy("root").agg(F.min("low").alias("component_id")))
-    return rows.join(label, "root").select("id", "text_hash", "fp", "root", "component_id")
+    # labels are made per fingerprint, so that a group's rows meet only through their fingerprint
+    known = fps.groupBy("fp").agg(F.min("id").alias("low")).join(groups(fps, max_bits), "fp")
+    label = known.groupBy("root").agg(F.min("low").alias("component_id"))
+    known = known.select("fp", "root").join(label, "root")
+    return fps.join(known, "fp").select("id", "text_hash", "fp", "root", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -251,9 +251,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows repeated exactly leave one row. All columns are kept; the text crosses
     one shuffle (the join with the keepers)."""
-    found = simhash_groups(docs, id_col, text_col, shingle, max_bits)
+    fps = C.cut(with_fingerprint(docs, id_col, text_col, shingle))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "fp", "text_hash")
-    keep = (found.groupBy("root").agg(F.min(order).alias("k"))
+    first = fps.groupBy("fp").agg(F.min(order).alias("k"))  # per fingerprint, then per group
+    keep = (first.join(groups(fps, max_bits), "fp").groupBy("root").agg(F.min("k").alias("k"))
             .select(F.col("k.id").alias("__keep_id"), F.col("k.text_hash").alias("__keep_hash")))
     kept = docs.withColumn("__hash", F.xxhash64(text_col)).join(
         keep, F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__hash") == F.col("__keep_hash")), "left_semi")
