@@ -24,7 +24,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from recomart.plans.inventory import AS_OF, sources  # noqa: E402
 from recomart.plans.marts import MARTS  # noqa: E402
-from recomart.operators.reconcile import DEFAULT_HOT_KEY_ROWS  # noqa: E402
 from recomart.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 
@@ -42,7 +41,7 @@ def main() -> None:
         # same code path as the timed runs: materialised staging, then the marts
         warm = sources(spark, warm_dir).materialize(f"{root}/bench_warm_{uuid.uuid4().hex}")
         for build in MARTS.values():
-            build(warm, AS_OF, DEFAULT_HOT_KEY_ROWS).write.format("noop").mode("overwrite").save()
+            build(warm, AS_OF).write.format("noop").mode("overwrite").save()
     # Staging step (timed, reported as its own entry): derive the domain tables
     # from the driver tables once and write them to the shared checkpoint folder,
     # as the warehouse materialises the staging models the marts read.
@@ -58,7 +57,7 @@ def main() -> None:
         samples = []
         for _ in range(runs):  # median of `runs` (plan building + execution each time)
             t0 = time.perf_counter()
-            build(src, AS_OF, DEFAULT_HOT_KEY_ROWS).write.format("noop").mode("overwrite").save()
+            build(src, AS_OF).write.format("noop").mode("overwrite").save()
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)

@@ -8,7 +8,29 @@ logic is checked against an independent formulation.
 
 from __future__ import annotations
 
-from recomart.sources import adapter as A
+import json
+import os
+from types import SimpleNamespace
+
+with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "labels.json"), encoding="utf-8") as _f:
+    #: The labels of the CRM forms as fixed values, stated apart from the package.
+    LABELS = SimpleNamespace(**json.load(_f))
+
+#: The adapter's vocabulary, restated: fixed values and their order.
+A = SimpleNamespace(
+    CITIES=["Berlin", "Hamburg", "München", "Köln", "Frankfurt", "Stuttgart",
+            "Düsseldorf", "Leipzig", "Dortmund", "Essen", "Bremen", "Dresden"],
+    DURATION_POOL=[a for row in LABELS.MAX_RENT_DURATION for a in row[0]] + ["Two weeks", None],
+    RENT_POOL=[a for row in LABELS.RENT_PER_PERSON for a in row[0]] + ["200 Euro", None],
+    PETS_POOL=[a for row in LABELS.PETS_POSSIBLE for a in row[0]] + ["Only cats", None],
+    PETS_TEXT_POOL=["%no %", "%without", "None%", "no pets", "none at all", "a small dog",
+                    "without animals", "i don't have any", "", "cat", "No Cats", "NONE", None],
+    DISABILITY_TEXT_POOL=["%no %", "%without", "None%", "no", "nobody", "without", "none needed",
+                          "I don't know", "wheelchair", "", "Blind person", None],
+    NEEDED_POOL=[row[0] for row in LABELS.NEEDED_MONTHS_EQUALS] + [
+        "I really dont know", "indefinitely", "A few weeks", "I don't know, indefinite", None],
+    PRIORITY_REASON={"1-URGENT": "Duplicate Data", "2-HIGH": "Flawed/Fake Data Entry", "4-NOT SPECIFIED": None},
+    MAIL_DOMAIN="@mail.example")
 
 AS_OF = "2000-06-30"
 
@@ -98,12 +120,12 @@ te_city_rows AS (
   FROM deal_emails de WHERE te_mode IN (3, 4, 5)
 ),
 bk_pairs AS (
-  SELECT l_orderkey, l_linenumber, min(l_partkey) AS partkey, min(l_suppkey) AS suppkey,
-         min(l_shipdate) AS shipdate
-  FROM lineitem GROUP BY l_orderkey, l_linenumber
+  SELECT l_orderkey, l_linenumber, l_partkey AS partkey, l_suppkey AS suppkey, l_shipdate AS shipdate,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) AS nth
+  FROM lineitem
 ),
 bookings AS (
-  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS booking_id,
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(nth AS VARCHAR) AS booking_id,
          CAST(suppkey AS VARCHAR) AS landlord_id,
          CAST(l_orderkey // 10 AS VARCHAR) AS tenant_id,
          CAST(partkey AS VARCHAR) AS listing_id,
@@ -117,7 +139,7 @@ bookings AS (
   FROM bk_pairs
 ),
 listings AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS listing_id,
+  SELECT CAST(p_partkey + CASE WHEN p_partkey % 5 = 0 THEN 10000000000 ELSE 0 END AS VARCHAR) AS listing_id,
          CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE CAST(p_partkey // 17 AS VARCHAR) END AS landlord_id,
          CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS city,
          CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size % 2 = 0 END AS is_bookable,
@@ -128,14 +150,16 @@ listings AS (
          CASE WHEN p_partkey % 3 = 0 THEN NULL
               ELSE CAST(DATE '1996-02-05' + CAST(p_partkey % 1000 AS INTEGER) AS TIMESTAMP) END AS available_to,
          CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(p_size % 7 AS BIGINT) END AS beds,
-         CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE round((p_retailprice - 900) * 10) - 50 END AS price,
+         CASE WHEN p_partkey % 23 = 0 THEN NULL WHEN p_partkey % 97 = 0 THEN 12345678.5::DOUBLE
+              WHEN p_partkey % 89 = 0 THEN 0.0001::DOUBLE WHEN p_partkey % 83 = 0 THEN 1e15::DOUBLE
+              ELSE round((p_retailprice - 900) * 10) - 50 END AS price,
          CAST(1 + p_size % 4 AS BIGINT) AS rooms, CAST(p_size % 9 AS BIGINT) AS accommodates,
          CAST(p_size * 2.5 AS DOUBLE) AS area,
          DATE '1995-03-02' + CAST(p_partkey % 1000 AS INTEGER) AS next_available_date
-  FROM part WHERE p_partkey % 5 <> 0
+  FROM part
 ),
 core_listings AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS listing_id, CAST(p_partkey // 17 AS VARCHAR) AS landlord_id,
+  SELECT CAST(p_partkey + CASE WHEN p_partkey % 4 = 0 THEN 10000000000 ELSE 0 END AS VARCHAR) AS listing_id, CAST(p_partkey // 17 AS VARCHAR) AS landlord_id,
          'core ' || p_type AS city, p_size % 2 = 1 AS is_bookable, TRUE AS is_online,
          p_size > 10 AS is_published, FALSE AS is_deleted, p_size % 3 = 0 AS has_requests,
          CAST(DATE '1994-06-01' + CAST(p_partkey % 700 AS INTEGER) AS TIMESTAMP) AS created_at,
@@ -145,19 +169,21 @@ core_listings AS (
          CAST(1 + p_size % 3 AS BIGINT) AS rooms, CAST(p_size % 6 AS BIGINT) AS accommodates,
          CAST(p_size * 3.0 AS DOUBLE) AS area,
          DATE '1994-08-01' + CAST(p_partkey % 700 AS INTEGER) AS next_available_date
-  FROM part WHERE p_partkey % 4 <> 0
+  FROM part
 ),
 landlords AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS landlord_id,
+  SELECT CAST(s_suppkey + CASE WHEN s_suppkey % 7 = 3 THEN 10000000000 ELSE 0 END AS VARCHAR) AS landlord_id,
          CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE {mail('user', 's_suppkey')} END AS freshworks_email
   FROM supplier
 ),
 users AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+  SELECT CAST(c_custkey + CASE WHEN c_custkey % 2 <> 0 THEN 10000000000 ELSE 0 END AS VARCHAR) AS user_id,
          CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE {mail('user', 'c_custkey')} END AS email
-  FROM customer WHERE c_custkey % 2 = 0
+  FROM customer
+),
+tenants AS (
+  SELECT CAST(c_custkey + CASE WHEN c_custkey % 3 = 0 THEN 10000000000 ELSE 0 END AS VARCHAR) AS tenant_id FROM customer
 ),
-tenants AS (SELECT CAST(c_custkey AS VARCHAR) AS tenant_id FROM customer WHERE c_custkey % 3 <> 0),
 listing_requests AS (
   SELECT 'lr' || CAST(o_orderkey AS VARCHAR) AS listing_request_id,
          CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_orderkey // 8 AS VARCHAR) END AS listing_id,
@@ -176,6 +202,6 @@ listing_requests AS (
          CAST(1 + o_orderkey % 3 + CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_orderkey % 2 END AS BIGINT)
            AS number_of_tenants,
          CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS tenant_has_pets,
-         CASE (o_orderkey // 3) % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS pets_allowed
-  FROM orders WHERE o_orderkey % 3 = 0
+         ['true', 'false', NULL, 'yes', '1', 'TRUE', 'no', 'False'][(o_orderkey // 3) % 8 + 1] AS pets_allowed
+  FROM orders
 )"""

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from recomart.functions import labels as L
 from recomart.plans.inventory import MART_RULES
 
-from .adapter import adapter_ctes, q
+from .adapter import LABELS as L, adapter_ctes, q
 from .marts import (ASOF, EXCLUDED, MART_SQL, case_in, days, disability_sql, floored, has_pets_sql,
                     needed_months_sql, number_text_sql, price_class_sql, staged_cols, stay_class_sql)
 
@@ -145,7 +144,7 @@ GROUP BY id, email"""),
     "f3": w("SELECT id, CASE WHEN status = 'won' THEN 'W' WHEN status = 'lost' THEN 'L' END AS s FROM deals"),
     "f4": w(f"""SELECT listing_request_id, {number_text_sql('listing_price')} AS price_text,
   CAST(adults AS VARCHAR) AS adults_text FROM listing_requests"""),
-    "f5": w("SELECT listing_request_id, TRY_CAST(pets_allowed AS BOOLEAN) AS pets_allowed FROM listing_requests"),
+    "f5": w("SELECT listing_request_id, CASE lower(pets_allowed) WHEN 'true' THEN TRUE WHEN 'false' THEN FALSE END AS pets_allowed FROM listing_requests"),
     "f6": w("SELECT id, CAST(add_time AS DATE) AS add_date, CAST(won_time AS DATE) AS won_date FROM deals"),
     "f7": w(f"SELECT booking_id, {days('booked_to', 'booked_from')} AS nights FROM bookings"),
     "f8": w(f"SELECT id, {ASOF} AS report_date, {days(ASOF, 'add_time')} AS days_since_added FROM deals"),
@@ -207,7 +206,7 @@ def _j8() -> str:
   {fb('price')} AS price, {fb('beds')} AS beds, {fb('city')} AS city, {fb('accommodates')} AS accommodates,
   {fb('rooms')} AS rooms, {fb('area')} AS area, {fb('next_available_date')} AS next_available_date,
   {fb('created_at')} AS listing_created_at, {fb('has_requests')} AS has_requests,
-  TRY_CAST(p.pets_allowed AS BOOLEAN) AS pets_allowed, b.number_of_tenants AS prd_number_of_tenants
+  CASE lower(p.pets_allowed) WHEN 'true' THEN TRUE WHEN 'false' THEN FALSE END AS pets_allowed, b.number_of_tenants AS prd_number_of_tenants
 FROM bookings b
 LEFT JOIN core_listings c ON b.listing_id = c.listing_id
 LEFT JOIN listings r ON r.listing_id = b.listing_id

@@ -326,12 +326,27 @@ def flag_from_truth(in_product: ColumnOrName, in_crm: ColumnOrName, both: Column
 
 
 def to_bool(col: ColumnOrName) -> Column:
-    """CAST(x AS BOOL), NULL for text that is no boolean."""
-    return _c(col).try_cast("boolean")
+    """CAST(x AS BOOL) of the warehouse: only true and false, in any case; NULL for other text."""
+    text = F.lower(_c(col))
+    return F.when(text == "true", True).when(text == "false", False)
 
 
 def number_text(col: ColumnOrName) -> Column:
-    """F4 for numbers: whole doubles print without '.0' (warehouse style), others as-is."""
+    """F4 for numbers: plain decimals at every size, no exponent, no trailing '.0' (warehouse style).
+
+    Spark prints doubles below 1e-3 and from 1e7 with an exponent; their digits
+    are moved to the place the exponent names."""
     c = _c(col)
-    whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
-    return F.when(whole, c.cast("long").cast("string")).otherwise(c.cast("string"))
+    text = F.regexp_replace(c.cast("string"), "^-", "")
+    mantissa = F.split_part(text, F.lit("E"), F.lit(1))
+    power = F.coalesce(F.try_to_number(F.split_part(text, F.lit("E"), F.lit(2)), F.lit("S999")).cast("int"), F.lit(0))
+    whole = F.split_part(mantissa, F.lit("."), F.lit(1))
+    digits = F.concat(whole, F.split_part(mantissa, F.lit("."), F.lit(2)))
+    point = F.length(whole) + power
+    padded = F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(1) - point, F.lit(0))), digits,
+                      F.repeat(F.lit("0"), F.greatest(point - F.length(digits), F.lit(0))))
+    at = F.greatest(point, F.lit(1))
+    fraction = F.rtrim(F.substring(padded, at + 1, F.length(padded)), F.lit("0"))
+    plain = F.concat(F.when(c < 0, "-").otherwise(""), F.substring(padded, F.lit(1), at),
+                     F.when(F.length(fraction) > 0, F.concat(F.lit("."), fraction)).otherwise(""))
+    return F.when(text.rlike("^[0-9]"), plain).otherwise(c.cast("string"))

@@ -1,8 +1,8 @@
 from .aggregate import distinct_pairs, regroup_string_agg, string_agg
-from .joins import left_join_compressed
-from .reconcile import full_outer_reconcile, left_plus_anti
+from .joins import left_join_split
+from .reconcile import full_outer_reconcile
 from .union import union_positional
 from .unnest import explode_keep_empty, explode_primary
 
-__all__ = ["distinct_pairs", "regroup_string_agg", "string_agg", "left_join_compressed", "full_outer_reconcile",
-           "left_plus_anti", "union_positional", "explode_keep_empty", "explode_primary"]
+__all__ = ["distinct_pairs", "regroup_string_agg", "string_agg", "left_join_split", "full_outer_reconcile",
+           "union_positional", "explode_keep_empty", "explode_primary"]

@@ -3,28 +3,26 @@
 Join strategy is not hinted here: AQE re-plans each join from the runtime size
 of its shuffled inputs (broadcast below ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
 sort-merge or shuffled hash otherwise) and splits skewed partitions of the
-streamed side. The one helper below removes the case AQE cannot split: a hot
+streamed side. The helper below covers the one case AQE cannot split: a hot
 key on the *right* side of a LEFT join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from .reconcile import _K, _distinct_keys, _keyed, _null_side
 
-def left_join_compressed(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
-    """``df`` LEFT JOIN ``other`` ON df_key = other_key, same rows, fan-out safe.
 
-    ``other`` (a few narrow columns) is first reduced to one row per distinct
-    (key, columns) with its number of copies -- map-side combined -- and the
-    joined rows are expanded back afterwards. A key that holds a large share of
-    ``other`` becomes a handful of rows instead of a right-side partition that
-    AQE cannot split; unmatched ``df`` rows keep one row with NULLs.
+def left_join_split(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
+    """``df`` LEFT JOIN ``other`` ON df_key = other_key, same rows, hot keys split on both sides.
+
+    Written as INNER JOIN plus the rows of ``df`` without a partner (LEFT ANTI the
+    distinct keys of ``other``): AQE splits either side of the inner join and
+    the streamed side of the anti join, and rows with a NULL key spread evenly
+    (see ``full_outer_reconcile``). Column names must be disjoint.
     """
-    cnt = "__lj_copies"
-    cols = other.columns
-    compressed = other.where(F.col(other_key).isNotNull()).groupBy(*cols).agg(F.count(F.lit(1)).alias(cnt))
-    joined = df.join(compressed, F.col(df_key) == F.col(other_key), "left")
-    copies = F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col(cnt)))
-    return joined.select("*", copies.alias("__lj_copy")).drop(cnt, "__lj_copy")
+    left, right = _keyed(df, df_key, "l"), _keyed(other, other_key, "r")
+    matched = left.join(right, _K).select(*df.columns, *other.columns)
+    alone = left.join(_distinct_keys(other.select(other_key)), _K, "left_anti").drop(_K)
+    return matched.unionByName(_null_side(alone, other))

@@ -1,41 +1,32 @@
 """Full outer reconciliation of two sources on one key (N:M kept).
 
-Plain ``full`` joins have three scale problems, each handled here:
-
-1. NULL keys never match but all hash to one shuffle partition. They are split
-   off and emitted as one-sided rows without any shuffle.
-2. A hot key (one e-mail holding a large share of the rows) lands in one task,
-   and Spark's skew-join splitting does not cover FULL OUTER. Hot keys are found
-   by a key-count pass (partially aggregated map-side, so the pass itself is
-   skew-proof), capped to the heaviest ``max_hot_keys`` so the broadcast list has
-   a fixed bound. Keys beyond the cap take the ordinary path, still correct.
-3. Within a hot key, copies of the same row would all get the same hash salt.
-   So both sides' hot rows are first compressed to (row, copies); on the
-   bigger side of each key the copies are cut into chunks of at most
-   ``rows_per_salt``, each chunk salted by a hash of (row, chunk number); the
-   other side is replicated once per salt; one inner join on (key, salt) meets
-   every pair exactly once and the output is expanded back to
-   copies_left x copies_right. Every salt is a pure function of the data, so a
-   re-run task after an executor loss routes every row exactly as before.
-
-Hot keys present on one side only need no join at all: they are emitted as
-one-sided rows straight away. Output = the same multiset of rows as
-``left.join(right, lk == rk, "full")``.
+``left FULL OUTER JOIN right`` is written as three joins Spark can split when a key
+is hot, which it cannot do for FULL OUTER itself:
+
+* matched pairs: ``left INNER JOIN right``; AQE splits a skewed partition of either side;
+* left rows without a partner: ``left LEFT ANTI`` the distinct right keys;
+* right rows without a partner: ``right LEFT ANTI`` the distinct left keys; in both,
+  AQE splits the streamed side, and the other side has one row per key.
+
+The joins use one text key per row that is never NULL: the key behind ``=``, or for a NULL
+key a side tag and a hash of the row. So NULL keys match nothing, spread evenly and
+need no branch of their own, and as no NULL filter separates the branches, each
+side's exchange is the same plan in both of its uses and is computed once (Spark
+reuses it). There is one plan at every size: no thresholds, no caps, no list of hot keys,
+no job while the plan is built. The distinct keys are partially aggregated before
+their shuffle; they may come from a cheaper source than the side itself.
+
+Output = the same multiset of rows as ``left.join(right, lk == rk, "full")`` for keys of
+string, integer, date or boolean type.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_HOT_KEY_ROWS = 1_000_000       # input rows of one key (both sides) that make it hot
-DEFAULT_HOT_OUTPUT_ROWS = 100_000_000  # output rows of one key (left x right) that make it hot
-DEFAULT_OUTPUT_ROWS_PER_SALT = 20_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
-DEFAULT_MAX_SALT = 512
-
-_K, _NL, _NR, _S = "__rk_key", "__rk_nl", "__rk_nr", "__rk_salts"
+_K = "__rk_key"
 
 
 def _null_side(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -48,172 +39,38 @@ def _null_side(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
-def _ordered(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df if df.columns == cols else df.select(*cols)
-
+def _matching(key: Column) -> Column:
+    return F.concat(F.lit("="), key.cast("string"))
 
-def key_counts(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """(key, rows on the left, rows on the right) for non-NULL keys, map-side combined."""
-    lk = left.where(F.col(left_key).isNotNull()).select(
-        F.col(left_key).alias(_K), F.lit(1).cast("long").alias(_NL), F.lit(0).cast("long").alias(_NR))
-    rk = right.where(F.col(right_key).isNotNull()).select(
-        F.col(right_key).alias(_K), F.lit(0).cast("long").alias(_NL), F.lit(1).cast("long").alias(_NR))
-    return lk.unionByName(rk).groupBy(_K).agg(F.sum(_NL).alias(_NL), F.sum(_NR).alias(_NR))
 
+def _keyed(df: DataFrame, key: str, side: str) -> DataFrame:
+    """``df`` plus the join key; a NULL key becomes the side's tag and a hash of the row."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    alone = F.concat(F.lit(side), F.xxhash64(*hashed).cast("string"))
+    return df.withColumn(_K, F.coalesce(_matching(F.col(key)), alone))
 
-def hot_keys(counts: DataFrame, hot_key_rows: int, max_hot_keys: int, rows_per_salt: int,
-             max_salt: int, hot_output_rows: int = DEFAULT_HOT_OUTPUT_ROWS,
-             output_rows_per_salt: int = DEFAULT_OUTPUT_ROWS_PER_SALT) -> DataFrame:
-    """Heaviest keys above either threshold, at most ``max_hot_keys`` rows (broadcastable).
 
-    A key is hot when its input rows (left + right) or its output rows
-    (left x right) exceed the thresholds. Its salt count spreads both the
-    split side (``rows_per_salt``) and the produced rows (``output_rows_per_salt``).
-    """
-    n_in = F.col(_NL) + F.col(_NR)
-    n_out = F.col(_NL).cast("double") * F.col(_NR).cast("double")
-    biggest = F.greatest(F.col(_NL), F.col(_NR))
-    salts = F.least(F.lit(max_salt).cast("long"),
-                    F.greatest(F.lit(1).cast("long"),
-                               F.ceil(biggest / F.lit(rows_per_salt)).cast("long"),
-                               F.ceil(n_out / F.lit(float(output_rows_per_salt))).cast("long")))
-    return (counts.where((n_in > hot_key_rows) | (n_out > float(hot_output_rows)))
-            .orderBy((n_in + n_out).desc(), F.col(_K))
-            .limit(max_hot_keys)
-            .withColumn(_S, salts))
-
-
-def _prepare_hot_side(rows: DataFrame, split_col: str, rows_per_salt: int) -> DataFrame:
-    """Compress one side's hot-key rows to (row, copies) and give each a salt.
-
-    A row whose side is the *split* side for its key is cut into chunks of at
-    most ``rows_per_salt`` copies, each with salt = hash(row, chunk) mod salts.
-    A row of the *replicated* side is emitted once per salt, carrying all its
-    copies. ``__rk_cnt`` is the number of copies each output row stands for.
-    """
-    cols = [c for c in rows.columns if c not in (_S, split_col)]
-    n, chunk, cnt, salt = "__rk_n", "__rk_chunk", "__rk_cnt", "__rk_salt"
-    compressed = rows.groupBy(*cols, _S, split_col).agg(F.count(F.lit(1)).alias(n))
-    nchunks = F.ceil(F.col(n) / F.lit(rows_per_salt)).cast("int")
-    is_split = F.col(split_col)
-    chunked = compressed.withColumn(
-        chunk, F.explode(F.when(is_split, F.sequence(F.lit(0), nchunks - 1))
-                         .otherwise(F.sequence(F.lit(0), F.col(_S).cast("int") - 1))))
-    return (chunked
-            .withColumn(cnt, F.when(is_split, F.least(F.lit(rows_per_salt).cast("long"),
-                                                      F.col(n) - F.col(chunk).cast("long") * rows_per_salt))
-                        .otherwise(F.col(n)))
-            .withColumn(salt, F.when(is_split, F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.col(chunk)),
-                                                      F.col(_S)))
-                        .otherwise(F.col(chunk).cast("long")))
-            .drop(n, chunk, _S, split_col))
-
-
-def _salted_hot_join(l_hot: DataFrame, r_hot: DataFrame, left_key: str, right_key: str,
-                     rows_per_salt: int) -> DataFrame:
-    """Inner join of the rows of keys present on both sides, spread over salts.
-
-    Per key the bigger side is split, the other replicated; every (split chunk,
-    replicated row) pair meets in exactly one salt, so the join yields each
-    pair once and the expansion restores copies_left x copies_right rows."""
-    split_left = F.col(_NL) >= F.col(_NR)
-    lp = _prepare_hot_side(l_hot.withColumn("__rk_split", split_left).drop(_K, _NL, _NR), "__rk_split",
-                           rows_per_salt)
-    rp = _prepare_hot_side(r_hot.withColumn("__rk_split", ~split_left).drop(_K, _NL, _NR), "__rk_split",
-                           rows_per_salt)
-    lp = lp.withColumnRenamed("__rk_cnt", "__rk_lcnt").withColumnRenamed("__rk_salt", "__rk_lsalt")
-    rp = rp.withColumnRenamed("__rk_cnt", "__rk_rcnt").withColumnRenamed("__rk_salt", "__rk_rsalt")
-    joined = lp.join(rp, (F.col(left_key) == F.col(right_key)) & (F.col("__rk_lsalt") == F.col("__rk_rsalt")),
-                     "inner")
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__rk_lcnt") * F.col("__rk_rcnt")))
-    return joined.select("*", copies.alias("__rk_copy")).drop("__rk_lcnt", "__rk_rcnt", "__rk_lsalt",
-                                                            "__rk_rsalt", "__rk_copy")
+def _distinct_keys(keys: DataFrame) -> DataFrame:
+    col = keys.columns[0]
+    return keys.where(F.col(col).isNotNull()).select(_matching(F.col(col)).alias(_K)).distinct()
 
 
 def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,
-                         hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-                         max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                         rows_per_salt: int | None = None,
-                         max_salt: int = DEFAULT_MAX_SALT,
-                         hot_output_rows: int = DEFAULT_HOT_OUTPUT_ROWS,
-                         output_rows_per_salt: int = DEFAULT_OUTPUT_ROWS_PER_SALT,
-                         left_keys: DataFrame | None = None,
-                         right_keys: DataFrame | None = None) -> DataFrame:
+                         left_keys: DataFrame | None = None, right_keys: DataFrame | None = None) -> DataFrame:
     """``left`` FULL OUTER JOIN ``right`` ON left_key = right_key, skew-safe.
 
-    Column names of the two sides must be disjoint. ``hot_key_rows=None``
-    turns the hot-key path off (NULL-key split only).
-
-    ``left_keys`` / ``right_keys``: optional one-column DataFrames with exactly
-    the same *set* of keys as the side (counts may be lower, e.g. before a
-    fan-out join). They only feed the key-count pass, so a side produced by a
-    long join chain need not be computed twice. Presence on each side must be
-    exact because one-sided hot keys skip the join.
-
-    The hot-key list is collected at planning time; it has at most
-    ``max_hot_keys`` rows by construction, whatever the input size. With no hot
-    key the plan is the NULL-key split plus one ordinary full join.
+    Column names of the two sides must be disjoint. ``left_keys`` / ``right_keys``:
+    optional one-column DataFrames with exactly the side's set of keys, for sides
+    whose keys are known before a long join chain.
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"column names must be disjoint, both sides have {sorted(overlap)}")
-    out_cols = left.columns + right.columns
-    lk, rk = F.col(left_key), F.col(right_key)
-
-    l_nn, r_nn = left.where(lk.isNotNull()), right.where(rk.isNotNull())
-    if hot_key_rows is None:
-        return _plain_split(left, right, lk, rk, out_cols)
-
-    rows_per_salt = rows_per_salt or hot_key_rows
-    lks = l_nn if left_keys is None else left_keys.toDF(left_key)
-    rks = r_nn if right_keys is None else right_keys.toDF(right_key)
-    hot_df = hot_keys(key_counts(lks, rks, left_key, right_key), hot_key_rows, max_hot_keys, rows_per_salt,
-                      max_salt, hot_output_rows, output_rows_per_salt)
-    hot_rows = hot_df.collect()  # bounded: at most max_hot_keys rows
-    if not hot_rows:
-        return _plain_split(left, right, lk, rk, out_cols)
-    hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows, hot_df.schema))
-
-    # Every input row is tagged once (broadcast hash join against the bounded
-    # hot list; NULL keys never match it) and read by three branches.
-    lt = left.join(hot, lk == F.col(_K), "left")
-    rt = right.join(hot, rk == F.col(_K), "left")
-    stat_cols = [_K, _NL, _NR, _S]
-    is_hot = F.col(_K).isNotNull()
-
-    # 1. Pass-through, no shuffle: NULL keys, and hot keys absent on the other side.
-    parts = [_null_side(lt.where(lk.isNull() | (is_hot & (F.col(_NR) == 0))).drop(*stat_cols), right),
-             _ordered(_null_side(rt.where(rk.isNull() | (is_hot & (F.col(_NL) == 0))).drop(*stat_cols), left),
-                      out_cols)]
-    # 2. Cold keys: ordinary shuffled full join.
-    cold = lt.where(lk.isNotNull() & ~is_hot).drop(*stat_cols).join(
-        rt.where(rk.isNotNull() & ~is_hot).drop(*stat_cols), lk == rk, "full")
-    # 3. Hot keys on both sides: one salted inner join.
-    both = is_hot & (F.col(_NL) > 0) & (F.col(_NR) > 0)
-    salted = _salted_hot_join(lt.where(both), rt.where(both), left_key, right_key, rows_per_salt)
-    return _union([cold] + parts + [salted], out_cols)
-
-
-def _plain_split(left: DataFrame, right: DataFrame, lk, rk, out_cols: list[str]) -> DataFrame:
-    """NULL keys one-sided without a shuffle; the rest through one full join."""
-    joined = left.where(lk.isNotNull()).join(right.where(rk.isNotNull()), lk == rk, "full")
-    return _union([joined, _null_side(left.where(lk.isNull()), right),
-                   _null_side(right.where(rk.isNull()), left)], out_cols)
-
-
-def _union(parts: list[DataFrame], cols: list[str]) -> DataFrame:
-    out = _ordered(parts[0], cols)
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def left_plus_anti(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Same rows as the full join, as ``left`` LEFT JOIN ``right`` plus the right rows
-    with no partner (LEFT ANTI). Both forms can use AQE's skew split on the left."""
-    out_cols = left.columns + right.columns
-    lk, rk = F.col(left_key), F.col(right_key)
-    matched = left.join(right, lk == rk, "left")
-    unmatched = right.join(left.select(lk.alias("__anti_k")).where(F.col("__anti_k").isNotNull()),
-                           rk == F.col("__anti_k"), "left_anti")
-    return _union([matched, _ordered(_null_side(unmatched, left), out_cols)], out_cols)
+    cols = left.columns + right.columns
+    lt, rt = _keyed(left, left_key, "l"), _keyed(right, right_key, "r")
+    lk = _distinct_keys(left.select(left_key) if left_keys is None else left_keys)
+    rk = _distinct_keys(right.select(right_key) if right_keys is None else right_keys)
+    matched = lt.join(rt, _K).select(*cols)
+    left_only = _null_side(lt.join(rk, _K, "left_anti").drop(_K), right)
+    right_only = _null_side(rt.join(lk, _K, "left_anti").drop(_K), left)
+    return matched.unionByName(left_only).unionByName(right_only)

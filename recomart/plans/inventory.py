@@ -8,6 +8,7 @@ Row-wise rules run on the staged CRM or product rows; the reconciliation rules
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,6 @@ from ..operators.aggregate import distinct_pairs, string_agg
 from ..operators.reconcile import full_outer_reconcile
 from ..operators.union import union_positional
 from ..operators.unnest import explode_keep_empty, explode_primary, primary_elements
-from ..session import ensure_checkpoint_dir
 from ..sources.adapter import domain_sources
 from ..sources.catalog import Sources
 from ..sources.sink import publish
@@ -30,15 +30,15 @@ from .product import enriched_bookings
 AS_OF = "2000-06-30"
 Query = Callable[[SparkSession, str], DataFrame]
 
-# cached per (session, sf_dir) so building many queries does not re-plan the adapter
-_SRC: dict = {}
+# cached per session (dropped with it) and sf_dir so building many queries does not re-plan the adapter
+_SRC: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    key = (id(spark), sf_dir)
-    if key not in _SRC:
-        _SRC[key] = domain_sources(spark, sf_dir)
-    return _SRC[key]
+    cached = _SRC.setdefault(spark, {})
+    if sf_dir not in cached:
+        cached[sf_dir] = domain_sources(spark, sf_dir)
+    return cached[sf_dir]
 
 
 def _deals(spark, sf):
@@ -92,16 +92,18 @@ def s6(spark, sf):
 
 def s7(spark, sf):
     """Logical names bound as views; the same SQL text runs on any binding."""
-    sources(spark, sf).register(prefix="rm_")
-    return spark.sql("SELECT listing_id, count(*) AS n_bookings, min(booked_from) AS first_booked_from "
-                     "FROM rm_bookings GROUP BY listing_id")
+    src, prefix = sources(spark, sf), f"rm_{uuid.uuid4().hex}_"
+    names = src.register(prefix=prefix)
+    found = spark.sql("SELECT listing_id, count(*) AS n_bookings, min(booked_from) AS first_booked_from "
+                      f"FROM {prefix}bookings GROUP BY listing_id")
+    for name in names:  # the query is resolved; the caller's session keeps no views
+        spark.catalog.dropTempView(name)
+    return found
 
 
 def s8(spark, sf):
-    """Publish a mart (parquet in the shared checkpoint folder) and read it back."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/marts/landlord_listings_{uuid.uuid4().hex}"
-    return publish(M.listing_union_mart(sources(spark, sf), AS_OF), "landlord_listings", mode="parquet", path=path)
+    """Publish a mart as a named table of the warehouse and read it back by name."""
+    return publish(M.listing_union_mart(sources(spark, sf), AS_OF), f"landlord_listings_{uuid.uuid4().hex}")
 
 
 # ----------------------------------------------------------------------------- P
@@ -238,12 +240,12 @@ def j3(spark, sf):
 
 
 def j4(spark, sf):
-    """Skew-safe full join; the hot-key threshold is low so the salted path runs."""
+    """Skew-safe full join: inner join plus both anti joins."""
     s = sources(spark, sf)
     left = _won_landlord_deals(s).select(F.col("id").alias("pd_id"), F.col("email").alias("pd_email"))
     right = _landlord_bookings(s).select(F.col("booking_id").alias("prd_booking_id"),
                                          F.col("freshworks_email").alias("prd_email"))
-    return full_outer_reconcile(left, right, "pd_email", "prd_email", hot_key_rows=100, rows_per_salt=50)
+    return full_outer_reconcile(left, right, "pd_email", "prd_email")
 
 
 def j5a(spark, sf):
@@ -344,13 +346,13 @@ def j7(spark, sf):
     ll = s.landlords.select(F.col("landlord_id").alias("l_id"), "freshworks_email")
     prod = s.listings.join(ll, F.col("landlord_id") == F.col("l_id"), "left")
     keys = crm_filter(stage_deals(s.deals, DealRules(), AS_OF, pipeline=L.LANDLORD_PIPELINE),
-                      L.LANDLORD_PIPELINE).select(F.col("email").alias("k")).where(F.col("k").isNotNull())
+                      L.LANDLORD_PIPELINE).select(F.col("email").alias("k")).where(F.col("k").isNotNull()).distinct()
     return prod.join(keys, F.col("freshworks_email") == F.col("k"), "left_anti").select("listing_id",
                                                                                        "freshworks_email")
 
 
 def j8(spark, sf):
-    return enriched_bookings(sources(spark, sf), AS_OF, "landlord").drop("pets_allowed_raw")
+    return enriched_bookings(sources(spark, sf), AS_OF, "landlord").drop("pets_allowed_raw", "contact_id")
 
 
 # ----------------------------------------------------------------------------- A / U
@@ -500,15 +502,15 @@ def d32(spark, sf):
 
 
 # ----------------------------------------------------------------------------- D (in a mart) and M
-def _mart(name: str, hot_key_rows: int | None = M.DEFAULT_HOT_KEY_ROWS):
+def _mart(name: str):
     def q(spark, sf):
-        return M.MARTS[name](sources(spark, sf), AS_OF, hot_key_rows)
+        return M.MARTS[name](sources(spark, sf), AS_OF)
     return q
 
 
 def _mart_cols(name: str, cols: list[str]):
     def q(spark, sf):
-        return M.MARTS[name](sources(spark, sf), AS_OF, M.DEFAULT_HOT_KEY_ROWS).select(*cols)
+        return M.MARTS[name](sources(spark, sf), AS_OF).select(*cols)
     return q
 
 

@@ -5,8 +5,8 @@ one reconciliation (full outer on e-mail, or left join UNION ALL anti join)
 + the merge rules of ``functions/expr.py``. The marts differ only in
 configuration, so each is a few lines over three builders.
 
-``as_of`` is the reporting date (None = today). ``hot_key_rows`` is handed to
-the skew-safe full join (see ``operators/reconcile.py``).
+``as_of`` is the reporting date (None = today). The full join is the skew-safe one
+of ``operators/reconcile.py``, the same plan at every size.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import labels as L
-from ..operators.joins import left_join_compressed
-from ..operators.reconcile import DEFAULT_HOT_KEY_ROWS, full_outer_reconcile
+from ..operators.joins import left_join_split
+from ..operators.reconcile import full_outer_reconcile
 from ..operators.union import union_positional
 from ..sources.catalog import Sources
 from .deals import DealRules, crm_emails, crm_filter, stage_deals
@@ -48,15 +48,16 @@ class BookingMart:
     rules: DealRules = DealRules()
     tenant_columns: bool = False  # pd/prd/merged number_of_tenants + is_published
     needed_months: bool = False   # free-text duration class drives the nights (D13/D14/D19b)
+    dimension_landlord: bool = False  # landlord_id of the landlord table (NULL without a landlord), not the booking's
 
 
-M1 = BookingMart(L.LANDLORD_PIPELINE, "landlord")
+M1 = BookingMart(L.LANDLORD_PIPELINE, "landlord", dimension_landlord=True)
 M8 = BookingMart(L.TENANT_PIPELINE, "tenant", "te_email", DealRules(has_pets_rule="like_c", disability_rule="like_b"),
                  tenant_columns=True)
 M8B = BookingMart(L.TENANT_PIPELINE, "tenant", "te_email", DealRules(has_pets_rule="like_d", disability_rule="like_c"),
                   tenant_columns=True)
 M8C = BookingMart(L.TENANT_PIPELINE, "landlord", "email", DealRules(has_pets_rule="like_c", disability_rule="like_b"),
-                  tenant_columns=True)
+                  tenant_columns=True, dimension_landlord=True)
 M8D = BookingMart(L.TENANT_PIPELINE, "tenant", "te_email", DealRules(has_pets_rule="like_d", disability_rule="like_c"),
                   tenant_columns=True, needed_months=True)
 
@@ -83,12 +84,11 @@ def crm_bookings(src: Sources, spec: BookingMart, as_of=None) -> DataFrame:
     return deals.select(*cols)
 
 
-def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None,
-                 hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None) -> DataFrame:
     """M1 / M8 / M8b / M8c / M8d."""
     left = _pfx(crm_bookings(src, spec, as_of), "pd__")
     right = _pfx(enriched_bookings(src, as_of, spec.contact), "prd__")
-    j = full_outer_reconcile(left, right, "pd__email", "prd__email", hot_key_rows=hot_key_rows,
+    j = full_outer_reconcile(left, right, "pd__email", "prd__email",
                              right_keys=booking_contact_keys(src, spec.contact))
 
     prd_cls = X.price_class(prd("price"))
@@ -103,7 +103,7 @@ def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None,
         pd("id").alias("pd_id"), prd("booking_id").alias("prd_bookingid"),
         X.prefer(prd("email"), pd("email")).alias(spec.email_name),
         pd("email").alias("pd_email"), prd("email").alias("prd_email"),
-        prd("landlord_id").alias("landlord_id"),
+        prd("contact_id" if spec.dimension_landlord else "landlord_id").alias("landlord_id"),
         X.prefer(F.to_date(prd("created_at")), pd("created_at")).alias("created_at"),
         pd("created_at").alias("pd_created_at"), prd("created_at").alias("prd_created_at"),
         prd("booked_from").alias("prd_booked_from"),
@@ -145,7 +145,7 @@ def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None,
     return j.select(*cols)
 
 
-def booking_mart_v1(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+def booking_mart_v1(src: Sources, as_of=None) -> DataFrame:
     """M2: first version -- core-first fallback, e-mail based flag and ids."""
     rules = DealRules(pets_as_int=True, has_pets_as_int=True)
     deals = crm_filter(stage_deals(src.deals, rules, as_of, pipeline=L.LANDLORD_PIPELINE),
@@ -159,7 +159,7 @@ def booking_mart_v1(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT
         "ll_pets_allowed", "nights_per_rent_duration", "min_nights_per_rent_duration",
         "max_nights_per_rent_duration"), "pd__")
     right = _pfx(enriched_bookings(src, as_of, "landlord", core_first=True), "prd__")
-    j = full_outer_reconcile(left, right, "pd__email", "prd__email", hot_key_rows=hot_key_rows,
+    j = full_outer_reconcile(left, right, "pd__email", "prd__email",
                              right_keys=booking_contact_keys(src, "landlord"))
     flag = X.source_flag(pd("email"), prd("email"))
     nights = X.days_between(prd("booked_to"), prd("booked_from"))
@@ -197,8 +197,7 @@ def booking_mart_v1(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT
 
 
 # ----------------------------------------------------------------------------- listings
-def listing_mart(src: Sources, as_of=None, extended: bool = False,
-                 hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+def listing_mart(src: Sources, as_of=None, extended: bool = False) -> DataFrame:
     """M4 (``extended=False``) and M5 (``extended=True``): landlord listings, full join."""
     if extended:
         rules = DealRules(city="explode", unsure_as_null=True, has_pets_rule="like_c", disability_rule="like_b")
@@ -216,7 +215,7 @@ def listing_mart(src: Sources, as_of=None, extended: bool = False,
         F.col("ll_pets_allowed_bool").alias("pets_allowed"), "open_deal", "lost_deal", "won_deal",
         occupied.alias("ls_is_occupied"), requests.alias("ls_has_requests")), "pd__")
     right = _pfx(listings_with_landlords(src), "prd__")
-    j = full_outer_reconcile(left, right, "pd__email", "prd__freshworks_email", hot_key_rows=hot_key_rows,
+    j = full_outer_reconcile(left, right, "pd__email", "prd__freshworks_email",
                              right_keys=listing_contact_keys(src))
     cols = [
         X.source_flag(pd("id"), prd("listing_id")).alias("source_flag"),
@@ -259,7 +258,7 @@ def listing_union_mart(src: Sources, as_of=None) -> DataFrame:
     prod = src.listings.join(ll, F.col("landlord_id") == F.col("ll_landlord_id"), "left")
 
     fw = prod.select(F.col("freshworks_email").alias("m_fw"))
-    crm_side = left_join_compressed(crm, fw, "email", "m_fw")
+    crm_side = left_join_split(crm, fw, "email", "m_fw")
     null_b, null_s, null_l = F.lit(None).cast("boolean"), F.lit(None).cast("string"), F.lit(None).cast("long")
     branch1 = crm_side.select(
         F.lit("Pipedrive").alias("data_source"), F.col("email"),
@@ -277,7 +276,7 @@ def listing_union_mart(src: Sources, as_of=None) -> DataFrame:
         F.col("open_deal").alias("pd_open_deal"), F.col("won_deal").alias("pd_won_deal"),
         F.col("lost_deal").alias("pd_lost_deal"))
     # Product rows whose e-mail has no CRM partner (NULL e-mails included): J7 anti join.
-    crm_keys = crm.select(F.col("email").alias("a_email")).where(F.col("a_email").isNotNull())
+    crm_keys = crm.select(F.col("email").alias("a_email")).where(F.col("a_email").isNotNull()).distinct()
     lonely = prod.join(crm_keys, F.col("freshworks_email") == F.col("a_email"), "left_anti")
     branch2 = lonely.select(
         F.lit("Product"), F.col("freshworks_email"),
@@ -290,7 +289,7 @@ def listing_union_mart(src: Sources, as_of=None) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- tenants
-def request_mart(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+def request_mart(src: Sources, as_of=None) -> DataFrame:
     """M6: tenant listing requests; CRM deals re-aggregated per person, full join on e-mail."""
     rules = DealRules(city="aggregate")
     deals = crm_filter(stage_deals(src.deals, rules, as_of, pipeline=L.TENANT_PIPELINE))
@@ -306,9 +305,8 @@ def request_mart(src: Sources, as_of=None, hot_key_rows: int | None = DEFAULT_HO
         F.col("ls_beds").alias("beds"), "listing_price", F.col("ls_rooms").alias("rooms"),
         F.col("ls_accommodates").alias("accommodates"), "deal_status", "status_reason", "adults", "children",
         "number_of_tenants", "tenant_has_pets", "pets_allowed"), "prd__")
-    # Key source for the hot-key count: the CRM rows before the re-aggregation
-    # (every group keeps its e-mail, so the key set is the same; counts are upper bounds).
-    j = full_outer_reconcile(left, right, "pd__email", "prd__te_email", hot_key_rows=hot_key_rows,
+    # Key source: the CRM rows before the re-aggregation (every group keeps its e-mail).
+    j = full_outer_reconcile(left, right, "pd__email", "prd__te_email",
                              left_keys=crm_emails(src.deals, L.TENANT_PIPELINE),
                              right_keys=request_contact_keys(src))
     prd_cls = X.price_class(prd("listing_price"))
@@ -389,7 +387,7 @@ def tenant_union_mart(src: Sources, as_of=None, with_reason: bool = True) -> Dat
         F.col("number_of_tenants").alias("p_n"), F.col("tenant_has_pets").alias("p_pets"),
         F.col("status_reason").alias("p_reason"))
     null_s, null_l = F.lit(None).cast("string"), F.lit(None).cast("long")
-    m = left_join_compressed(crm, prod.select("p_email", "p_created_at"), "email", "p_email")
+    m = left_join_split(crm, prod.select("p_email", "p_created_at"), "email", "p_email")
     b1 = [F.lit("Pipedrive").alias("data_surce"), F.col("email"),
           X.true_or_null(F.col("email").isNull() & F.col("p_email").isNotNull()).alias("in_product"),
           X.true_or_null(F.col("email").isNotNull() & F.col("p_email").isNull()).alias("in_pipedrive"),
@@ -402,7 +400,7 @@ def tenant_union_mart(src: Sources, as_of=None, with_reason: bool = True) -> Dat
               "adults"),
           F.col("te_number_of_children_under_18_").alias("number_of_children"), F.col("te_has_pets"),
           F.col("te_has_disability")]
-    crm_keys = crm.select(F.col("email").alias("a_email")).where(F.col("a_email").isNotNull())
+    crm_keys = crm.select(F.col("email").alias("a_email")).where(F.col("a_email").isNotNull()).distinct()
     lonely = prod.join(crm_keys, F.col("p_email") == F.col("a_email"), "left_anti")
     b2 = [F.lit("Product"), F.col("p_email"), X.true_or_null(F.col("p_email").isNotNull()),
           F.lit(None).cast("boolean"), F.lit(None).cast("boolean"), F.col("p_tenant_id"), F.col("p_listing_id"),
@@ -416,16 +414,16 @@ def tenant_union_mart(src: Sources, as_of=None, with_reason: bool = True) -> Dat
 
 
 MARTS = {
-    "m1": lambda s, a, h: booking_mart(s, M1, a, h),
-    "m2": lambda s, a, h: booking_mart_v1(s, a, h),
-    "m3": lambda s, a, h: listing_union_mart(s, a),
-    "m4": lambda s, a, h: listing_mart(s, a, False, h),
-    "m5": lambda s, a, h: listing_mart(s, a, True, h),
-    "m6": lambda s, a, h: request_mart(s, a, h),
-    "m7": lambda s, a, h: tenant_union_mart(s, a, True),
-    "m7b": lambda s, a, h: tenant_union_mart(s, a, False),
-    "m8": lambda s, a, h: booking_mart(s, M8, a, h),
-    "m8b": lambda s, a, h: booking_mart(s, M8B, a, h),
-    "m8c": lambda s, a, h: booking_mart(s, M8C, a, h),
-    "m8d": lambda s, a, h: booking_mart(s, M8D, a, h),
+    "m1": lambda s, a: booking_mart(s, M1, a),
+    "m2": lambda s, a: booking_mart_v1(s, a),
+    "m3": lambda s, a: listing_union_mart(s, a),
+    "m4": lambda s, a: listing_mart(s, a, False),
+    "m5": lambda s, a: listing_mart(s, a, True),
+    "m6": lambda s, a: request_mart(s, a),
+    "m7": lambda s, a: tenant_union_mart(s, a, True),
+    "m7b": lambda s, a: tenant_union_mart(s, a, False),
+    "m8": lambda s, a: booking_mart(s, M8, a),
+    "m8b": lambda s, a: booking_mart(s, M8B, a),
+    "m8c": lambda s, a: booking_mart(s, M8C, a),
+    "m8d": lambda s, a: booking_mart(s, M8D, a),
 }

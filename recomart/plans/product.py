@@ -1,13 +1,12 @@
 """Product-side inputs of the marts (bookings, listings, listing requests).
 
-Partitioning: the booking enrichment joins core listings, program listings and
-the distinct (listing_id, pets_allowed) pairs all on the *booking's*
-listing_id. The request pairs are written against the booking key with a
-guard ``program listing matched`` instead of the program listing's own key --
-same rows (the keys are equal whenever the guard holds) -- so all three joins
-share one hash partitioning of the bookings and Spark shuffles the big side
-once. Dimensions (landlords, users, tenants) are left to AQE, which turns them
-into broadcast joins when their runtime size is under the threshold.
+Partitioning: core listings, program listings and the distinct (listing_id,
+pets_allowed) pairs are first joined to each other by ``listing_id`` -- small inputs, one row
+per listing and pair -- and the bookings are then joined to the result once, as the
+streamed side of one LEFT join that AQE can split when a listing is hot (a chain
+of joins sharing one partitioning is not split). Dimensions (landlords, users,
+tenants) are left to AQE, which turns them into broadcast joins when their
+runtime size is under the threshold.
 """
 
 from __future__ import annotations
@@ -37,24 +36,26 @@ def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_
     ``core_first=False``: program value, else core value (current form, D17).
     ``core_first=True``: core value, else program value (first version, D17b).
     Requires ``booking_id`` to be a key of ``bookings`` (it is the primary key of
-    the bookings model); then joining core listings on the booking's listing_id
-    equals the source's self-join through booking_id.
+    the bookings model; ``Sources.require_keys`` checks it); then joining core
+    listings on the booking's listing_id equals the source's self-join through
+    booking_id. ``contact_id`` is the id of the landlord or user that was found.
     """
     bk = src.bookings
     core = _prefixed(src.core_listings, "core_", LISTING_COLS)
     rfg = _prefixed(src.listings, "rfg_", LISTING_COLS)
     pairs = _prefixed(distinct_pairs(src.listing_requests, "listing_id", "pets_allowed"), "lr_")
 
-    j = (bk.join(core, F.col("listing_id") == F.col("core_listing_id"), "left")
-         .join(rfg, F.col("listing_id") == F.col("rfg_listing_id"), "left")
-         .join(pairs, (F.col("listing_id") == F.col("lr_listing_id")) & F.col("rfg_listing_id").isNotNull(),
-               "left"))
+    # listings of either catalogue; a request pair counts only where the program lists the listing
+    both = core.join(rfg, F.col("core_listing_id") == F.col("rfg_listing_id"), "full")
+    info = (both.join(pairs, F.col("rfg_listing_id") == F.col("lr_listing_id"), "left")
+            .withColumn("info_listing_id", F.coalesce("rfg_listing_id", "core_listing_id")))
+    j = bk.join(info, F.col("listing_id") == F.col("info_listing_id"), "left")
     if contact == "landlord":
-        ll = src.landlords.select(F.col("landlord_id").alias("c_landlord_id"), F.col("freshworks_email").alias("contact"))
-        j = j.join(ll, F.col("landlord_id") == F.col("c_landlord_id"), "left")
+        ll = src.landlords.select(F.col("landlord_id").alias("contact_id"), F.col("freshworks_email").alias("contact"))
+        j = j.join(ll, F.col("landlord_id") == F.col("contact_id"), "left")
     elif contact == "tenant":
-        us = src.users.select(F.col("user_id").alias("c_user_id"), F.col("email").alias("contact"))
-        j = j.join(us, F.col("tenant_id") == F.col("c_user_id"), "left")
+        us = src.users.select(F.col("user_id").alias("contact_id"), F.col("email").alias("contact"))
+        j = j.join(us, F.col("tenant_id") == F.col("contact_id"), "left")
     else:
         raise ValueError(contact)
 
@@ -64,7 +65,7 @@ def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_
 
     return j.select(
         F.col("booking_id"), F.col("contact").alias("email"), F.col("landlord_id"), F.col("tenant_id"),
-        F.col("actual_booking_created_at").alias("created_at"),
+        F.col("contact_id"), F.col("actual_booking_created_at").alias("created_at"),
         F.col("booked_from"), F.col("booked_to"), F.col("is_canceled"), F.col("listing_id"),
         pick("is_online").alias("is_online"), pick("is_bookable").alias("is_bookable"),
         pick("is_published").alias("is_published"), pick("is_deleted").alias("is_deleted"),
@@ -117,7 +118,7 @@ def booking_contact_keys(src: Sources, contact: str = "landlord") -> DataFrame:
 
     Same key set as ``enriched_bookings`` (its other joins are LEFT joins and do
     not touch the e-mail), without the listing joins: a cheap input for the
-    hot-key count of the reconciliation."""
+    distinct keys of the reconciliation."""
     if contact == "landlord":
         dim = src.landlords.select(F.col("landlord_id").alias("c_id"), F.col("freshworks_email").alias("k"))
         on = F.col("landlord_id") == F.col("c_id")
@@ -128,12 +129,12 @@ def booking_contact_keys(src: Sources, contact: str = "landlord") -> DataFrame:
 
 
 def listing_contact_keys(src: Sources) -> DataFrame:
-    """Landlord e-mail of every program listing (key source for the hot-key count)."""
+    """Landlord e-mail of every program listing (key source of the reconciliation)."""
     dim = src.landlords.select(F.col("landlord_id").alias("c_id"), F.col("freshworks_email").alias("k"))
     return src.listings.select("landlord_id").join(dim, F.col("landlord_id") == F.col("c_id"), "left").select("k")
 
 
 def request_contact_keys(src: Sources) -> DataFrame:
-    """Tenant e-mail of every listing request (key source for the hot-key count)."""
+    """Tenant e-mail of every listing request (key source of the reconciliation)."""
     dim = src.users.select(F.col("user_id").alias("c_id"), F.col("email").alias("k"))
     return src.listing_requests.select("tenant_id").join(dim, F.col("tenant_id") == F.col("c_id"), "left").select("k")

@@ -9,8 +9,9 @@
   8000 and 64 KB would run interpreted (several times slower than the
   non-fused fallback). Wide projections (the 65-column marts, the staging
   projections) hit this; the limit makes Spark fall back for that subtree only.
-* The checkpoint folder is read from ``spark.checkpoint.dir``. A cluster sets it
-  to a shared folder; only when it is unset (tests, local runs) do we set one.
+* The checkpoint folder is read from ``spark.checkpoint.dir``. A cluster must set it
+  to a shared folder; a scratch one is made up only for a local master, where all
+  tasks run in one process. Registered queries leave the caller's settings alone.
 """
 
 from __future__ import annotations
@@ -53,11 +54,10 @@ def apply_conventions(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    ensure_checkpoint_dir(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if unset."""
+    """The shared checkpoint folder. Unset: a scratch folder on a local master, an error on a cluster."""
     try:
         sc = spark.sparkContext
     except Exception:  # pragma: no cover - sessions without a SparkContext handle
@@ -67,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="recomart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:

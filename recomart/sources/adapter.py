@@ -8,13 +8,17 @@ Every derived table grows with its driver table: deals and listing requests
 with ``orders``, bookings with ``lineitem``, listings with ``part``, landlords
 with ``supplier``, users and tenants with ``customer``.
 
-Nothing here shuffles except the bookings table, which groups ``lineitem`` by
-(l_orderkey, l_linenumber) so that ``booking_id`` is a key.
+Every driver row becomes a row of its table. Where the marts need keys that only
+partly overlap (listings in one catalogue, tenants without a user), the other rows
+get keys shifted out of the common range by ``SHIFT`` instead of being left out.
+
+Nothing here shuffles except the bookings table, which numbers the ``lineitem`` rows
+of equal (l_orderkey, l_linenumber) so that ``booking_id`` is a key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -35,6 +39,7 @@ NEEDED_POOL = [t for t, _ in L.NEEDED_MONTHS_EQUALS] + [
     "I really dont know", "indefinitely", "A few weeks", "I don't know, indefinite", None]
 PRIORITY_REASON = {"1-URGENT": "Duplicate Data", "2-HIGH": "Flawed/Fake Data Entry", "4-NOT SPECIFIED": None}
 MAIL_DOMAIN = "@mail.example"
+SHIFT = 10_000_000_000  # added to keys that no other table refers to
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -134,12 +139,18 @@ def crm_deals(orders: DataFrame) -> DataFrame:
     )
 
 
+def shifted(key: Column, away: Column) -> Column:
+    """The key as text, moved out of the common range where ``away`` holds."""
+    return F.when(away, key + F.lit(SHIFT)).otherwise(key.cast("long")).cast("string")
+
+
 def program_listings(part: DataFrame) -> DataFrame:
-    """Program listings: parts with p_partkey % 5 <> 0."""
+    """Program listings: one per part; every fifth has an id that no booking refers to."""
     p, size = F.col("p_partkey"), F.col("p_size")
     nullflag = p % 13 == 0
-    return part.where(p % 5 != 0).select(
-        p.cast("string").alias("listing_id"),
+    odd_price = (F.when(p % 97 == 0, F.lit(12345678.5)).when(p % 89 == 0, F.lit(0.0001)).when(p % 83 == 0, F.lit(1e15)))
+    return part.select(
+        shifted(p, p % 5 == 0).alias("listing_id"),
         F.when(p % 29 == 0, F.lit(None).cast("string")).otherwise(F.expr("CAST(p_partkey div 17 AS STRING)")).alias(
             "landlord_id"),
         F.when(p % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("city"),
@@ -154,7 +165,7 @@ def program_listings(part: DataFrame) -> DataFrame:
             _ts_from_day("1996-02-05", p % 1000)).alias("available_to"),
         F.when(nullflag, F.lit(None)).otherwise(size % 7).cast("long").alias("beds"),
         F.when(p % 23 == 0, F.lit(None).cast("double")).otherwise(
-            F.round((F.col("p_retailprice") - 900) * 10) - 50).alias("price"),
+            F.coalesce(odd_price, F.round((F.col("p_retailprice") - 900) * 10) - 50)).alias("price"),
         (1 + size % 4).cast("long").alias("rooms"),
         (size % 9).cast("long").alias("accommodates"),
         (size * 2.5).cast("double").alias("area"),
@@ -163,10 +174,10 @@ def program_listings(part: DataFrame) -> DataFrame:
 
 
 def core_listings(part: DataFrame) -> DataFrame:
-    """All-platform ('core') listings: parts with p_partkey % 4 <> 0, other values."""
+    """All-platform ('core') listings: one per part, other values; every fourth in this catalogue only."""
     p, size = F.col("p_partkey"), F.col("p_size")
-    return part.where(p % 4 != 0).select(
-        p.cast("string").alias("listing_id"),
+    return part.select(
+        shifted(p, p % 4 == 0).alias("listing_id"),
         F.expr("CAST(p_partkey div 17 AS STRING)").alias("landlord_id"),
         F.concat(F.lit("core "), F.col("p_type")).alias("city"),
         (size % 2 == 1).alias("is_bookable"),
@@ -189,34 +200,35 @@ def core_listings(part: DataFrame) -> DataFrame:
 def landlords(supplier: DataFrame) -> DataFrame:
     s = F.col("s_suppkey")
     return supplier.select(
-        s.cast("string").alias("landlord_id"),
+        shifted(s, s % 7 == 3).alias("landlord_id"),  # bookings of these suppliers find no landlord
         F.when(s % 10 == 0, F.lit(None).cast("string")).otherwise(mail("user", s)).alias("freshworks_email"),
     )
 
 
 def users(customer: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
-    return customer.where(c % 2 == 0).select(
-        c.cast("string").alias("user_id"),
+    return customer.select(
+        shifted(c, c % 2 != 0).alias("user_id"),
         F.when(c % 50 == 0, F.lit(None).cast("string")).otherwise(mail("user", c)).alias("email"),
     )
 
 
 def tenants(customer: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
-    return customer.where(c % 3 != 0).select(c.cast("string").alias("tenant_id"))
+    return customer.select(shifted(c, c % 3 == 0).alias("tenant_id"))
 
 
 def bookings(lineitem: DataFrame) -> DataFrame:
-    """One booking per (l_orderkey, l_linenumber); that pair is not unique in the
-    driver table, so the rest is reduced with MIN (partial aggregation map-side)."""
-    g = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("partkey"), F.min("l_suppkey").alias("suppkey"),
-        F.min("l_shipdate").alias("shipdate"))
+    """One booking per line item. (l_orderkey, l_linenumber) is not unique in the driver
+    table, so equal pairs (a handful of rows) are numbered by the columns that are used."""
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    g = lineitem.select(k, ln, F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey"),
+                        F.col("l_shipdate").alias("shipdate"))
+    g = g.withColumn("nth", F.row_number().over(
+        Window.partitionBy("l_orderkey", "l_linenumber").orderBy("partkey", "suppkey", "shipdate")))
     booked_from = F.to_date("shipdate")
     return g.select(
-        F.concat(k.cast("string"), F.lit("-"), ln.cast("string")).alias("booking_id"),
+        F.concat_ws("-", k.cast("string"), ln.cast("string"), F.col("nth").cast("string")).alias("booking_id"),
         F.col("suppkey").cast("string").alias("landlord_id"),
         F.expr("CAST(l_orderkey div 10 AS STRING)").alias("tenant_id"),
         F.col("partkey").cast("string").alias("listing_id"),
@@ -230,13 +242,13 @@ def bookings(lineitem: DataFrame) -> DataFrame:
 
 
 def listing_requests(orders: DataFrame) -> DataFrame:
-    """Listing requests: every third order."""
+    """Listing requests: one per order."""
     k = F.col("o_orderkey")
     req_from = F.date_add(F.to_date("o_orderdate"), 14)
     adults_ = (1 + k % 3).cast("long")
     children_ = F.when(k % 7 == 0, F.lit(None)).otherwise(k % 2).cast("long")
-    pets_idx = F.expr("(o_orderkey div 3) % 3")
-    return orders.where(k % 3 == 0).select(
+    pets = pick(["true", "false", None, "yes", "1", "TRUE", "no", "False"], F.expr("(o_orderkey div 3) % 8"))
+    return orders.select(
         F.concat(F.lit("lr"), k.cast("string")).alias("listing_request_id"),
         F.when(k % 37 == 0, F.lit(None).cast("string")).otherwise(F.expr("CAST(o_orderkey div 8 AS STRING)")).alias(
             "listing_id"),
@@ -255,7 +267,7 @@ def listing_requests(orders: DataFrame) -> DataFrame:
         children_.alias("children"),
         (adults_ + F.coalesce(children_, F.lit(0).cast("long"))).alias("number_of_tenants"),
         F.when(k % 5 == 0, F.lit(None).cast("boolean")).otherwise(k % 2 == 0).alias("tenant_has_pets"),
-        F.when(pets_idx == 0, F.lit("true")).when(pets_idx == 1, F.lit("false")).alias("pets_allowed"),
+        pets.alias("pets_allowed"),
     )
 
 

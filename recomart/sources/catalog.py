@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schemas import SCHEMAS
 
@@ -55,10 +56,21 @@ class Sources:
             out[f.name] = spark.read.parquet(target)
         return Sources(**out)
 
-    def register(self, prefix: str = "") -> None:
-        """Expose every source as a temp view (for SQL users)."""
-        for f in fields(self):
-            getattr(self, f.name).createOrReplaceTempView(prefix + f.name)
+    def register(self, prefix: str = "") -> list[str]:
+        """Expose every source as a temp view (for SQL users); returns the names of the views."""
+        names = [prefix + f.name for f in fields(self)]
+        for f, name in zip(fields(self), names):
+            getattr(self, f.name).createOrReplaceTempView(name)
+        return names
+
+    def require_keys(self, keys: dict[str, str] | None = None) -> None:
+        """Raise if a key column repeats a value. The marts rely on ``booking_id`` being a key;
+        one grouped count per source, of which only the first offender reaches the driver."""
+        for name, key in (keys or {"bookings": "booking_id"}).items():
+            twice = (getattr(self, name).where(F.col(key).isNotNull()).groupBy(key).count()
+                     .where("count > 1").limit(1).collect())
+            if twice:
+                raise ValueError(f"{name}.{key} is not unique: {twice[0][key]!r} occurs {twice[0]['count']} times")
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}

@@ -7,7 +7,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from recomart.operators.aggregate import regroup_string_agg, string_agg
-from recomart.operators.reconcile import full_outer_reconcile, left_plus_anti
+from recomart.operators.joins import left_join_split
+from recomart.operators.reconcile import full_outer_reconcile
 from recomart.operators.unnest import explode_keep_empty, explode_primary
 from recomart.sources.schemas import PERSON
 
@@ -45,52 +46,27 @@ keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "hot"]))
 
 @settings(max_examples=12, deadline=None)
 @given(left=st.lists(st.tuples(keys, st.integers(0, 3)), max_size=40),
-       right=st.lists(st.tuples(keys, st.integers(0, 3)), max_size=40),
-       hot=st.integers(1, 6))
-def test_reconcile_equals_full_join(spark, left, right, hot):
+       right=st.lists(st.tuples(keys, st.integers(0, 3)), max_size=40))
+def test_joins_equal_plain_joins(spark, left, right):
     l_df = spark.createDataFrame(left, "lk string, lv long")
     r_df = spark.createDataFrame(right, "rk string, rv long")
     expected = rows(l_df.join(r_df, F.col("lk") == F.col("rk"), "full"))
-    salted = full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=hot, rows_per_salt=2)
-    assert rows(salted) == expected
-    assert rows(full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=None)) == expected
-    assert rows(left_plus_anti(l_df, r_df, "lk", "rk")) == expected
+    assert rows(full_outer_reconcile(l_df, r_df, "lk", "rk")) == expected
+    assert rows(left_join_split(l_df, r_df, "lk", "rk")) == rows(l_df.join(r_df, F.col("lk") == F.col("rk"), "left"))
 
 
 def test_reconcile_hot_copies_and_nulls(spark):
     rnd = random.Random(7)
     left = [("hot", 1)] * 300 + [(None, 2)] * 50 + [(k, rnd.randint(0, 5)) for k in "abcdef" for _ in range(3)]
     right = [("hot", 9)] * 40 + [("hot", 8)] * 5 + [(None, 3)] * 20 + [("a", 1), ("only_r", 4)] * 3
+    left += [("l123", 1), ("r1", 2), ("=", 3), ("", 4)]  # keys that look like the tags of NULL rows
+    right += [("l123", 1), ("=", 3), ("", 5)]
     l_df = spark.createDataFrame(left, "lk string, lv long")
     r_df = spark.createDataFrame(right, "rk string, rv long")
     expected = rows(l_df.join(r_df, F.col("lk") == F.col("rk"), "full"))
-    got = full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=100, rows_per_salt=16, max_salt=8)
-    assert rows(got) == expected
-    # key source hint with the same key set (counts may differ) gives the same rows
-    got2 = full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=100, rows_per_salt=16,
-                                right_keys=r_df.select("rk").distinct())
-    assert rows(got2) == expected
-
-
-def test_left_join_compressed_equals_left_join(spark):
-    from recomart.operators.joins import left_join_compressed
-    left = [("a", 1), ("b", 2), (None, 3), ("hot", 4), ("hot", 4)]
-    right = [("hot", "x")] * 50 + [("hot", "y")] * 3 + [("a", None), ("a", None), (None, "n"), ("z", "q")]
-    l_df = spark.createDataFrame(left, "k string, v long")
-    r_df = spark.createDataFrame(right, "rk string, rv string")
-    expected = rows(l_df.join(r_df, F.col("k") == F.col("rk"), "left"))
-    assert rows(left_join_compressed(l_df, r_df, "k", "rk")) == expected
-
-
-def test_output_weighted_hot_key(spark):
-    # 40 x 40 rows on one key: not hot by input (80 < 100) but hot by output (1600 > 500)
-    left = [("k", i) for i in range(40)] + [("c", 1)]
-    right = [("k", i) for i in range(40)] + [("d", 1)]
-    l_df = spark.createDataFrame(left, "lk string, lv long")
-    r_df = spark.createDataFrame(right, "rk string, rv long")
-    expected = rows(l_df.join(r_df, F.col("lk") == F.col("rk"), "full"))
-    got = full_outer_reconcile(l_df, r_df, "lk", "rk", hot_key_rows=100, hot_output_rows=500,
-                               output_rows_per_salt=200, rows_per_salt=1000)
+    assert rows(full_outer_reconcile(l_df, r_df, "lk", "rk")) == expected
+    # a key source with the same key set gives the same rows
+    got = full_outer_reconcile(l_df, r_df, "lk", "rk", right_keys=r_df.select("rk").distinct())
     assert rows(got) == expected
 
 
@@ -102,6 +78,6 @@ def test_reconcile_with_nested_columns(spark):
                                  "lk string, lnest array<struct<value:string,primary:boolean>>")
     right = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "rk string, rv long")
     expected = srows(left.join(right, F.col("lk") == F.col("rk"), "full"))
-    assert srows(full_outer_reconcile(right, left, "rk", "lk", hot_key_rows=None)) == srows(
+    assert srows(full_outer_reconcile(right, left, "rk", "lk")) == srows(
         right.join(left, F.col("rk") == F.col("lk"), "full"))
-    assert srows(full_outer_reconcile(left, right, "lk", "rk", hot_key_rows=1, rows_per_salt=1)) == expected
+    assert srows(full_outer_reconcile(left, right, "lk", "rk")) == expected

@@ -1,7 +1,7 @@
 """Compare physical strategies for the two heavy operators.
 
-* J4 full outer reconciliation of M1's inputs: plain FULL JOIN, NULL-key split,
-  NULL-key split + hot-key pass (default), LEFT JOIN + LEFT ANTI.
+* J4 full outer reconciliation of M1's inputs: plain FULL JOIN; inner join plus both
+  anti joins (ours), with a cheap key source and with the side's own keys.
 * A1/A2 re-aggregation of M6's deals: explode + GROUP BY + ordered listagg
   (source form) vs. merging the per-row arrays (our form).
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from recomart.functions import labels as L  # noqa: E402
 from recomart.operators.aggregate import string_agg  # noqa: E402
-from recomart.operators.reconcile import full_outer_reconcile, left_plus_anti  # noqa: E402
+from recomart.operators.reconcile import full_outer_reconcile  # noqa: E402
 from recomart.operators.unnest import explode_keep_empty, explode_primary  # noqa: E402
 from recomart.plans import marts as M  # noqa: E402
 from recomart.plans.deals import AGG_NOT_SELECTED, DealRules, _derived, stage_deals  # noqa: E402
@@ -49,18 +49,14 @@ def main() -> None:
         left, right = m1_sides()
         return left.join(right, F.col("pd__email") == F.col("prd__email"), "full")
 
-    def null_split():
-        left, right = m1_sides()
-        return full_outer_reconcile(left, right, "pd__email", "prd__email", hot_key_rows=None)
-
-    def salted_default():
+    def split():
         left, right = m1_sides()
         return full_outer_reconcile(left, right, "pd__email", "prd__email",
                                     right_keys=booking_contact_keys(src, "landlord"))
 
-    def left_anti():
+    def split_own_keys():
         left, right = m1_sides()
-        return left_plus_anti(right, left, "prd__email", "pd__email")
+        return full_outer_reconcile(left, right, "pd__email", "prd__email")
 
     def a2_exploded():
         rows = explode_primary(src.deals.where(F.col("pipeline_id") == L.TENANT_PIPELINE))
@@ -72,8 +68,7 @@ def main() -> None:
     def a2_arrays():
         return stage_deals(src.deals, DealRules(city="aggregate"), AS_OF, pipeline=L.TENANT_PIPELINE)
 
-    variants = {"j4_plain_full": plain, "j4_null_split": null_split, "j4_null_split_hot_pass": salted_default,
-                "j4_left_plus_anti": left_anti, "a2_explode_groupby_listagg": a2_exploded,
+    variants = {"j4_plain_full": plain, "j4_inner_and_anti": split, "j4_inner_and_anti_own_keys": split_own_keys, "a2_explode_groupby_listagg": a2_exploded,
                 "a2_array_merge": a2_arrays}
     for build in variants.values():  # warm-up
         build().write.format("noop").mode("overwrite").save()
