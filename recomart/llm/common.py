@@ -3,11 +3,12 @@ splitting, local union-find and distributed connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -17,6 +18,26 @@ from ..session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import the package from where the driver has it, whatever folder the driver
+    was started in. It matters on one machine or a shared installation; elsewhere the package is
+    shipped as usual (``--py-files``)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with workers that can import this package."""
+    workers_find_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

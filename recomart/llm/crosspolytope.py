@@ -220,15 +220,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     # one row per vector length: a handful, unless every vector has a length of its own
     chosen = {r["dim"]: plan(r["n"], r["dim"], threshold, recall, probes)
               for r in nodes.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    hashed = C.cut(nodes.mapInArrow(_hash_rows(chosen, kind),
-                                    "node long, copies long, dim int, raw binary, codes array<long>"))
+    hashed = C.cut(C.map_arrow(nodes, _hash_rows(chosen, kind),
+                               "node long, copies long, dim int, raw binary, codes array<long>"))
     entries = (hashed.select("*", F.posexplode("codes").alias("pos", "code"))
                .withColumn("key", F.struct("dim", F.floor(F.col("pos") / F.lit(probes)).cast("int").alias("t"), "code"))
                .drop("pos", "code", "dim"))
     units = C.split_hot(entries, "key", "node", BLOCK_ROWS).select("key.*", "__unit", "__block", "node", "copies",
                                                                   "raw", "codes")
     dealt = units.repartition(*UNIT).sortWithinPartitions(*UNIT)
-    found = C.cut(dealt.mapInArrow(_compare(threshold, chosen, kind), "node long, links long, root long"))
+    found = C.cut(C.map_arrow(dealt, _compare(threshold, chosen, kind), "node long, links long, root long"))
     comp = C.connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = (nodes.join(links, "node", "left").join(comp, F.col("node") == F.col("id"), "left").drop("id")

@@ -124,7 +124,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                      pa.array(np.concatenate([f[2] for f in found]).astype(np.int64))],
                     ["query_id", "vec_id", "score"])
 
-    found = dealt.mapInArrow(run, "query_id long, vec_id long, score long")
+    found = C.map_arrow(dealt, run, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -146,7 +146,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach:
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), *[pa.array(c, t) for c, t in zip(cols, types)]], names)
 
-    return src.mapInArrow(run, f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, "
+    return C.map_arrow(src, run, f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, "
                                "spans string, n_weak long")
 
 
@@ -175,4 +175,4 @@ def redacted(docs: DataFrame, text_col: str = "text", reach: int = REACH) -> Dat
                 text = pa.array([redact(t, reach) for t in b.column(i).to_pylist()], b.schema.field(i).type)
                 yield pa.RecordBatch.from_arrays([*b.columns[:i], text, *b.columns[i + 1:]], b.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return C.map_arrow(docs, run, docs.schema)

@@ -103,7 +103,7 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, length: int) -
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), pa.array(fp)],
                                                  ["id", "text_hash", "fp"])
 
-    return src.mapInArrow(run, f"id {kind}, text_hash long, fp long")
+    return C.map_arrow(src, run, f"id {kind}, text_hash long, fp long")
 
 
 def planes(fp: np.ndarray) -> np.ndarray:
@@ -228,7 +228,7 @@ def groups(fps: DataFrame, max_bits: int = 3, block_rows: int = BLOCK_ROWS) -> D
     entries = bucket_entries(nodes, max_bits, parts)
     units = C.split_hot(entries, "key", "fp", block_rows).select("key.t", "key.v", "__unit", "fp")
     dealt = units.repartition(*UNIT).sortWithinPartitions(*UNIT)
-    edges = dealt.mapInArrow(_link_units(max_bits), "a long, b long")
+    edges = C.map_arrow(dealt, _link_units(max_bits), "a long, b long")
     comp = C.connected_components(edges)
     return (nodes.join(comp, nodes["fp"] == comp["id"], "left")
             .select("fp", F.coalesce("component", "fp").alias("root")))

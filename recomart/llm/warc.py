@@ -402,6 +402,7 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", uri_co
         F.when(again, record_id(F.col("first"), F.col("sha"))).alias("refers_to"),
         F.concat(F.lit("sha256:"), "sha").alias("digest"), F.lit("text/html; charset=UTF-8").alias("content_type"),
         F.when(~again, F.col("payload")).alias("payload"))
+    C.workers_find_package(spark)
     spark.dataSource.register(WarcDataSource)
     out.write.format("warc").mode("append").save(folder)
 
@@ -417,6 +418,7 @@ def open_archive(spark: SparkSession, folder: str, columns: str = SCHEMA) -> Dat
 
     Turns the session's pushdown for Python data sources on, without which Spark refuses
     a reader that takes filters."""
+    C.workers_find_package(spark)
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("warc").option("pushdown", "true").schema(columns).load(folder)
