@@ -14,8 +14,8 @@ presence of the ``FEATURES`` words and word beginnings that tell toxic from othe
 documents best (by chi-square over the labelled rows, among those more often toxic
 than not), found in the data, and the earlier links' probabilities.
 
-Training uses at most ``MAX_ROWS`` labelled documents (smallest hash of id and
-label first); that bound is the only sampling. Scoring reads every text whole.
+Training uses ``MAX_ROWS`` labelled documents in expectation (picked by a
+hash of id and label); that bound is the only sampling. Scoring reads every text whole.
 
 Defined results: a NULL or empty text scores like one without any feature word;
 rows without a label, with a NULL label or NULL id are scored but not learned
@@ -86,7 +86,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1, rounds: int = 15) -> np.ndarray:
     """Newton steps for logistic regression of rows that count ``n`` times, with an L2 penalty on all but the bias."""
     a = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(a.shape[1])
@@ -146,11 +146,13 @@ def select_words(texts: list, toxic: np.ndarray, count: int = FEATURES) -> dict:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Chain:
-    """Chain fitted on at most ``max_rows`` labelled documents, collected to the driver as sets of words' rows."""
+    """Chain fitted on about ``max_rows`` labelled documents, whose distinct words are collected to the driver."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), (F.col(label_col) != 0).alias("y"))
-    # the bounded sample is chosen on the narrow table; only its texts are then looked up
-    picked = known.orderBy(F.xxhash64("id", "y"), "id", "y").limit(max_rows)
+    # the bounded sample is chosen on the narrow table, by hash, so that what is collected does not depend on
+    # the number of partitions; only its texts are then looked up
+    share = int((1 << 53) * min(1.0, max_rows / max(known.count(), 1)))
+    picked = known.where(F.shiftrightunsigned(F.xxhash64("id", "y"), 11) < F.lit(share)).limit(2 * max_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
 
     def run(batches):
@@ -160,9 +162,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                              ["id", "y", "words"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = rows.select("id", "y", "text").mapInArrow(run, f"id {kind}, y boolean, words binary")
-    got = got.orderBy("id", "y", "words").limit(2 * max_rows).toArrow()
-    texts, toxic = got["words"].to_pylist(), np.array(got["y"].to_pylist(), dtype=bool)
+    got = C.map_arrow(rows.select("id", "y", "text"), run, f"id {kind}, y boolean, words binary")
+    got = got.limit(4 * max_rows).toArrow()  # a bound even if a picked id repeats without end
+    both = sorted(zip(got["id"].to_pylist(), got["y"].to_pylist(), got["words"].to_pylist()))
+    texts, toxic = [w for _, _, w in both], np.array([y for _, y, _ in both], dtype=bool)
     names = [*CATEGORIES, "other", "toxic"]
     if not len(toxic) or toxic.all() or not toxic.any():
         return Chain({}, names, [np.array([0.0] * k + [-40.0]) for k in range(len(names))])
@@ -194,7 +197,7 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: floa
                 [*b.columns, *[pa.array(p[:, k]) for k in range(p.shape[1])], pa.array(p[:, -1] >= threshold)],
                 names)
 
-    return base.mapInArrow(run, schema)
+    return C.map_arrow(base, run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
