@@ -29,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
 from .bpe import slices
 
 DIM = 1 << 13
-MAX_ROWS = 2000
+MAX_ROWS = 1200
+BROADCAST_LANGS = 10_000  # languages up to this number are broadcast (some 50 bytes each), more are joined by shuffle
 RIDGE = 0.05
 PIECE = 1 << 20      # bytes of a text that are hashed at a time
 ROWS = 256           # texts whose counts are held at a time
@@ -56,7 +58,7 @@ def gram_counts(text: str) -> np.ndarray:
 def features(counts: np.ndarray) -> np.ndarray:
     """Square roots of relative frequencies: rows of length 1."""
     total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    return np.sqrt(counts / total)
+    return np.sqrt(counts.astype(np.float32) / total.astype(np.float32))
 
 
 def has_letter(text: str) -> bool:
@@ -93,7 +95,7 @@ class Model:
     bit_weight: np.ndarray
 
     def losses(self, counts: np.ndarray) -> np.ndarray:
-        margin = features(counts).astype(np.float32) @ self.w + self.b
+        margin = features(counts) @ self.w + self.b
         hinge = np.maximum(0.0, 1.0 - margin[:, None, :] * self.code[None]) ** 2
         return hinge @ self.bit_weight
 
@@ -128,7 +130,7 @@ def fit(counts: np.ndarray, lang: list) -> Model:
         a, t = x[rows], y[rows]
         mean, off = a.mean(axis=0), t.mean(axis=0)
         a = a - mean
-        w = a.T @ np.linalg.solve(a @ a.T + RIDGE * np.eye(len(a)), t - off)
+        w = a.T @ np.linalg.solve((a @ a.T).astype(np.float64) + RIDGE * np.eye(len(a)), t - off)
         return w, off - mean @ w
 
     half = np.arange(len(x)) % 2 == 0
@@ -151,6 +153,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         return fit(np.zeros((0, DIM)), [])
     share = F.lit(max(8.0, max_rows / langs)) / F.col("__n")
     place = (F.shiftrightunsigned(F.xxhash64(id_col, text_col), 11)) / F.lit(float(1 << 53))
+    counts = F.broadcast(counts) if langs <= BROADCAST_LANGS else counts
     picked = rows.join(counts, F.col(lang_col) == F.col("__lang")).where(place < share)
 
     def run(batches):
@@ -158,10 +161,10 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
             flat = [gram_counts(t).astype(np.uint32).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(flat, pa.binary())], ["lang", "counts"])
 
-    got = (picked.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-           .mapInArrow(run, "lang string, counts binary").orderBy("lang", "counts").limit(4 * max_rows).toArrow())
-    rows = np.frombuffer(b"".join(got["counts"].to_pylist()), dtype=np.uint32).reshape(-1, DIM)
-    return fit(rows, got["lang"].to_pylist())
+    texts = picked.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    got = C.map_arrow(texts, run, "lang string, counts binary").limit(4 * max_rows).toArrow()
+    both = sorted(zip(got["lang"].to_pylist(), got["counts"].to_pylist()))  # the same order in every run
+    return fit(np.frombuffer(b"".join(c for _, c in both), dtype=np.uint32).reshape(-1, DIM), [v for v, _ in both])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -180,4 +183,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [*[b.column(c) for c in keep], pa.array(lang, pa.string()), pa.array(score), pa.array(close)], names)
 
-    return src.mapInArrow(run, schema)
+    return C.map_arrow(src, run, schema)
