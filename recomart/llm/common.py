@@ -166,5 +166,4 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
 
 
 def _checksum(e: DataFrame) -> tuple:
-    # 32-bit parts: the sum cannot overflow a long below 2^31 edges per node pair
-    return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit(0xFFFFFFFF)))).first())
+    return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
