@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections import deque
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -46,8 +47,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 WIDE = 48            # bytes of a piece that is solved in an array with others
-REMEMBERED = 400_000  # pieces in each of the two generations a worker remembers
-SLICE_BYTES = 4 << 20  # text handled at a time
+REMEMBERED = 200_000  # pieces in each of the two generations a worker remembers
+SLICE_BYTES = 2 << 20  # text handled at a time
 
 
 def byte_letters() -> dict[str, int]:
@@ -302,16 +303,15 @@ def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", out: str =
     schema = docs.select(*keep, F.array(F.lit(0)).alias(out)).schema
 
     def run(batches):
-        enc = _encoder(vocab_path)
-        for batch in batches:
-            for b in slices(batch, "__text"):
+        with task_encoder(vocab_path) as enc:
+            for b in (part for batch in batches for part in slices(batch, "__text")):
                 ids = enc.encode(b.column("__text").to_pylist())
                 flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
                 at = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], lists], [*keep, out])
 
-    return src.mapInArrow(run, schema)
+    return C.map_arrow(src, run, schema)
 
 
 def decode(tokens: DataFrame, vocab_path: str, ids_col: str = "token_ids", out: str = "text") -> DataFrame:
@@ -328,7 +328,7 @@ def decode(tokens: DataFrame, vocab_path: str, ids_col: str = "token_ids", out:
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(text, pa.string())],
                                              [*keep, out])
 
-    return src.mapInArrow(run, schema)
+    return C.map_arrow(src, run, schema)
 
 
 @lru_cache(maxsize=2)
@@ -336,16 +336,25 @@ def _encoder(path: str) -> Encoder:
     return Encoder(vocabulary(path))
 
 
+@contextmanager
+def task_encoder(path: str):
+    """The encoder for one task; its tables are given back at the end, so that idle workers stay small."""
+    try:
+        yield _encoder(path)
+    finally:
+        _encoder.cache_clear()
+        vocabulary.cache_clear()
+
+
 def digest(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode every text: id, n_tokens, ids_sha256, decoded_sha256 (both lower-case hex)."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches):
-        enc = _encoder(vocab_path)
-        number = [str(i) for i in range(enc.vocab.size)].__getitem__
-        for batch in batches:
-            for b in slices(batch, "text"):
+        with task_encoder(vocab_path) as enc:
+            number = [str(i) for i in range(enc.vocab.size)].__getitem__
+            for b in (part for batch in batches for part in slices(batch, "text")):
                 n, ids_hash, text_hash = [], [], []
                 for ids in enc.encode(b.column("text").to_pylist()):
                     listed = ids.tolist()
@@ -356,4 +365,4 @@ def digest(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
                     [b.column("id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()),
                      pa.array(text_hash, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return src.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return C.map_arrow(src, run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -46,6 +46,7 @@ MAX_ROWS = 8_000
 FEATURES = 256
 FOLDS = 5
 THRESHOLD = 0.5
+SLICE_ROWS = 512     # texts whose features are held at a time
 _TOKEN = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -191,7 +192,7 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: floa
 
     def run(batches):
         c = model.value
-        for b in batches:
+        for b in (batch.slice(k, SLICE_ROWS) for batch in batches for k in range(0, batch.num_rows, SLICE_ROWS)):
             p = c.predict(c.features(C.as_bytes(b.column(text_col))))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, *[pa.array(p[:, k]) for k in range(p.shape[1])], pa.array(p[:, -1] >= threshold)],
