@@ -351,15 +351,16 @@ def small_net(texts, epochs=2):
         sub.learn(w)
         ids.append(sub.ids(w))
     counts = np.bincount(np.concatenate(ids), minlength=sub.size).astype(float)
-    vocab = lm.make_vocab(counts, sub.end)
+    vocab = lm.make_vocab(counts, sub.end, sub.opens, ids)
     return lm.fit(ids, vocab, sub.end, epochs), vocab, ids, sub.end
 
 
 def test_lm_scores_every_token_once_and_sums_to_one():
     texts = [t for t in pq.read_table(f"{SF}/documents.parquet")["text"].to_pylist()[:60]]
     net, vocab, ids, end = small_net(texts)
-    # the shares of the ids of a class, and hence all ids, sum to one
-    assert np.allclose(np.bincount(vocab.cls, weights=np.exp(vocab.log_share), minlength=vocab.classes)[np.unique(vocab.cls)], 1)
+    # the shares of the ids of a class, and hence all ids, sum to one after every class
+    for row in vocab.log_follow:
+        assert np.allclose(np.bincount(vocab.cls, weights=np.exp(row.astype(float)), minlength=vocab.classes)[np.unique(vocab.cls)], 1, atol=1e-4)
     got = lm.log10_probs(net, vocab, ids[:12], end)
     for t, s in zip(ids[:12], got):
         # token by token, by the plain forward pass over its own window
@@ -373,7 +374,7 @@ def test_lm_scores_every_token_once_and_sums_to_one():
             a = np.exp(k @ q + net.p["dist"][len(window) - 1 - np.arange(len(window))])
             h = x[-1] + (a / a.sum()) @ v @ net.p["o"]
             z = h @ net.p["out"] + net.p["bias"]
-            total += z[vocab.cls[t[p]]] - np.log(np.exp(z).sum()) + vocab.log_share[t[p]]
+            total += z[vocab.cls[t[p]]] - np.log(np.exp(z).sum()) + vocab.log_follow[vocab.cls[inputs[p]], t[p]]
         assert s == pytest.approx(total / np.log(10), rel=1e-4)
 
 
