@@ -416,6 +416,51 @@ def test_lm_edge_rows(spark):
     assert lm.score(docs_of(spark, EDGE).limit(0), F.lit(False), queries.vocab_path("byte_bpe_50k.tiktoken"), bpe.PATTERN).count() == 0
 
 
+def test_lm_learns_from_all_training_texts(spark, monkeypatch):
+    path = queries.vocab_path("byte_bpe_50k.tiktoken")
+    sub = lm.subwords(path, bpe.PATTERN)
+    long = "alpha beta gamma " * 40_000
+    assert len(long) > 2 * (1 << 18)  # longer texts were left out once
+    rows = [(1, long), (2, long[6:]), (3, "alpha beta gamma " * 60), (4, "gamma beta alpha " * 60), (5, None), (6, "")]
+    # texts over TRAIN_BYTES teach the order of words: the same words in reverse score far lower
+    got = {r["id"]: r["score"] / r["n_tokens"] for r in lm.score(docs_of(spark, rows), F.col("doc_id").isin(3, 4), path, bpe.PATTERN).collect()}
+    assert got[3] > got[4] + 1
+    # the pairs are those of all texts; the picked windows lie in all of a text, and grow with the texts
+    ids = {}
+    for i, t in rows:
+        words = lm.words_of((t or "").encode())
+        sub.learn(words)
+        ids[i] = sub.ids(words)
+    vocab = lm.make_classes(np.bincount(np.concatenate(list(ids.values())), minlength=sub.size).astype(float), sub.end, sub.opens)
+    (cells, n), windows = lm._read_corpus(docs_of(spark, rows).select(F.col("doc_id").alias("h"), "text"), vocab, 8, path, bpe.PATTERN)
+    want = {}
+    for t in ids.values():
+        for a, b in zip([sub.end, *t[:-1].tolist()], t.tolist()):
+            cell = int(vocab.cls[a]) * sub.size + b
+            want[cell] = want.get(cell, 0) + 1
+    assert dict(zip(cells.tolist(), n.tolist())) == want
+    tokens = {r["h"]: r["n"] for r in windows.groupBy("h").agg(F.sum("tokens").alias("n")).collect()}
+    monkeypatch.setattr(lm, "START_TOKENS", 1 << 13)  # the rest is trained on by Spark's tasks
+    monkeypatch.setattr(lm, "TASK_TOKENS", 1 << 13)
+    net, vocab = lm._train_on_spark(windows, vocab), lm.with_shares(vocab, cells, n)
+    right, wrong = lm.log10_probs(net, vocab, [ids[3], ids[4]], sub.end)
+    assert right > wrong + 10
+    for i in (1, 2):
+        assert tokens[i] == pytest.approx(len(ids[i]) / 8, rel=0.3)
+
+
+def test_lm_stretches_keep_their_context():
+    text = np.append(np.arange(1000, 1000 + 3 * lm.BLOCK * lm.STRETCH + 5), 7)
+    inputs, targets, weight, first = lm.blocks([text], 7)
+    seen = 0
+    for k, (i, t, w, f) in enumerate(lm.stretches(text, -3, 1, 7)):
+        low = k * lm.STRETCH - (k > 0)
+        assert np.array_equal(i, inputs[low:low + len(i)]) and np.array_equal(t, targets[low:low + len(i)])
+        assert f.tolist() == [True] + [False] * (len(f) - 1) and (k == 0 or not w[0].any())
+        seen += int(w.sum())
+    assert seen == len(text)
+
+
 # -- 6 exact top-k ------------------------------------------------------------------
 
 
