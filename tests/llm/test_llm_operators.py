@@ -388,6 +388,20 @@ def test_lm_reads_context():
     assert lm.log10_probs(net, vocab, out, end).sum() / n > lm.log10_probs(net, vocab, mixed, end).sum() / n + 0.1
 
 
+def test_lm_window_and_classes():
+    # texts of period 20: only a window of 16 or more ids before the position tells the next one
+    rng = np.random.default_rng(4)
+    end, size = 300, 301
+    texts = [np.append(np.tile(rng.integers(0, 6, 20), 12), end) for _ in range(420)]
+    counts = np.bincount(np.concatenate(texts), minlength=size).astype(float)
+    vocab = lm.make_vocab(counts, end, np.arange(size) % 2 == 0, texts)
+    net = lm.fit(texts[:400], vocab, end, epochs=8)
+    assert lm.log10_probs(net, vocab, texts[400:], end).sum() / 20 / 241 > 0.9 * np.log10(1 / 6)
+    # the 150 most frequent ids are told apart by the model itself
+    vocab = lm.make_classes(np.arange(50_000, 0, -1).astype(float), 49_999, np.arange(50_000) % 2 == 0)
+    assert len(set(vocab.cls[:150].tolist())) == 150 and not set(vocab.cls[:150]) & set(vocab.cls[150:])
+
+
 def test_lm_gradients():
     rng = np.random.default_rng(0)
     net = lm.Attention(30, 7)
