@@ -9,8 +9,9 @@ bit's weight, which is its log-odds of being right on rows left out of its train
 The language of least loss wins; ``ambiguous`` marks texts whose two best losses
 are close.
 
-Training reads at most ``MAX_ROWS`` texts in expectation, spread evenly over the
-languages by a hash of id and text; that sample is the only bound. A text's n-gram counts
+Training reads about ``MAX_ROWS`` texts in expectation, spread evenly over the
+languages by a hash of id and text, but at least 8 a language (all of a language's rows if it
+has fewer), so with more languages the sample grows with their number; that sample is the only bound. A text's n-gram counts
 are made on the executors; the driver gets one fixed-size row of counts per sampled text.
 
 Defined results: ``und`` with score 0 for a NULL text or one without a letter,
@@ -162,7 +163,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(flat, pa.binary())], ["lang", "counts"])
 
     texts = picked.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    got = C.map_arrow(texts, run, "lang string, counts binary").limit(4 * max_rows).toArrow()
+    got = C.map_arrow(texts, run, "lang string, counts binary").toArrow()
     both = sorted(zip(got["lang"].to_pylist(), got["counts"].to_pylist()))  # the same order in every run
     return fit(np.frombuffer(b"".join(c for _, c in both), dtype=np.uint32).reshape(-1, DIM), [v for v, _ in both])
 

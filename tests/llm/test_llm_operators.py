@@ -238,6 +238,12 @@ def test_language_edge_rows(spark):
     assert langid.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_model_keeps_every_language(spark):
+    rows = [(20 * k + i, f"{chr(97 + k) * 4} {chr(98 + k) * 5} words {i} " * 5, f"l{k:02}") for k in range(12) for i in range(8)]
+    docs = docs_of(spark, rows)
+    assert langid.train(docs, F.lit(True), max_rows=5).langs == [f"l{k:02}" for k in range(12)]
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 6, 9, 40])
 def test_codewords_are_apart(n):
     code = langid.codewords(n)
