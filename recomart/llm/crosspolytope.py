@@ -39,6 +39,7 @@ SEED = 20240501
 ALTERNATIVES = 4     # vertices of each hash that probes may combine
 BLOCK_ROWS = 2048
 MATES = 64           # random bucket mates to expect at most
+RARE = 0.02  # least chance to meet in a table
 UNIT = ["dim", "t", "code", "__unit"]
 
 
@@ -88,7 +89,10 @@ def codes(x: np.ndarray, plan: Plan) -> np.ndarray:
 
 
 def plan(n: int, dim: int, threshold: float, recall: float = 0.999, probes: int = 2, trials: int = 2000) -> Plan:
-    """Parameters for ``n`` vectors; the chance to meet is measured on random pairs exactly at the threshold."""
+    """Parameters for ``n`` vectors; the chance to meet is measured on random pairs exactly at the threshold.
+
+    Where it is below RARE, a key has fewer hashes; ValueError if it still is with one, as too many tables
+    would be needed for the recall."""
     m = 1 << max(1, (dim - 1).bit_length())
     hashes = max(1, math.ceil(math.log(max(n / MATES, 1.0)) / math.log(2 * m)))
     rng = np.random.default_rng(SEED)
@@ -97,10 +101,15 @@ def plan(n: int, dim: int, threshold: float, recall: float = 0.999, probes: int
     b -= (a * b).sum(axis=1, keepdims=True) * a
     b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
     b = threshold * a + math.sqrt(max(0.0, 1 - threshold ** 2)) * b
-    one = Plan(hashes, 1, probes)
-    ca, cb = codes(a, one)[:, 0], codes(b, one)[:, 0]
-    meet = float(((ca[:, :1] == cb) | (cb[:, :1] == ca)).any(axis=1).mean())
-    meet = min(max(meet, 0.02), 0.995)
+    while True:
+        one = Plan(hashes, 1, probes)
+        ca, cb = codes(a, one)[:, 0], codes(b, one)[:, 0]
+        meet = min(float(((ca[:, :1] == cb) | (cb[:, :1] == ca)).any(axis=1).mean()), 0.995)
+        if meet >= RARE:
+            break
+        if hashes == 1:
+            raise ValueError(f"vectors at cosine {threshold} meet in {meet:.2%} of tables only; recall {recall} is out of reach")
+        hashes -= 1
     return Plan(hashes, max(2, math.ceil(math.log(1 - recall) / math.log(1 - meet))), probes)
 
 

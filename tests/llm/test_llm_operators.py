@@ -605,6 +605,17 @@ def test_bpe_last_token_is_unique():
     assert voc.decode(np.array([255, 254])) == bytes(voc.bytes[255] + voc.bytes[254]).decode("utf-8", "replace")
 
 
+# -- 1 parameters of the vector tables -------------------------------------------
+
+
+def test_vector_plan_keeps_its_recall_at_low_thresholds():
+    wide = crosspolytope.plan(10 ** 9, 64, 0.6)
+    assert wide.hashes < crosspolytope.plan(10 ** 9, 64, 0.95).hashes
+    assert crosspolytope.plan(10 ** 9, 64, 0.95).tables < 342
+    with pytest.raises(ValueError):
+        crosspolytope.plan(10 ** 9, 64, -0.9)
+
+
 # -- 9 toxicity ---------------------------------------------------------------------
 
 
