@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, crosspolytope, langid, lm, maxscore, mixing, secret_scan, simhash, toxicity, warc
+from . import (bpe, crosspolytope, langid, lm, maxscore, mixing, packing, periodic, secret_scan, simhash, tokenalign,
+               toxicity, warc)
 from .common import held_out
 
 
@@ -78,8 +79,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), vocab_path("word_bpe_49k.json"), capacity=2048)
+    placed = packing.pack(cut, capacity=2048)
+    return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = tokenalign.digest(table(spark, sf_dir, "documents"), vocab_path(), vocab_path("piece_bpe_32k.model"))
+    return aligned.withColumnRenamed("id", "doc_id")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic.digest(periodic.runs(docs, least=6, times=4)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_simhash, op3_language_id, op4_warc, op5_lm_score, op6_top_k,
-                                   op7_secret_scan, op8_bpe, op9_toxicity, op10_mixing)}
+                                   op7_secret_scan, op8_bpe, op9_toxicity, op10_mixing, op11_best_fit_packing,
+                                   op12_token_alignment, op13_periodic_runs)}
 
 ORACLES = {"op1_embedding_dedup": crosspolytope.ORACLE, "op4_warc": warc.ORACLE, "op6_top_k": maxscore.ORACLE,
-           "op10_mixing": mixing.ORACLE}
+           "op10_mixing": mixing.ORACLE, "op13_periodic_runs": periodic.ORACLE}
