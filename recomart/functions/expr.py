@@ -332,21 +332,28 @@ def to_bool(col: ColumnOrName) -> Column:
 
 
 def number_text(col: ColumnOrName) -> Column:
-    """F4 for numbers: plain decimals at every size, no exponent, no trailing '.0' (warehouse style).
-
-    Spark prints doubles below 1e-3 and from 1e7 with an exponent; their digits
-    are moved to the place the exponent names."""
+    """F4 for numbers, as the warehouse writes them: the digits of a C ``%.15g`` (``%.17g`` where 15 digits do not
+    give the number back), so no trailing '.0', no sign of zero, and an exponent of at least two digits below 1e-4
+    and where the whole part has more than 15 (17) digits.
+
+    One plain cast for each kind of number, in codegen: whole numbers as integers, fractions that Spark
+    writes without an exponent as they are, the few others by way of a decimal. Only numbers that keep an
+    exponent are taken apart. Numbers that need 16 or 17 digits, and those below 1e-307, get the
+    shortest digits that give them back."""
     c = _c(col)
-    text = F.regexp_replace(c.cast("string"), "^-", "")
-    mantissa = F.split_part(text, F.lit("E"), F.lit(1))
-    power = F.coalesce(F.try_to_number(F.split_part(text, F.lit("E"), F.lit(2)), F.lit("S999")).cast("int"), F.lit(0))
-    whole = F.split_part(mantissa, F.lit("."), F.lit(1))
-    digits = F.concat(whole, F.split_part(mantissa, F.lit("."), F.lit(2)))
-    point = F.length(whole) + power
-    padded = F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(1) - point, F.lit(0))), digits,
-                      F.repeat(F.lit("0"), F.greatest(point - F.length(digits), F.lit(0))))
-    at = F.greatest(point, F.lit(1))
-    fraction = F.rtrim(F.substring(padded, at + 1, F.length(padded)), F.lit("0"))
-    plain = F.concat(F.when(c < 0, "-").otherwise(""), F.substring(padded, F.lit(1), at),
-                     F.when(F.length(fraction) > 0, F.concat(F.lit("."), fraction)).otherwise(""))
-    return F.when(text.rlike("^[0-9]"), plain).otherwise(c.cast("string"))
+    size = F.abs(c)
+    text = c.cast("string")
+    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
+    power = F.split_part(text, F.lit("E"), F.lit(2)).cast("int")
+    digits = F.length(F.translate(mantissa, "-.", ""))
+    exponent = F.concat(F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    scientific = F.when((digits > 15) & (power.between(15, 16)), c.try_cast("decimal(20,0)").cast("string")).otherwise(
+        F.concat(mantissa, F.when(F.abs(power) < 100, exponent).otherwise(
+            F.concat(F.when(power < 0, "e-").otherwise("e+"), F.abs(power).cast("string")))))
+    whole = c.try_cast("bigint")
+    return (F.when((size < 1e15) & (c == whole), whole.cast("string"))
+            .when((size >= 1e-3) & (size < 1e7), text)
+            .when((size >= 1e-4) & (size < 1e15), F.rtrim(c.try_cast("decimal(38,22)").cast("string"), F.lit("0")))
+            .when(F.isnan(c), "NaN")
+            .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
+            .when(c.isNotNull(), scientific))

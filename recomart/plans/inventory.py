@@ -22,7 +22,7 @@ from ..operators.union import union_positional
 from ..operators.unnest import explode_keep_empty, explode_primary, primary_elements
 from ..sources.adapter import domain_sources
 from ..sources.catalog import Sources
-from ..sources.sink import publish
+from ..sources.versions import publish_version
 from . import marts as M
 from .deals import DealRules, crm_filter, stage_deals
 from .product import enriched_bookings
@@ -102,8 +102,8 @@ def s7(spark, sf):
 
 
 def s8(spark, sf):
-    """Publish a mart as a named table of the warehouse and read it back by name."""
-    return publish(M.listing_union_mart(sources(spark, sf), AS_OF), f"landlord_listings_{uuid.uuid4().hex}")
+    """Publish a mart under its name in the warehouse, as the next version, and read it back by name."""
+    return publish_version(M.listing_union_mart(sources(spark, sf), AS_OF), "landlord_listings")
 
 
 # ----------------------------------------------------------------------------- P

@@ -94,10 +94,19 @@ def test_as_of_defaults_to_today(spark):
 
 
 def test_number_text_and_bool(spark):
-    numbers = {12345678.5: "12345678.5", 0.0001: "0.0001", 1e15: "1000000000000000", 1e14: "100000000000000", 0.0: "0", 5.0: "5",
-               -5.25: "-5.25", 1e300: "1" + "0" * 300, 1.5e-7: "0.00000015", -1e7: "-10000000", 100.0: "100", 1234567.125: "1234567.125"}
+    numbers = {12345678.5: "12345678.5", 0.0001: "0.0001", 1e15: "1e+15", 1e14: "100000000000000", 5.0: "5", -5.25: "-5.25",
+               999999999999999.0: "999999999999999", 1e300: "1e+300", 1.5e-7: "1.5e-07", -1e7: "-10000000", 100.0: "100",
+               1234567.125: "1234567.125", 0.00099: "0.00099", 9.9e-5: "9.9e-05", -2.5e-300: "-2.5e-300", 0.001: "0.001",
+               1e22: "1e+22", -1.25e19: "-1.25e+19", 1234567890123456.0: "1234567890123456", 99999999.25: "99999999.25",
+               12345678901234568.0: "12345678901234568", 0.1 + 0.2: "0.30000000000000004", 250.0: "250", 499.99: "499.99"}
+    for x, t in numbers.items():  # C's own printing
+        assert t == (f"{x:.15g}" if float(f"{x:.15g}") == x else f"{x:.17g}")
+    signed = spark.sql("SELECT -0.0D AS x UNION ALL SELECT 0.0D UNION ALL SELECT double('-Infinity') UNION ALL SELECT double('NaN')")
+    assert sorted(r["t"] for r in signed.select(X.number_text("x").alias("t")).collect()) == ["-inf", "0", "0", "NaN"]
     df = spark.createDataFrame([(k,) for k in numbers] + [(None,)], "x double")
     assert {r["x"]: r["t"] for r in df.select("x", X.number_text("x").alias("t")).collect()} == numbers | {None: None}
+    plan = df.select(X.number_text("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("x#") <= 40  # the input is named a bounded number of times, and cast to text in one place a kind
     texts = {"true": True, "FALSE": False, "True": True, "yes": None, "1": None, "t": None, "no": None, "": None, None: None}
     df = spark.createDataFrame([(k,) for k in texts], "x string")
     assert {r["x"]: r["b"] for r in df.select("x", X.to_bool("x").alias("b")).collect()} == texts
