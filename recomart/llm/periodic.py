@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .bpe import slices
+from .chunks import row_slices
 
 RUN = "struct<start:bigint,length:bigint,period:bigint>"
 
@@ -126,7 +126,7 @@ def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for b in (part for batch in batches for part in slices(batch, "text")):
+        for b in row_slices(batches, "text"):
             texts = [(t or b"").split() for t in C.as_bytes(b.column("text"))]
             count = np.fromiter(map(len, texts), np.int64, len(texts))
             first = np.cumsum(count) - count

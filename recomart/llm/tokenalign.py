@@ -33,7 +33,7 @@ proportional to a slice of rows or the longest text. Further columns play no par
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 from functools import lru_cache
 
@@ -43,8 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .bpe import byte_letters, slices
-from .chunks import Remembered, ragged
+from .bpe import PATTERN, byte_letters
+from .chunks import Remembered, ragged, row_slices, together
 
 #: Ends that one piece of a merge handles.
 WORK = 1 << 15
@@ -58,18 +58,21 @@ class Pair:
     """Both tokenizers, the bytes of their tokens, and the numbering of id pairs that can be linked."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        import tiktoken
+        with open(path_a, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec["pre_tokenizer"]
+        if spec["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+            raise ValueError("A must be a byte-level vocabulary without a normalizer or prefix space")
+        letters, added = byte_letters(), {t["content"] for t in spec["added_tokens"]}
+        ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
+        # tokens are numbered by age, so ids are ranks; special tokens are left out: their strings are plain text
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        letters = byte_letters()
-        self.bytes_a = [b""] * self.a.get_vocab_size(with_added_tokens=True)
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            self.bytes_a[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.bytes_a = [b""] * (1 + max(ranks.values()))
+        for token, i in ranks.items():
+            self.bytes_a[i] = token
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -80,33 +83,37 @@ class Pair:
         self.space_b = self.b.piece_to_id("▁")
         self.length_a = np.array([len(t) for t in self.bytes_a], np.int64)
         self.length_b = np.array([len(t) for t in self.bytes_b], np.int64)
-        self.remember_a, self.remember_b = Remembered(self._solve_a), Remembered(self._solve_b)
-
-    def _solve_a(self, chunks: list[str]):
-        ids = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
-        return ids, [b"".join(map(self.bytes_a.__getitem__, i)) == c.encode() for i, c in zip(ids, chunks)]
-
-    def _solve_b(self, chunks: list[str]):
-        # the model puts a space mark in front: it stands for a chunk's own space, else it goes again
-        ids = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        ids = [[self.space_b] if c == " " else i if c[0] == " " else i[1:] if i[:1] == [self.space_b] else []
-               for i, c in zip(ids, chunks)]
-        return ids, [b"".join(map(self.bytes_b.__getitem__, i)) == c.encode() for i, c in zip(ids, chunks)]
+        self.remember = Remembered(self._solve, tables=2)
+
+    def _solve(self, chunks: list[str]):
+        """Ids of the chunks by A and B, and whether both give the chunk's bytes back."""
+        size = np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks))
+        text, ends = "".join(chunks), np.cumsum(size)
+        # A: chunks that end in a visible character are split alike in one text, and told apart at their ends
+        a = np.array(self.a.encode_ordinary(text), np.int32)
+        at = np.cumsum(self.length_a[a])
+        last = np.searchsorted(at, ends)
+        parts = a, np.diff(np.r_[0, last + 1])
+        if any(c[-1].isspace() for c in chunks) or not (at[last] == ends).all():
+            parts = together([self.a.encode_ordinary(c) for c in chunks])
+        # B puts a space mark in front: it stands for a chunk's own space, else it goes again
+        b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        b = together([[self.space_b] if c == " " else i if c[0] == " " else i[1:] if i[:1] == [self.space_b] else []
+                      for i, c in zip(b, chunks)])
+        both = (parts, self.bytes_a, self.length_a), (b, self.bytes_b, self.length_b)
+        return [parts, b], np.logical_and(*(_same_bytes(*x, chunks, size, text) for x in both))
 
     def tokens(self, texts: list):
         """(ids, ids per text) of A and of B; texts without tokens have none."""
         split = [chunks_of(t) if t else [] for t in texts]
-        every = [c for s in split for c in s]
         many = np.fromiter(map(len, split), np.int64, len(split))
         doc = np.repeat(np.arange(len(texts)), many)
-        ea, eb = self.remember_a.entries(every), self.remember_b.entries(every)
-        good = self.remember_a.mark[ea] & self.remember_b.mark[eb]
-        good &= np.bincount(doc, weights=~good, minlength=len(texts))[doc] == 0
-        ea, eb, doc = ea[good], eb[good], doc[good]
-        out = []
-        for table, e in ((self.remember_a, ea), (self.remember_b, eb)):
-            out.append((table.ids(e), np.bincount(doc, weights=table.count[e], minlength=len(texts)).astype(np.int64)))
-        return out
+        e = self.remember.entries([c for s in split for c in s])
+        bad = np.bincount(doc, weights=~self.remember.mark[e], minlength=len(texts)) > 0
+        if bad.any():
+            e, doc = e[~bad[doc]], doc[~bad[doc]]
+        return [(self.remember.ids(e, k), np.bincount(doc, weights=self.remember.counts(e, k), minlength=len(texts))
+                 .astype(np.int64)) for k in (0, 1)]
 
 
 @lru_cache(maxsize=1)
@@ -114,6 +121,16 @@ def pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
+def _same_bytes(parts, tokens: list[bytes], lengths: np.ndarray, chunks: list[str], size: np.ndarray, text: str) -> np.ndarray:
+    """Whether each chunk's tokens have its bytes."""
+    ids, counts = parts
+    found, ends = b"".join(map(tokens.__getitem__, ids.tolist())), np.cumsum(lengths[ids])
+    ends = np.r_[0, ends][np.cumsum(counts)]
+    if found == text.encode() and (ends == np.cumsum(size)).all():
+        return np.ones(len(chunks), bool)
+    return np.array([found[i:j] == c.encode() for c, i, j in zip(chunks, [0, *ends], ends)], bool)
+
+
 def chunks_of(text: str) -> list[str]:
     whole = " " + text
     found = CHUNK.findall(whole)
@@ -191,7 +208,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
 
     def run(batches):
         tools = pair(path_a, path_b)
-        for part in (p for batch in batches for p in slices(batch, "text")):
+        for part in row_slices(batches, "text"):
             x = Aligned(tools, part.column("text").to_pylist())
             first_a, first_b = np.cumsum(x.n_a) - x.n_a, np.cumsum(x.n_b) - x.n_b
             doc = x.doc_a[x.last_a]
@@ -221,7 +238,7 @@ def digest(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
     def link(batches):
         tools = pair(path_a, path_b)
         names = [b"%d%b" % (i, s) for i in range(max(size_a, size_b)) for s in (b",", b"|", b";")]
-        for part in (p for batch in batches for p in slices(batch, "text")):
+        for part in row_slices(batches, "text"):
             x = Aligned(tools, part.column("text").to_pylist())
             a, b = x.links()
             keys = (a * size_b + b).astype("<u4")
