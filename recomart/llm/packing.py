@@ -23,18 +23,21 @@ the tokenizer drops. Further columns play no part.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .bpe import slices
-from .chunks import Remembered
+from .bpe import byte_letters
+from .chunks import Remembered, ragged, row_slices, together
 
 GROUP = 8192      # pieces of one best-fit run
 ROUNDS = 4        # exchanges at most
@@ -44,19 +47,72 @@ STEPS = 12        # dual feasible functions of Fekete and Schepers for k = 1 ..
 # -- pieces ------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=1)
-def _tokens(path: str) -> Remembered:
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
+#: The normalisation and splitting that the quick route below knows.
+NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                                              {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class WordTokens:
+    """Ids of words by a byte-pair vocabulary with word ends, as its library gives them.
+
+    Words of printable ASCII and the letters U+00C0 to U+00FF, nearly all words of western text, take a
+    quick route: for them composing changes nothing and lower case depends on single characters, so the vocabulary's
+    splitting pattern can be applied to all new words at once, and the parts, closed by a NUL that stands for the word
+    end, are merged by rank (ids are numbered by age). All other words, those that may hold a special token or a
+    NUL among them, are given to the library.
+    """
+
+    def __init__(self, path: str):
+        self.path, self.library, self.quick = path, None, None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, split = spec["model"], spec["pre_tokenizer"]
+        end, letters = model["end_of_word_suffix"], byte_letters()
+        added = {t["content"] for t in spec["added_tokens"]}
+        known = (spec["normalizer"] == NORMAL and split["type"] == "Sequence" and end
+                 and split["pretokenizers"][0].get("pattern") == {"Regex": SPLIT} and all("<|" in t for t in added))
+        if known:
+            import tiktoken
+            ranks = {bytes(letters[c] for c in t.removesuffix(end)) + b"\0" * t.endswith(end): i
+                     for t, i in model["vocab"].items() if t not in added}
+            self.quick = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+            self.parts = regex.compile(SPLIT + r"|\n").findall
+            self.plain = re.compile("[!-~À-ÿ]+").fullmatch
+            self.border = ranks[b"\n\0"]
+
+    def _by_library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.library is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_file(self.path)
+            self.library.no_truncation()
+            self.library.no_padding()
+        return together([e.ids for e in self.library.encode_batch(words, add_special_tokens=False)])
+
+    def _quickly(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        split = self.parts("\n".join(words).lower() + "\n")
+        ids = np.array(self.quick.encode_ordinary("\0".join(split) + "\0"), np.int32)
+        borders = np.flatnonzero(ids == self.border)
+        return ids[ids != self.border], np.diff(np.r_[-1, borders]) - 1
+
+    def solve(self, raw: list[bytes]):
+        """Ids of all words, and ids per word (see ``Remembered``)."""
+        words, marks = [w.decode() for w in raw], np.ones(len(raw), bool)
+        easy = np.array([self.quick is not None and self.plain(w) is not None and "<|" not in w for w in words])
+        if easy.all():
+            return [self._quickly(words)], marks
+        parts = [f([w for w, e in zip(words, easy) if e == kind]) for kind, f in
+                 ((True, self._quickly if easy.any() else together), (False, self._by_library))]
+        ids, counts = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(np.r_[np.flatnonzero(easy), np.flatnonzero(~easy)])
+        start = np.cumsum(counts) - counts
+        return [(ids[ragged(start[order], counts[order])], counts[order])], marks
 
-    def solve(words: list[bytes]):
-        ids = [e.ids for e in tok.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-        return ids, np.ones(len(ids), bool)
 
-    return Remembered(solve)
+@lru_cache(maxsize=1)
+def _tokens(path: str) -> Remembered:
+    return Remembered(WordTokens(path).solve, limit=400_000)
 
 
 def token_ids(table: Remembered, texts: list[bytes | None]) -> list[np.ndarray]:
@@ -64,7 +120,7 @@ def token_ids(table: Remembered, texts: list[bytes | None]) -> list[np.ndarray]:
     the words of a text can be encoded by themselves."""
     words = [(t or b"").split() for t in texts]
     entries = table.entries([w for t in words for w in t])
-    count = np.r_[0, np.cumsum(table.count[entries])]
+    count = np.r_[0, np.cumsum(table.counts(entries))]
     ends = count[np.cumsum([len(w) for w in words], dtype=np.int64)] if words else np.zeros(0, np.int64)
     ids = table.ids(entries)
     return [ids[i:j] for i, j in zip(np.r_[0, ends[:-1]], ends)]
@@ -78,7 +134,7 @@ def pieces(docs: DataFrame, vocab_path: str, capacity: int, end: int = 0, id_col
 
     def run(batches):
         table = _tokens(vocab_path)
-        for b in (part for batch in batches for part in slices(batch, "text")):
+        for b in row_slices(batches, "text"):
             row, piece, length, crc = [], [], [], []
             for r, ids in enumerate(token_ids(table, C.as_bytes(b.column("text")))):
                 ids = np.append(ids, end).astype("<u4")

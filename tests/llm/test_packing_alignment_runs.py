@@ -32,7 +32,7 @@ def unit_docs(spark, texts):
 
 def test_remembered_chunks_are_forgotten_without_a_trace(monkeypatch):
     monkeypatch.setattr(chunks, "MAX_CHUNKS", 4)
-    table = chunks.Remembered(lambda new: ([[len(c)] * len(c) for c in new], [len(c) > 1 for c in new]))
+    table = chunks.Remembered(lambda new: ([chunks.together([[len(c)] * len(c) for c in new])], np.array([len(c) > 1 for c in new])))
     for keys in (["a", "bb", "a"], ["ccc", "dddd", "a"], ["eeeee", "bb", "ccc", "a", "f", "gg"], []):
         e = table.entries(keys)
         assert table.ids(e).tolist() == [len(k) for k in keys for _ in k]
@@ -129,6 +129,22 @@ def test_packing_keeps_every_token(spark, monkeypatch):
     assert none.count() == 0 and none.columns[-2:] == ["sequence_id", "offset"]
 
 
+def test_word_ids_equal_the_library():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(WORDS)
+    rng = np.random.default_rng(9)
+    found = sorted({w for t in corpus() for w in (t or "").encode().split()})
+    for letters in ([*range(33, 127), *range(0xC0, 0x100)], [*range(97, 123), *range(0xE0, 0x100), 39, 45],
+                    [*range(33, 127), *range(0x80, 0x600), 0x300, 0x301, 0x3A3, 0x130, 0x1F600, 0xAC00, 0]):
+        found += ["".join(map(chr, rng.choice(letters, n))).encode() for n in rng.integers(1, 16, 3000)]
+    found += [b"<|endoftext|>x", b"a<|startoftext|>", b"<|", b"x\0y", "ΣΑΣ".encode(), "e\u0301".encode()]
+    found = [w for w in found if w.split() == [w]]
+    (ids, counts), = packing.WordTokens(WORDS).solve(found)[0]
+    got = np.split(ids, np.cumsum(counts)[:-1])
+    for w, g in zip(found, got):
+        assert tok.encode(w.decode(), add_special_tokens=False).ids == g.tolist(), w
+
+
 def test_exchange_saves_sequences(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP", 16)
     rows = spark.createDataFrame([(i, 0, 0, 1 + (i * 37) % 19, 0) for i in range(400)],
@@ -160,12 +176,19 @@ def test_merge_pieces_by_force():
             assert (cover == np.searchsorted(b, a)).all() and (closes == np.isin(a, b)).all()
 
 
-def plain_alignment(tools, text):
+def library_a():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(BYTES)
+    tok.encode_special_tokens = True
+    return tok
+
+
+def plain_alignment(tools, text, tok=None):
     """Ids of whole texts by the libraries, and the groups by walking along both."""
     if not text:
         return [], [], []
     whole = (" " + text).encode()
-    a, b = tools.a.encode(" " + text, add_special_tokens=False).ids, tools.b.encode(text)
+    a, b = (tok or library_a()).encode(" " + text, add_special_tokens=False).ids, tools.b.encode(text)
     if any(b"".join(table[i] for i in ids) != whole for table, ids in ((tools.bytes_a, a), (tools.bytes_b, b))):
         return [], [], []
     ends_b, at = {}, 0
@@ -183,7 +206,8 @@ def plain_alignment(tools, text):
 
 def check_alignment(got, texts):
     tools = tokenalign.pair(BYTES, PIECES)
-    plain = [(i, *plain_alignment(tools, t)) for i, t in texts]
+    tok = library_a()
+    plain = [(i, *plain_alignment(tools, t, tok)) for i, t in texts]
     count = Counter((x[-1], y[-1]) for _, _, _, groups in plain for x, y in groups)
     highest = {}
     for (_, y), n in count.items():
