@@ -207,18 +207,22 @@ def merged_lower(prd: ColumnOrName, pd: ColumnOrName) -> Column:
 
 
 # -- D13, D14 ------------------------------------------------------------------------
-def needed_months_class(col: ColumnOrName) -> Column:
-    """Free-text needed months -> class. Exact (code point) equality first,
-    via a literal map (one probe, no 80-branch CASE), then the LIKE rules,
-    then 'Unknown'."""
+def needed_months_otherwise(exact: Column, col: ColumnOrName) -> Column:
+    """D13 after the exact answers: the LIKE rules in order, then 'Unknown'."""
     c = _c(col)
-    exact = F.try_element_at(literal_map(L.NEEDED_MONTHS_EQUALS), c)
     like = None
     for pat, cls in L.NEEDED_MONTHS_LIKE:
         like = F.when(c.like(pat), F.lit(cls)) if like is None else like.when(c.like(pat), F.lit(cls))
     return F.coalesce(exact, like.otherwise(F.lit(L.NEEDED_MONTHS_UNKNOWN)))
 
 
+def needed_months_class(col: ColumnOrName) -> Column:
+    """D13 as one expression: free-text needed months -> class. Exact (code point) equality first, by a search of a
+    literal map (its entries one by one), then the LIKE rules, then 'Unknown'. Over tables, the
+    dictionary join of ``plans.deals.with_needed_months`` gives the same."""
+    return needed_months_otherwise(F.try_element_at(literal_map(L.NEEDED_MONTHS_EQUALS), _c(col)), col)
+
+
 def needed_months_nights(col: ColumnOrName) -> Column:
     """Typical nights per D13 class (15/30/60/120/360, else 0)."""
     c = _c(col)

@@ -11,18 +11,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from .reconcile import _K, _distinct_keys, _keyed, _null_side
+from .reconcile import _K, _keyed, _null_side, shared_keys
 
 
-def left_join_split(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
+def left_join_split(df: DataFrame, other: DataFrame, df_key: str, other_key: str,
+                    shared: DataFrame | None = None) -> DataFrame:
     """``df`` LEFT JOIN ``other`` ON df_key = other_key, same rows, hot keys split on both sides.
 
     Written as INNER JOIN plus the rows of ``df`` without a partner (LEFT ANTI the
-    distinct keys of ``other``): AQE splits either side of the inner join and
+    keys that both sides have): AQE splits either side of the inner join and
     the streamed side of the anti join, and rows with a NULL key spread evenly
-    (see ``full_outer_reconcile``). Column names must be disjoint.
+    (see ``full_outer_reconcile``). ``shared``: these keys, if the caller has them
+    (``shared_keys``). Column names must be disjoint.
     """
     left, right = _keyed(df, df_key, "l"), _keyed(other, other_key, "r")
+    if shared is None:
+        shared = shared_keys(df.select(df_key), other.select(other_key))
     matched = left.join(right, _K).select(*df.columns, *other.columns)
-    alone = left.join(_distinct_keys(other.select(other_key)), _K, "left_anti").drop(_K)
+    alone = left.join(shared, _K, "left_anti").drop(_K)
     return matched.unionByName(_null_side(alone, other))

@@ -4,17 +4,18 @@
 is hot, which it cannot do for FULL OUTER itself:
 
 * matched pairs: ``left INNER JOIN right``; AQE splits a skewed partition of either side;
-* left rows without a partner: ``left LEFT ANTI`` the distinct right keys;
-* right rows without a partner: ``right LEFT ANTI`` the distinct left keys; in both,
-  AQE splits the streamed side, and the other side has one row per key.
+* rows of either side without a partner: that side LEFT ANTI the keys that both sides have. These
+  come from one table of keys with a bit per side (partially aggregated ``bit_or``), so both anti
+  joins read the same small exchange; AQE splits the streamed side.
 
 The joins use one text key per row that is never NULL: the key behind ``=``, or for a NULL
 key a side tag and a hash of the row. So NULL keys match nothing, spread evenly and
 need no branch of their own, and as no NULL filter separates the branches, each
 side's exchange is the same plan in both of its uses and is computed once (Spark
 reuses it). There is one plan at every size: no thresholds, no caps, no list of hot keys,
-no job while the plan is built. The distinct keys are partially aggregated before
-their shuffle; they may come from a cheaper source than the side itself.
+no job while the plan is built. The keys may come from a cheaper source than the side itself.
+(Identical rows with a NULL key share one hash. They are still split, as AQE splits the streamed side of a
+join by rows of map tasks, not by key.)
 
 Output = the same multiset of rows as ``left.join(right, lk == rk, "full")`` for keys of
 string, integer, date or boolean type.
@@ -50,9 +51,19 @@ def _keyed(df: DataFrame, key: str, side: str) -> DataFrame:
     return df.withColumn(_K, F.coalesce(_matching(F.col(key)), alone))
 
 
-def _distinct_keys(keys: DataFrame) -> DataFrame:
-    col = keys.columns[0]
-    return keys.where(F.col(col).isNotNull()).select(_matching(F.col(col)).alias(_K)).distinct()
+def shared_keys(left_keys: DataFrame, right_keys: DataFrame) -> DataFrame:
+    """The join keys that both one-column inputs have, from one table of keys with a bit per side."""
+    def side(keys: DataFrame, bit: int) -> DataFrame:
+        col = F.col(keys.columns[0])
+        return keys.where(col.isNotNull()).select(_matching(col).alias(_K), F.lit(bit).alias("__bit"))
+
+    presence = side(left_keys, 1).unionAll(side(right_keys, 2)).groupBy(_K).agg(F.bit_or("__bit").alias("__bits"))
+    return presence.where("__bits = 3").select(_K)
+
+
+def without_shared(df: DataFrame, key: str, shared: DataFrame) -> DataFrame:
+    """Rows whose key is NULL or not among ``shared``."""
+    return _keyed(df, key, "r").join(shared, _K, "left_anti").drop(_K)
 
 
 def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,
@@ -68,9 +79,9 @@ def full_outer_reconcile(left: DataFrame, right: DataFrame, left_key: str, right
         raise ValueError(f"column names must be disjoint, both sides have {sorted(overlap)}")
     cols = left.columns + right.columns
     lt, rt = _keyed(left, left_key, "l"), _keyed(right, right_key, "r")
-    lk = _distinct_keys(left.select(left_key) if left_keys is None else left_keys)
-    rk = _distinct_keys(right.select(right_key) if right_keys is None else right_keys)
+    shared = shared_keys(left.select(left_key) if left_keys is None else left_keys,
+                         right.select(right_key) if right_keys is None else right_keys)
     matched = lt.join(rt, _K).select(*cols)
-    left_only = _null_side(lt.join(rk, _K, "left_anti").drop(_K), right)
-    right_only = _null_side(rt.join(lk, _K, "left_anti").drop(_K), left)
+    left_only = _null_side(lt.join(shared, _K, "left_anti").drop(_K), right)
+    right_only = _null_side(rt.join(shared, _K, "left_anti").drop(_K), left)
     return matched.unionByName(left_only).unionByName(right_only)

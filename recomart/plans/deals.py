@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..functions import labels as L
 from ..operators.aggregate import regroup_string_agg
+from ..operators.lookup import with_lookup
 from ..operators.unnest import explode_keep_empty, explode_primary
 
 
@@ -127,3 +128,9 @@ def crm_emails(deals: DataFrame, pipeline: int | None = None) -> DataFrame:
     reason = F.coalesce(F.col("lost_reason"), F.lit(L.UNDEFINED))
     return explode_primary(src.where(~reason.isin(*L.EXCLUDED_LOST_REASONS)), "person_id.email",
                            out="email").select("email")
+
+
+def with_needed_months(df: DataFrame, col: str, out: str) -> DataFrame:
+    """``df`` with the class of a free-text duration answer; the 78 exact answers are a broadcast
+    dictionary, rows without one fall to the LIKE rules."""
+    return with_lookup(df, col, L.NEEDED_MONTHS_EQUALS, out, lambda found: X.needed_months_otherwise(found, col))

@@ -24,7 +24,7 @@ from ..sources.adapter import domain_sources
 from ..sources.catalog import Sources
 from ..sources.versions import publish_version
 from . import marts as M
-from .deals import DealRules, crm_filter, stage_deals
+from .deals import DealRules, crm_filter, stage_deals, with_needed_months
 from .product import enriched_bookings
 
 AS_OF = "2000-06-30"
@@ -451,7 +451,6 @@ d9d = _deal_expr(lambda c: X.has_pets(c, "like_d"), PETS_TXT, "te_has_pets")
 d10 = _deal_expr(lambda c: X.has_disability(c, "literal"), DIS_TXT, "te_has_disability")
 d10b = _deal_expr(lambda c: X.has_disability(c, "like_b"), DIS_TXT, "te_has_disability")
 d10c = _deal_expr(lambda c: X.has_disability(c, "like_c"), DIS_TXT, "te_has_disability")
-d13 = _deal_expr(X.needed_months_class, "_te_needed_months_to_rent_", "rent_duration_categorical")
 
 
 def d11(spark, sf):
@@ -464,10 +463,15 @@ def d12(spark, sf):
     return _deals(spark, sf).select("id", X.days_since("won_time", AS_OF).alias("nights_from_won_date"))
 
 
+def d13(spark, sf):
+    deals = _deals(spark, sf).select("id", F.col("_te_needed_months_to_rent_").alias("raw"))
+    return with_needed_months(deals, "raw", "rent_duration_categorical")
+
+
 def d14(spark, sf):
-    cls = X.needed_months_class("_te_needed_months_to_rent_")
-    return _deals(spark, sf).select("id", cls.alias("rent_duration_categorical"),
-                                    X.needed_months_nights(cls).alias("nights_per_rent_duration"))
+    deals = with_needed_months(_deals(spark, sf), "_te_needed_months_to_rent_", "rent_duration_categorical")
+    return deals.select("id", "rent_duration_categorical",
+                        X.needed_months_nights("rent_duration_categorical").alias("nights_per_rent_duration"))
 
 
 def d15(spark, sf):

@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..functions import labels as L
 from ..operators.joins import left_join_split
-from ..operators.reconcile import full_outer_reconcile
+from ..operators.reconcile import full_outer_reconcile, shared_keys, without_shared
 from ..operators.union import union_positional
 from ..sources.catalog import Sources
-from .deals import DealRules, crm_emails, crm_filter, stage_deals
+from .deals import DealRules, crm_emails, crm_filter, stage_deals, with_needed_months
 from .product import (booking_contact_keys, enriched_bookings, listing_contact_keys, listings_with_landlords,
                       request_contact_keys, requests_with_people)
 
@@ -76,8 +76,9 @@ def crm_bookings(src: Sources, spec: BookingMart, as_of=None) -> DataFrame:
             F.col("city"), F.col("ll_pets_allowed_bool").alias("pets_allowed"),
             F.col("te_number_of_people_in_the_group_keep_updated").alias("number_of_tenants")]
     if spec.needed_months:
-        cls = X.needed_months_class("_te_needed_months_to_rent_")
-        cols += [cls.alias("rent_duration_categorical"), X.needed_months_nights(cls).alias("nights_per_rent_duration"),
+        deals = with_needed_months(deals, "_te_needed_months_to_rent_", "rent_duration_categorical")
+        cols += [F.col("rent_duration_categorical"),
+                 X.needed_months_nights("rent_duration_categorical").alias("nights_per_rent_duration"),
                  F.col("_te_needed_months_to_rent_")]
     else:
         cols.append(nights)
@@ -86,14 +87,22 @@ def crm_bookings(src: Sources, spec: BookingMart, as_of=None) -> DataFrame:
 
 def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None) -> DataFrame:
     """M1 / M8 / M8b / M8c / M8d."""
-    left = _pfx(crm_bookings(src, spec, as_of), "pd__")
-    right = _pfx(enriched_bookings(src, as_of, spec.contact), "prd__")
+    # the dates travel as one array: rows without a partner show no booked_to (D30), and with a column less
+    # their branch could not share the exchange of the matched one; so do the months' class and text
+    deals = crm_bookings(src, spec, as_of)
+    if spec.needed_months:
+        months = ("rent_duration_categorical", "_te_needed_months_to_rent_")
+        deals = deals.withColumn("months", F.array(*months)).drop(*months)
+    left = _pfx(deals, "pd__")
+    bookings = enriched_bookings(src, as_of, spec.contact).withColumn("dates", F.array("booked_from", "booked_to"))
+    right = _pfx(bookings.drop("booked_from", "booked_to"), "prd__")
     j = full_outer_reconcile(left, right, "pd__email", "prd__email",
                              right_keys=booking_contact_keys(src, spec.contact))
+    booked_from, booked_to = prd("dates")[0], prd("dates")[1]
 
     prd_cls = X.price_class(prd("price"))
     if spec.needed_months:
-        category = X.stay_class_gated(pd("rent_duration_categorical"), pd("ll_max_rent_duration"),
+        category = X.stay_class_gated(pd("months")[0], pd("ll_max_rent_duration"),
                                       prd("nights_per_rent_duration"))
     else:
         category = X.stay_class(pd("ll_max_rent_duration"), prd("nights_per_rent_duration"))
@@ -106,8 +115,8 @@ def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None) -> DataFrame:
         prd("contact_id" if spec.dimension_landlord else "landlord_id").alias("landlord_id"),
         X.prefer(F.to_date(prd("created_at")), pd("created_at")).alias("created_at"),
         pd("created_at").alias("pd_created_at"), prd("created_at").alias("prd_created_at"),
-        prd("booked_from").alias("prd_booked_from"),
-        X.booked_to_quirk(pd("id"), prd("booking_id"), prd("booked_from"), prd("booked_to")).alias("prd_booked_to"),
+        booked_from.alias("prd_booked_from"),
+        X.booked_to_quirk(pd("id"), prd("booking_id"), booked_from, booked_to).alias("prd_booked_to"),
         X.prefer(prd("city"), pd("city")).alias("city"),
         X.prefer(pd("max_nights_per_rent_duration"), prd("nights_per_rent_duration")).alias(
             "max_nights_per_rent_duration"),
@@ -120,7 +129,7 @@ def booking_mart(src: Sources, spec: BookingMart = M1, as_of=None) -> DataFrame:
         category.alias("max_rent_duration_categorical"),
     ]
     if spec.needed_months:
-        cols.append(pd("_te_needed_months_to_rent_").alias("pd_te_rent_duration_raw"))
+        cols.append(pd("months")[1].alias("pd_te_rent_duration_raw"))
     if spec.tenant_columns:
         cols += [pd("number_of_tenants").alias("pd_number_of_tenants"),
                  prd("prd_number_of_tenants").alias("prd_number_of_tenants"),
@@ -160,7 +169,7 @@ def booking_mart_v1(src: Sources, as_of=None) -> DataFrame:
         "max_nights_per_rent_duration"), "pd__")
     right = _pfx(enriched_bookings(src, as_of, "landlord", core_first=True), "prd__")
     j = full_outer_reconcile(left, right, "pd__email", "prd__email",
-                             right_keys=booking_contact_keys(src, "landlord"))
+                             right_keys=booking_contact_keys(src, "landlord", core_first=True))
     flag = X.source_flag(pd("email"), prd("email"))
     nights = X.days_between(prd("booked_to"), prd("booked_from"))
     city = (F.when(pd("city").isNotNull() & prd("city").isNotNull(), prd("city"))
@@ -258,7 +267,8 @@ def listing_union_mart(src: Sources, as_of=None) -> DataFrame:
     prod = src.listings.join(ll, F.col("landlord_id") == F.col("ll_landlord_id"), "left")
 
     fw = prod.select(F.col("freshworks_email").alias("m_fw"))
-    crm_side = left_join_split(crm, fw, "email", "m_fw")
+    shared = shared_keys(crm_emails(src.deals, L.LANDLORD_PIPELINE), fw)
+    crm_side = left_join_split(crm, fw, "email", "m_fw", shared)
     null_b, null_s, null_l = F.lit(None).cast("boolean"), F.lit(None).cast("string"), F.lit(None).cast("long")
     branch1 = crm_side.select(
         F.lit("Pipedrive").alias("data_source"), F.col("email"),
@@ -276,8 +286,7 @@ def listing_union_mart(src: Sources, as_of=None) -> DataFrame:
         F.col("open_deal").alias("pd_open_deal"), F.col("won_deal").alias("pd_won_deal"),
         F.col("lost_deal").alias("pd_lost_deal"))
     # Product rows whose e-mail has no CRM partner (NULL e-mails included): J7 anti join.
-    crm_keys = crm.select(F.col("email").alias("a_email")).where(F.col("a_email").isNotNull()).distinct()
-    lonely = prod.join(crm_keys, F.col("freshworks_email") == F.col("a_email"), "left_anti")
+    lonely = without_shared(prod, "freshworks_email", shared)
     branch2 = lonely.select(
         F.lit("Product"), F.col("freshworks_email"),
         X.true_or_null(F.col("freshworks_email").isNotNull()), null_b, null_b,
@@ -387,7 +396,8 @@ def tenant_union_mart(src: Sources, as_of=None, with_reason: bool = True) -> Dat
         F.col("number_of_tenants").alias("p_n"), F.col("tenant_has_pets").alias("p_pets"),
         F.col("status_reason").alias("p_reason"))
     null_s, null_l = F.lit(None).cast("string"), F.lit(None).cast("long")
-    m = left_join_split(crm, prod.select("p_email", "p_created_at"), "email", "p_email")
+    shared = shared_keys(crm_emails(src.deals, L.TENANT_PIPELINE), request_contact_keys(src))
+    m = left_join_split(crm, prod.select("p_email", "p_created_at"), "email", "p_email", shared)
     b1 = [F.lit("Pipedrive").alias("data_surce"), F.col("email"),
           X.true_or_null(F.col("email").isNull() & F.col("p_email").isNotNull()).alias("in_product"),
           X.true_or_null(F.col("email").isNotNull() & F.col("p_email").isNull()).alias("in_pipedrive"),
@@ -400,8 +410,7 @@ def tenant_union_mart(src: Sources, as_of=None, with_reason: bool = True) -> Dat
               "adults"),
           F.col("te_number_of_children_under_18_").alias("number_of_children"), F.col("te_has_pets"),
           F.col("te_has_disability")]
-    crm_keys = crm.select(F.col("email").alias("a_email")).where(F.col("a_email").isNotNull()).distinct()
-    lonely = prod.join(crm_keys, F.col("p_email") == F.col("a_email"), "left_anti")
+    lonely = without_shared(prod, "p_email", shared)
     b2 = [F.lit("Product"), F.col("p_email"), X.true_or_null(F.col("p_email").isNotNull()),
           F.lit(None).cast("boolean"), F.lit(None).cast("boolean"), F.col("p_tenant_id"), F.col("p_listing_id"),
           F.col("p_created_at"), F.col("p_rent_duration"), null_l, F.col("p_city"), X.number_text(F.col("p_price")),

@@ -11,7 +11,7 @@ runtime size is under the threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -30,34 +30,89 @@ LISTING_COLS = ["listing_id", "city", "is_bookable", "is_online", "is_published"
                 "next_available_date"]
 
 
-def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
-    """J5a-J5f + J8 + D15-D17: every booking with listing attributes and a contact e-mail.
-
-    ``core_first=False``: program value, else core value (current form, D17).
-    ``core_first=True``: core value, else program value (first version, D17b).
-    Requires ``booking_id`` to be a key of ``bookings`` (it is the primary key of
-    the bookings model; ``Sources.require_keys`` checks it); then joining core
-    listings on the booking's listing_id equals the source's self-join through
-    booking_id. ``contact_id`` is the id of the landlord or user that was found.
+def repeated_bookings(src: Sources) -> DataFrame:
+    """booking_id, listing_id and booked_from of every booking whose id occurs more than once. Ids alone are
+    counted (partially before their shuffle); three narrow columns of the few rows follow."""
+    ids = src.bookings.where(F.col("booking_id").isNotNull()).groupBy("booking_id").count().where("count > 1")
+    return src.bookings.select("booking_id", "listing_id", "booked_from").join(ids, "booking_id", "left_semi")
+
+
+def _partners(src: Sources, core_first: bool) -> DataFrame:
+    """What the source's self-join on booking_id finds for repeated ids: one row per id and partner row, with
+    the partner's core listing. The current form joins partners that have a core listing (an id without any
+    has one row without values); the first version joins every partner."""
+    rows = repeated_bookings(src)
+    core = _prefixed(src.core_listings, "r_", LISTING_COLS)
+    wanted = rows.select(F.col("listing_id").alias("w_id")).distinct()
+    few = core.join(wanted, F.col("r_listing_id") == F.col("w_id")).drop("w_id")
+    named = rows.select(F.col("booking_id").alias("r_booking_id"), F.col("listing_id").alias("r_lid"),
+                        F.col("booked_from").alias("r_booked_from"))
+    if core_first:
+        return named.join(few, F.col("r_lid") == F.col("r_listing_id"), "left").drop("r_lid")
+    found = named.join(few, F.col("r_lid") == F.col("r_listing_id")).drop("r_lid")
+    ids = named.select("r_booking_id").distinct()
+    return ids.join(found, "r_booking_id", "left")
+
+
+def booking_model(src: Sources, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+    """Bookings with the values of both catalogues (core_*, rfg_*), request pairs (lr_*) and a contact.
+
+    Equal to the source's chain of joins, with its self-join on booking_id, for repeated and NULL ids too:
+    a row takes the core listing of its own listing_id if its id occurs once, else those of all rows of
+    the id (``_partners``); in the current form a NULL id finds no core listing, in the first version
+    (``core_first``) it finds no booking. The wide bookings are read once and joined to the
+    listings once. Where staging has found ``booking_id`` to be a key, nothing of this is needed and
+    the plan is the plain one. ``driver_booked_from`` is the date of the row that the first version
+    drives from. ``contact_id`` is the id of the landlord or user that was found.
     """
-    bk = src.bookings
+    bk, plain = src.bookings, src.booking_id_is_key
     core = _prefixed(src.core_listings, "core_", LISTING_COLS)
     rfg = _prefixed(src.listings, "rfg_", LISTING_COLS)
     pairs = _prefixed(distinct_pairs(src.listing_requests, "listing_id", "pets_allowed"), "lr_")
-
+    if not plain:
+        # of several core rows of one listing, rows that do not take their own core values keep one
+        order = Window.partitionBy("core_listing_id").orderBy(F.lit(1))
+        core = core.where(F.col("core_listing_id").isNotNull()).withColumn("core_n", F.row_number().over(order))
     # listings of either catalogue; a request pair counts only where the program lists the listing
     both = core.join(rfg, F.col("core_listing_id") == F.col("rfg_listing_id"), "full")
     info = (both.join(pairs, F.col("rfg_listing_id") == F.col("lr_listing_id"), "left")
             .withColumn("info_listing_id", F.coalesce("rfg_listing_id", "core_listing_id")))
-    j = bk.join(info, F.col("listing_id") == F.col("info_listing_id"), "left")
+    values = ["core_" + c for c in LISTING_COLS] + ["rfg_" + c for c in LISTING_COLS] + ["lr_pets_allowed"]
+    on_listing = F.col("listing_id") == F.col("info_listing_id")
+    if plain:
+        j = bk.join(info, on_listing, "left").select(*bk.columns, F.col("booked_from").alias("driver_booked_from"), *values)
+    else:
+        known = bk.where(F.col("booking_id").isNotNull()) if core_first else bk
+        j = known.join(_partners(src, core_first), F.col("booking_id") == F.col("r_booking_id"), "left")
+        own = F.col("r_booking_id").isNull() & F.col("booking_id").isNotNull()
+        j = j.join(info, on_listing, "left").where(own | F.coalesce(F.col("core_n") == 1, F.lit(True)))
+        taken = [F.when(own, F.col("core_" + c)).otherwise(F.col("r_" + c)).alias("core_" + c) for c in LISTING_COLS]
+        driver = F.when(own, F.col("booked_from")).otherwise(F.col("r_booked_from")).alias("driver_booked_from")
+        j = j.select(*bk.columns, driver, *taken, *values[len(LISTING_COLS):])
+        if core_first:
+            lost = bk.where(F.col("booking_id").isNull()).select(
+                F.col("listing_id").alias("l_id"), F.col("booked_from").alias("driver_booked_from"))
+            lost = lost.join(core.drop("core_n"), F.col("l_id") == F.col("core_listing_id"), "left")
+            j = j.unionByName(lost.drop("l_id"), allowMissingColumns=True)
     if contact == "landlord":
         ll = src.landlords.select(F.col("landlord_id").alias("contact_id"), F.col("freshworks_email").alias("contact"))
-        j = j.join(ll, F.col("landlord_id") == F.col("contact_id"), "left")
-    elif contact == "tenant":
+        return j.join(ll, F.col("landlord_id") == F.col("contact_id"), "left")
+    if contact == "tenant":
         us = src.users.select(F.col("user_id").alias("contact_id"), F.col("email").alias("contact"))
-        j = j.join(us, F.col("tenant_id") == F.col("contact_id"), "left")
-    else:
-        raise ValueError(contact)
+        return j.join(us, F.col("tenant_id") == F.col("contact_id"), "left")
+    raise ValueError(contact)
+
+
+def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+    """J5a-J5f, J5i + J8 + D15-D17: every booking with listing attributes and a contact e-mail.
+
+    ``core_first=False``: program value, else core value (current form, D17).
+    ``core_first=True``: core value, else program value (first version, D17b).
+    Reads the staged model of the contact if there is one, else derives it (``booking_model``).
+    """
+    j = src.booking_models.get((contact, core_first))
+    if j is None:
+        j = booking_model(src, contact, core_first)
 
     def pick(c: str):
         a, b = (F.col("core_" + c), F.col("rfg_" + c)) if core_first else (F.col("rfg_" + c), F.col("core_" + c))
@@ -72,7 +127,7 @@ def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_
         F.to_date(pick("available_from")).alias("listing_available_from"),
         F.to_date(pick("available_to")).alias("listing_available_to"),
         X.days_between("booked_to", "booked_from").alias("nights_per_rent_duration"),
-        X.nights_spent_floored("booked_from", as_of).alias("nights_spent"),
+        X.nights_spent_floored("driver_booked_from" if core_first else "booked_from", as_of).alias("nights_spent"),
         pick("price").alias("price"), pick("beds").alias("beds"), pick("city").alias("city"),
         pick("accommodates").alias("accommodates"), pick("rooms").alias("rooms"), pick("area").alias("area"),
         pick("next_available_date").alias("next_available_date"),
@@ -113,19 +168,24 @@ def requests_with_people(src: Sources, as_of=None, with_listing: bool = True) ->
     return lr
 
 
-def booking_contact_keys(src: Sources, contact: str = "landlord") -> DataFrame:
+def booking_contact_keys(src: Sources, contact: str = "landlord", core_first: bool = False) -> DataFrame:
     """The contact e-mail of every booking (bookings LEFT JOIN contact dimension).
 
     Same key set as ``enriched_bookings`` (its other joins are LEFT joins and do
     not touch the e-mail), without the listing joins: a cheap input for the
-    distinct keys of the reconciliation."""
+    keys of the reconciliation. One column of the staged model if there is one. The first
+    version (``core_first``) does not find bookings without an id."""
+    model = src.booking_models.get((contact, core_first))
+    if model is not None:
+        return model.select(F.col("contact").alias("k"))
+    bk = src.bookings.where(F.col("booking_id").isNotNull()) if core_first else src.bookings
     if contact == "landlord":
         dim = src.landlords.select(F.col("landlord_id").alias("c_id"), F.col("freshworks_email").alias("k"))
         on = F.col("landlord_id") == F.col("c_id")
     else:
         dim = src.users.select(F.col("user_id").alias("c_id"), F.col("email").alias("k"))
         on = F.col("tenant_id") == F.col("c_id")
-    return src.bookings.select("landlord_id", "tenant_id").join(dim, on, "left").select("k")
+    return bk.select("landlord_id", "tenant_id").join(dim, on, "left").select("k")
 
 
 def listing_contact_keys(src: Sources) -> DataFrame:

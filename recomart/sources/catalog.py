@@ -8,7 +8,7 @@ therefore runs against any of them, which is what the warehouse templating did.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,10 @@ from .schemas import SCHEMAS
 
 @dataclass
 class Sources:
+    """The eight logical sources, and what staging (``plans/staging.py``) has derived from them: whether
+    ``booking_id`` was found to be a key, and the written booking models by (contact, core_first).
+    Binding a source anew forgets what was derived."""
+
     deals: DataFrame
     bookings: DataFrame
     listings: DataFrame
@@ -26,17 +30,30 @@ class Sources:
     landlords: DataFrame
     users: DataFrame
     tenants: DataFrame
+    booking_id_is_key: bool = field(default=False, metadata={"derived": True})
+    booking_models: dict[tuple[str, bool], DataFrame] = field(default_factory=dict, metadata={"derived": True})
+
+    def __setattr__(self, name, value):
+        if name in self.__dict__ and name in self.names():
+            super().__setattr__("booking_id_is_key", False)
+            super().__setattr__("booking_models", {})
+        super().__setattr__(name, value)
+
+    @classmethod
+    def names(cls) -> list[str]:
+        """Names of the logical sources."""
+        return [f.name for f in fields(cls) if not f.metadata.get("derived")]
 
     @classmethod
     def from_tables(cls, spark: SparkSession, names: dict[str, str] | None = None) -> "Sources":
         """Bind to catalog tables / views; ``names`` maps logical -> physical name."""
         names = names or {}
-        return cls(**{f.name: spark.table(names.get(f.name, f.name)) for f in fields(cls)})
+        return cls(**{n: spark.table(names.get(n, n)) for n in cls.names()})
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, paths: dict[str, str]) -> "Sources":
         """Read each logical source from parquet with its declared schema."""
-        return cls(**{f.name: spark.read.schema(SCHEMAS[f.name]).parquet(paths[f.name]) for f in fields(cls)})
+        return cls(**{n: spark.read.schema(SCHEMAS[n]).parquet(paths[n]) for n in cls.names()})
 
     def materialize(self, path: str, partitions: int | None = None) -> "Sources":
         """Write every source once as parquet under ``path`` (a shared folder, e.g.
@@ -47,25 +64,25 @@ class Sources:
         re-reads files instead of re-deriving)."""
         spark = self.deals.sparkSession
         out = {}
-        for f in fields(self):
-            df = getattr(self, f.name)
+        for name in self.names():
+            df = getattr(self, name)
             if partitions:
                 df = df.repartition(partitions)
-            target = f"{path.rstrip('/')}/{f.name}"
+            target = f"{path.rstrip('/')}/{name}"
             df.write.mode("overwrite").parquet(target)
-            out[f.name] = spark.read.parquet(target)
+            out[name] = spark.read.parquet(target)
         return Sources(**out)
 
     def register(self, prefix: str = "") -> list[str]:
         """Expose every source as a temp view (for SQL users); returns the names of the views."""
-        names = [prefix + f.name for f in fields(self)]
-        for f, name in zip(fields(self), names):
-            getattr(self, f.name).createOrReplaceTempView(name)
-        return names
+        views = [prefix + n for n in self.names()]
+        for name, view in zip(self.names(), views):
+            getattr(self, name).createOrReplaceTempView(view)
+        return views
 
     def require_keys(self, keys: dict[str, str] | None = None) -> None:
-        """Raise if a key column repeats a value. The marts rely on ``booking_id`` being a key;
-        one grouped count per source, of which only the first offender reaches the driver."""
+        """Raise if a key column repeats a value; one grouped count per source, of which only the first
+        offender reaches the driver."""
         for name, key in (keys or {"bookings": "booking_id"}).items():
             twice = (getattr(self, name).where(F.col(key).isNotNull()).groupBy(key).count()
                      .where("count > 1").limit(1).collect())
@@ -73,4 +90,4 @@ class Sources:
                 raise ValueError(f"{name}.{key} is not unique: {twice[0][key]!r} occurs {twice[0]['count']} times")
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {n: getattr(self, n) for n in self.names()}

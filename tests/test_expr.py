@@ -1,5 +1,6 @@
 """Edge rows of every business expression (FIXTURES.md section 2)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from recomart.functions import expr as X
@@ -102,3 +103,29 @@ def test_flag_from_truth_first_true_wins(spark):
                                "a boolean, b boolean, c boolean")
     got = [r[0] for r in df.select(X.flag_from_truth("a", "b", "c")).collect()]
     assert got == ["in_product_only", "in_pipedrive_only", "both_sources", None]
+
+
+def test_needed_months_by_dictionary_join(spark):
+    from recomart.functions import labels as L
+    from recomart.plans.deals import with_needed_months
+    answers = [k for k, _ in L.NEEDED_MONTHS_EQUALS] + ["", "no idea", "more than 6", None, "O'Neill \\\\ 3", "1 "] * 2
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "i long, a string")
+    got = {r["i"]: r["c"] for r in with_needed_months(df, "a", "c").collect()}
+    want = {r["i"]: r["c"] for r in df.select("i", X.needed_months_class("a").alias("c")).collect()}
+    assert got == want and len(got) == len(answers) and len(set(want.values())) >= 5
+
+
+def test_dictionary_lookup(spark, monkeypatch):
+    from recomart.operators import lookup
+    df = spark.createDataFrame([("a",), ("b'\\\\",), (None,), ("A",), ("a",)], "k string")
+    pairs = [("a", "1"), ("b'\\\\", "2")]
+    for limit in (10, 1):  # sent to all tasks, or left to the planner
+        monkeypatch.setattr(lookup, "BROADCAST_ENTRIES", limit)
+        got = lookup.with_lookup(df, "k", pairs, "v", lambda v: F.coalesce(v, F.lit("none")))
+        assert sorted((r["k"] or "", r["v"]) for r in got.collect()) == [
+            ("", "none"), ("A", "none"), ("a", "1"), ("a", "1"), ("b'\\\\", "2")]
+        assert ("BroadcastHint" in got._jdf.queryExecution().analyzed().toString() or "strategy=broadcast" in
+                got._jdf.queryExecution().analyzed().toString()) == (limit == 10)
+    assert lookup.with_lookup(df, "k", [], "v").where("v IS NULL").count() == 5
+    with pytest.raises(ValueError, match="twice"):
+        lookup.with_lookup(df, "k", [("a", "1"), ("a", "2")], "v")

@@ -10,6 +10,7 @@ from recomart.operators.reconcile import full_outer_reconcile
 from recomart.plans import marts as M
 from recomart.plans.inventory import AS_OF
 from recomart.plans.product import enriched_bookings
+from recomart.plans.staging import stage
 from recomart.session import ensure_checkpoint_dir
 from recomart.sources.adapter import domain_sources
 
@@ -22,7 +23,7 @@ def small_partitions(spark):
     """Join sizes at which AQE sees skew in small test tables."""
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     before = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -77,7 +78,7 @@ def test_skewed_mart_takes_the_plan_of_an_even_one(spark):
 
 def test_mart_reads_each_side_once(spark, small_partitions):
     folder = ensure_checkpoint_dir(spark).rstrip("/")
-    src = domain_sources(spark, SF).materialize(f"{folder}/once")
+    src = stage(domain_sources(spark, SF), f"{folder}/once")
     plan = final_plan(M.booking_mart(src, M.M1, AS_OF))
     final = plan.split("== Initial Plan ==")[0]
     wide = [x for x in re.findall(r"Scan parquet [^\n]*ReadSchema: struct<([^>]*)", final) if "booking_id" in x]
@@ -92,6 +93,9 @@ def test_hot_listing_is_split(spark, small_partitions):
     src.bookings = spark.read.parquet(f"{folder}/hot_bookings")
     df = enriched_bookings(src, AS_OF, "landlord")
     assert "skew=true" in final_plan(df)
+    src.booking_id_is_key = True  # as staging finds it: the plain plan
+    plain = enriched_bookings(src, AS_OF, "landlord")
+    assert "skew=true" in final_plan(plain) and rows(plain) == rows(df)
 
 
 def test_hot_key_of_the_full_join_is_split_on_both_sides(spark, small_partitions):
