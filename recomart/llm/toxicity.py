@@ -10,17 +10,21 @@ Labels exist for toxicity as a whole only. The earlier links' labels are weak:
 a labelled toxic document belongs to a category if it holds one of the
 category's seed words (``CATEGORIES``; toxic documents in other languages have
 none and belong to "other"). Seeds make labels only; what a link reads are the
-presence of the ``FEATURES`` words and word beginnings that tell toxic from other
-documents best (by chi-square over the labelled rows, among those more often toxic
-than not), found in the data, and the earlier links' probabilities.
+presence of the ``FEATURES`` words, word beginnings and repeated word beginnings that tell toxic from other
+documents best (by chi-square over the labelled rows, among those with a higher rate in
+toxic rows), found in the data, and the earlier links' probabilities.
 
-Training uses ``MAX_ROWS`` labelled documents in expectation (picked by a
-hash of id and label); that bound is the only sampling. Scoring reads every text whole.
+Training uses ``MAX_ROWS`` labelled documents in expectation, picked by a hash, toxic and other ones
+apart so that rare toxic labels are not lost (at most half of them toxic); each counts as often as it was
+to be picked, which keeps the share of toxic documents. That bound is the only sampling. Scoring
+reads every text whole.
 
 Defined results: a NULL or empty text scores like one without any feature word;
 rows without a label, with a NULL label or NULL id are scored but not learned
-from; a document labelled twice counts with each label; without any toxic and
-any other label all probabilities are 0 and nothing is rejected.
+from; a document labelled twice counts with each label, equal rows count once in training; very long texts are
+read whole and kept as their distinct words; without any toxic and
+any other label all probabilities are 0 and nothing is rejected. Columns of the input that are named
+like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -44,6 +48,7 @@ CATEGORIES = {
 }
 MAX_ROWS = 8_000
 FEATURES = 256
+BEGINNINGS = (4, 5, 6, 7)  # bytes
 FOLDS = 5
 THRESHOLD = 0.5
 SLICE_ROWS = 512     # texts whose features are held at a time
@@ -56,8 +61,13 @@ def words(text: bytes | None) -> set:
 
 
 def grams(found: set) -> set:
-    """The words, and their first 4 and 5 bytes marked by ``^``."""
-    return found | {b"^" + w[:4] for w in found} | {b"^" + w[:5] for w in found}
+    """The words, their first 4 to 7 bytes marked by ``^``, and by ``^^`` if different words begin so."""
+    out = set(found)
+    for n in BEGINNINGS:
+        many = Counter(w[:n] for w in found if len(w) >= n)
+        out.update(b"^" + p for p in many)
+        out.update(b"^^" + p for p, k in many.items() if k > 1)
+    return out
 
 
 @dataclass
@@ -104,17 +114,20 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1
     return w
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, vocab: dict, names: list, folds: np.ndarray) -> Chain:
-    """One link per column of ``labels``; ``folds`` gives each row's fold for the out-of-fold inputs."""
+def fit_chain(x: np.ndarray, labels: np.ndarray, vocab: dict, names: list, folds: np.ndarray,
+              weights: np.ndarray | None = None) -> Chain:
+    """One link per column of ``labels``; ``folds`` gives each row's fold for the out-of-fold inputs, ``weights``
+    how often it counts."""
     # rows with the same features, labels and fold are solved as one
     packed = np.packbits(np.hstack([x, labels]).astype(bool), axis=1)
-    _, first, n = np.unique(np.hstack([packed, folds[:, None]]), axis=0, return_index=True, return_counts=True)
+    _, first, same = np.unique(np.hstack([packed, folds[:, None]]), axis=0, return_index=True, return_inverse=True)
+    n = np.bincount(same.reshape(-1), weights=weights)
     x, labels, folds = x[first], labels[first], folds[first]
     out_of_fold = np.zeros(labels.shape)
-    weights = []
+    links = []
     for k in range(labels.shape[1]):
         inputs = np.hstack([x, out_of_fold[:, :k]])
-        weights.append(fit_logistic(inputs, labels[:, k], n))
+        links.append(fit_logistic(inputs, labels[:, k], n))
         if k + 1 == labels.shape[1]:
             break  # nothing reads the last link
         for f in np.unique(folds):
@@ -123,11 +136,11 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, vocab: dict, names: list, folds
                 continue
             w = fit_logistic(inputs[~mine], labels[~mine, k], n[~mine])
             out_of_fold[mine, k] = sigmoid(inputs[mine] @ w[:-1] + w[-1])
-    return Chain(vocab, names, weights)
+    return Chain(vocab, names, links)
 
 
 def select_words(texts: list, toxic: np.ndarray, count: int = FEATURES) -> dict:
-    """Grams that are toxic more often than not, strongest chi-square first, ties by gram; equal texts count once."""
+    """Grams with a higher rate in toxic texts, strongest chi-square first, ties by gram; equal texts count once."""
     rows = sorted(set(zip(texts, toxic.tolist())))
     n1 = sum(y for _, y in rows)
     n0 = len(rows) - n1
@@ -137,10 +150,11 @@ def select_words(texts: list, toxic: np.ndarray, count: int = FEATURES) -> dict:
     score = {}
     for w, c1 in seen[1].items():
         c0 = seen[0][w]
-        if c1 < 3 or c1 <= c0:
+        if c1 < 3 or c1 * n0 <= c0 * n1:
             continue
-        expect = (c0 + c1) * n1 / (n0 + n1)
-        score[w] = (c1 - expect) ** 2 / expect
+        expect1 = (c0 + c1) * n1 / (n0 + n1)
+        expect0 = (c0 + c1) * n0 / (n0 + n1)
+        score[w] = (c1 - expect1) ** 2 * (1 / expect1 + 1 / expect0)
     best = sorted(score, key=lambda w: (-score[w], w))[:count]
     return {w: i for i, w in enumerate(best)}
 
@@ -149,12 +163,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Chain:
     """Chain fitted on about ``max_rows`` labelled documents, whose distinct words are collected to the driver."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), (F.col(label_col) != 0).alias("y"))
+        F.col(id_col).alias("id"), (F.col(label_col) != 0).alias("y")).distinct()
     # the bounded sample is chosen on the narrow table, by hash, so that what is collected does not depend on
     # the number of partitions; only its texts are then looked up
-    share = int((1 << 53) * min(1.0, max_rows / max(known.count(), 1)))
-    picked = known.where(F.shiftrightunsigned(F.xxhash64("id", "y"), 11) < F.lit(share)).limit(2 * max_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+    n1, n0 = known.agg(F.count_if("y"), F.count_if(~F.col("y"))).first()
+    most = min(n1, max_rows // 2)
+    shares = {True: min(1.0, most / max(n1, 1)), False: min(1.0, (max_rows - most) / max(n0, 1))}
+    share = F.when(F.col("y"), F.lit(int((1 << 53) * shares[True]))).otherwise(F.lit(int((1 << 53) * shares[False])))
+    picked = known.where(F.shiftrightunsigned(F.xxhash64("id", "y"), 11) < share)
+    sent = F.broadcast(picked)  # max_rows in expectation
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sent, "id")
+    # an id may occur in many rows of different texts: then a hash of the text picks among them
+    found = docs.select(F.col(id_col).alias("id")).join(sent, "id").count()
+    rows = rows.where(F.shiftrightunsigned(F.xxhash64("text", F.lit(1)), 11) < F.lit(int((1 << 53) * min(1.0, 2 * max_rows / max(found, 1)))))
 
     def run(batches):
         for b in batches:
@@ -163,8 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                              ["id", "y", "words"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = C.map_arrow(rows.select("id", "y", "text"), run, f"id {kind}, y boolean, words binary")
-    got = got.limit(4 * max_rows).toArrow()  # a bound even if a picked id repeats without end
+    got = C.map_arrow(rows.select("id", "y", "text"), run, f"id {kind}, y boolean, words binary").distinct().toArrow()
     both = sorted(zip(got["id"].to_pylist(), got["y"].to_pylist(), got["words"].to_pylist()))
     texts, toxic = [w for _, _, w in both], np.array([y for _, y, _ in both], dtype=bool)
     names = [*CATEGORIES, "other", "toxic"]
@@ -179,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         y[:, k] = [bool(t and words(tx) & pattern) for t, tx in zip(toxic, texts)]
     y[:, -2] = toxic & ~y[:, :-2].any(axis=1)
     y[:, -1] = toxic
-    return fit_chain(x, y, vocab, names, np.arange(len(texts)) % FOLDS)
+    return fit_chain(x, y, vocab, names, np.arange(len(texts)) % FOLDS, 1.0 / np.where(toxic, shares[True], shares[False]))
 
 
 def score(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

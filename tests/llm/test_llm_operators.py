@@ -498,19 +498,56 @@ def best_by_force(rows, k, query):
 @pytest.mark.parametrize("shard,block", [(4096, 1024), (37, 3)])
 def test_top_k_by_force(spark, monkeypatch, shard, block):
     monkeypatch.setattr(maxscore, "SHARD_ROWS", shard)
+    monkeypatch.setattr(maxscore, "LANE_ROWS", 4 * shard)
+    monkeypatch.setattr(maxscore, "MANY_LANES", 2)
     monkeypatch.setattr(maxscore, "BLOCK_QUERIES", block)
-    monkeypatch.setattr(maxscore, "SEED_ROWS", 20)
+    monkeypatch.setattr(maxscore, "DEPTHS", (2, 8))
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=12).round(1).tolist()) for i in range(300)]
     rows += [(300 + i, [0.5] * 12) for i in range(40)] + [(350, None), (400, [None] * 12), (450, [float("nan")] * 12),
                                                           (500, [0.1, 0.2]), (550, [0.3, -0.2]), (550, [0.3, -0.2]), (None, [1.0] * 12),
-                                                          (600, [-1.0] * 12), (650, [0.0] * 12)]
+                                                          (600, [-1.0] * 12), (650, [0.0] * 12), (700, []), (701, [])]
+    rows += [(1000 + i, (np.eye(12)[i % 12] * 9 + rng.normal(size=12) / 50).tolist()) for i in range(200)]  # postings end early
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit("clash"))
     got = sorted(tuple(r) for r in maxscore.top_k(df, F.col("id") % 50 == 0, k=5).collect())
     assert got == best_by_force(rows, 5, lambda i: i % 50 == 0)
     assert maxscore.top_k(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    from fractions import Fraction
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=4) * 10.0 ** rng.integers(-2, 15, 4)).tolist()) for i in range(120)]
+    rows += [(400, [1e14, 1.0, 0.0, 0.0]), (151, [1e12] * 4), (152, [1e12] * 4), (153, [-1e12] * 4), (200, [1e12] * 4),
+             (250, [1.7e308, 0.1, -1.0, 3.0]), (251, [1.7e308, -5e-324, 0.0, 1e300]), (252, [-1.7e308, 0.1, 0.0, 0.0]),
+             (300, [float("inf"), 0.0, 0.0, 0.0]), (350, [2.0 ** 45, 2.0 ** 45 + 1, 0.5, -0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {(i, tuple(int(Fraction(x) * 256 // 1) for x in v)) for i, v in rows if all(np.isfinite(x) for x in v)}
+    want = []
+    for i, q in whole:
+        if i % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(q, w)), j) for j, w in whole if j != i)[:5]
+            want += [(i, r + 1, j, max(-(1 << 63), min((1 << 63) - 1, -x))) for r, (x, j) in enumerate(s)]
+    assert sorted(map(tuple, maxscore.top_k(df, F.col("id") % 50 == 0, k=5).collect())) == sorted(want)
+    assert any(abs(x[3]) >= (1 << 63) - 1 for x in want)
+    numbers = sorted([0, 1, -1, 255, 256, -256, 1 << 70, -(1 << 70), (1 << 900) + 1, 1 << 900])
+    assert sorted(numbers, key=maxscore.order_key) == numbers
+
+
+def test_top_k_reads_postings_in_part():
+    rng = np.random.default_rng(3)
+    x = np.floor(256 * (np.eye(16)[rng.integers(0, 16, 4000)] + rng.normal(size=(4000, 16)) / 40))
+    shard = maxscore.Shard(x, np.arange(4000))
+    q = x[7]
+    exact = x @ q
+    threshold = float(np.sort(exact)[-5])
+    order = np.argsort(-shard.bounds(q))[:1]
+    met = shard.met(q, order, float(np.sort(shard.bounds(q))[:-1].sum()), threshold)
+    rows, scores = shard.search(q, threshold, 7)
+    assert (met is None or len(met) < 4000) and len(rows) < 200 and (exact[rows] == scores).all()
+    assert set(np.flatnonzero(exact >= threshold).tolist()) - {7} <= set(rows.tolist())
+
+
 # -- 7 secrets ----------------------------------------------------------------------
 
 
@@ -553,10 +590,50 @@ def test_secrets_link_only_complementary_parts():
     assert kinds(f"user: alice {LONG} https://db.example.net/x") == ["endpoint", "identifier", "secret"]
     assert kinds("user: alice https://db.example.net/x") == []                  # no secret
     assert kinds(f"{KEY}\n\n{LONG}") == ["access"]                              # another scope
-    assert kinds(f"{KEY}{' x' * 150}{LONG}") == ["access"]                      # out of reach
+    assert kinds(f"{KEY}{' x' * 15000}{LONG}") == ["access", "secret"]          # anywhere in the scope
+    assert kinds(f"{KEY} {'q7x2m9k4wz8r5t1v' * 2}") == ["access", "secret"]       # one letter case
+    assert kinds(f"{KEY} some-long-file-name-2024 ABCDEFGHIJKLMNOPQRST") == ["access"]
     assert kinds(f"{KEY} password=abcdef1 https://h.example") == ["access", "assign", "endpoint"]
 
 
+def linked_by_force(text):
+    """All spans: every weak part is tried against all other parts of its scope, one by one."""
+    base = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in base_by_force(text).split(",") if x)]
+    cuts = [m.end() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+    scope = lambda x: sum(c <= x[0] for c in cuts)
+    hits = lambda x: any(x[0] < e and s < x[1] for s, e, _ in base)
+    names = [m.span() for m in secret_scan.IDENTIFIER.finditer(text) if not hits(m.span())]
+    loose = [m.span() for m in secret_scan.SECRET.finditer(text) if secret_scan.looks_random(m.group()) and not hits(m.span())]
+    places = [m.span() for m in secret_scan.ENDPOINT.finditer(text)]
+    access, strong = [x for x in base if x[2] == "access"], [x for x in base if x[2] != "access"]
+    out = [(s, e, k) for s, e, k in base]
+
+    def mates(x, others):
+        return any(scope(x) == scope(y) for y in others)
+
+    whole = [n for n in names if mates(n, loose + strong) and mates(n, places)]
+    out += [(*n, "identifier") for n in whole]
+    out += [(*q, "secret") for q in loose if mates(q, access) or mates(q, whole)]
+    out += [(*p, "endpoint") for p in places
+            if mates(p, whole) or any(scope(a) == scope(p) and mates(a, loose + strong) for a in access)]
+    order = {k: i for i, k in enumerate(secret_scan.KINDS)}
+    return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(out, key=lambda x: (x[0], order[x[2]], x[1])))
+
+
+def test_secrets_links_by_force(spark):
+    rng = np.random.default_rng(12)
+    parts = [KEY, LONG, "q7x2m9k4wz8r5t1v", "user: alice", "login=bob.b", "account_id = 77123", "https://db.example.net/x?y=1",
+             "postgres://h:5432/d", "password=abcdef1", "deadbeef" * 4, "plain words here", "é ü", "\n", "\n\n", "\n \t\n", "x " * 700,
+             f"secret: {LONG}", f"client_id:{LONG}", f"s3://{KEY}/b", "AKIASHORT", "Token=", "a" * 30]
+    texts = [" ".join(rng.choice(parts, rng.integers(1, 14))) for _ in range(600)]
+    texts += ["\n\n".join(rng.choice(parts, rng.integers(2, 30))) for _ in range(100)]
+    linked = 0
+    for r in secret_scan.scan(docs_of(spark, list(enumerate(texts)))).collect():
+        assert r["spans"] == linked_by_force(texts[r["id"]]), texts[r["id"]]
+        linked += r["n_weak"] > 0
+    assert linked > 150
+
+
 def test_secrets_redaction(spark):
     rows = [(1, f"a {KEY} b {LONG} c"), (2, "nothing here"), (3, None), (4, "password=abcdef")]
     docs = docs_of(spark, rows)
@@ -626,7 +703,37 @@ def test_toxicity_held_out_accuracy(spark):
     got = toxicity.score(docs.join(labels.where("doc_id % 4 = 0"), "doc_id").withColumnRenamed("toxic", "truth"), chain).toPandas()
     clean = got[(got.truth == 0)]
     assert clean.toxic.mean() <= 0.005
-    assert got[got.truth == 1].toxic.mean() >= 0.75
+    assert got[got.truth == 1].toxic.mean() >= 0.9
+
+
+def test_toxicity_sample_keeps_rare_labels(spark):
+    name = lambda i: chr(97 + i % 26) + "q" + chr(97 + i // 26 % 26) + chr(97 + i // 676)
+    rows = [(i, f"vequa lowei {name(i)}" if i % 100 == 0 else f"a kind word {name(i)}" + " vequa" * (i % 50 == 7)) for i in range(4000)]
+    docs = docs_of(spark, rows + [(0, f"other text {i}") for i in range(500)] + [(100, "vequa lowei again")] * 300)
+    labels = spark.createDataFrame([(i, 1 if i % 100 == 0 else 0) for i, _ in rows] * 2, "doc_id long, toxic int")
+    chain = toxicity.train(docs, labels, max_rows=300)
+    assert {b"lowei"} <= chain.vocab.keys()
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.score(docs.where("doc_id > 0"), chain).collect()}
+    assert all(got[i] == (i % 100 == 0) for i, _ in rows if i)
+
+
+def test_chain_by_plain_fit():
+    """The links equal Newton fits of every row by itself, later ones on out-of-fold probabilities."""
+    rng = np.random.default_rng(2)
+    x = (rng.random((200, 5)) < 0.4).astype(float)
+    y = np.stack([x[:, 0] * (rng.random(200) < 0.8), np.maximum(x[:, 1], x[:, 0] * (rng.random(200) < 0.5))], axis=1)
+    folds, weights = np.arange(200) % toxicity.FOLDS, rng.integers(1, 4, 200).astype(float)
+    chain = toxicity.fit_chain(x, y, {}, ["a", "toxic"], folds, weights)
+    every = np.repeat(np.arange(200), weights.astype(int))
+    one = np.ones(len(every))
+    assert np.allclose(chain.weights[0], toxicity.fit_logistic(x[every], y[every, 0], one), atol=1e-6)
+    rated = np.zeros(200)
+    for f in range(toxicity.FOLDS):
+        rest = every[folds[every] != f]
+        w = toxicity.fit_logistic(x[rest], y[rest, 0], np.ones(len(rest)))
+        rated[folds == f] = toxicity.sigmoid(x[folds == f] @ w[:-1] + w[-1])
+    both = np.hstack([x, rated[:, None]])
+    assert np.allclose(chain.weights[1], toxicity.fit_logistic(both[every], y[every, 1], one), atol=1e-5)
 
 
 def test_toxicity_chain_and_edges(spark):
