@@ -10,10 +10,13 @@ proportion to their targets at every point of the order, and at its end.
 Only DataFrame functions run here. No window ever covers a whole source: the
 hash order is cut into bins of about ``BIN_ROWS`` rows of the source, bins get
 their starting sums from a window over bin totals, and rows only a window within
-their bin. The global order is likewise cut into ranges of virtual time, and the
-point where the budget ends is one (finish time, order key), put into the plan
-as two literals. Sizes, keys and starting sums are written once to the
-checkpoint folder, so the texts are read once for them.
+their bin. No window covers all sources either: they are range-sorted, and sums run within ranges
+and over the ranges' totals. The place in the global order where the budget ends is found from counts per
+range of virtual time, cut finer until the range with the end is small, and is one
+(finish time, order key), put into the plan as two literals. ``mixed_documents`` range-sorts all copies up to
+there by finish time, so the parts of its result follow one another in the order of the queue,
+and sources are interleaved. Sizes, keys and starting sums are written once to the
+checkpoint folder.
 
 Targets: weights ``WEIGHTS`` repeat over the sources in code point order, NULL
 last; a target stops at ``epochs`` times its source's words, and what that frees
@@ -22,7 +25,8 @@ once as a water level, since limits are reached in order of words per weight).
 
 Defined results: NULL text has size 0, documents of size 0 are never taken; a
 source without words has target 0; repeated rows queue up one by one; NULL ids
-and sources are ordinary values; an empty table gives no rows.
+and sources are ordinary values; copies that finish together are ordered by their key; a very long text is
+counted whole; an empty table gives no rows; further columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,35 +39,47 @@ from .common import WORD, cut
 WEIGHTS = (1, 2, 3)
 EPOCHS = 3
 BIN_ROWS = 4096
+EDGE_ROWS = 1 << 16   # copies ordered one by one where the budget ends
 
 
 def word_count(col: Column) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def running(rows: DataFrame, order: list, sums: dict) -> DataFrame:
+    """``rows`` plus, for each name and column of ``sums``, the sum over all rows up to and including this one in
+    ``order``, without a window over all rows: sums run within the parts of a range sort, and the
+    parts' totals (a row per part) are summed over the parts."""
+    parts = cut(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    totals = parts.groupBy("__part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("__part", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__{n}") for n in sums])
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = parts.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()}).join(starts, "__part")
+    return found.withColumns({n: F.col(n) + F.col(f"__{n}") for n in sums}).drop("__part", *[f"__{n}" for n in sums])
+
+
 def source_targets(narrow: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """(source, source_no, source_size, source_rows, budget, target) per source of ``narrow``."""
     per = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
-    # One row per source from here on; the windows below order sources, never documents.
     by_source = F.col("source").asc_nulls_last()
-    per = per.withColumn("source_no", F.row_number().over(Window.orderBy(by_source)))
+    per = running(per, [by_source], {"source_no": F.lit(1).cast("long")})
     cycle = F.array(*[F.lit(float(x)) for x in weights])
-    per = (per.withColumn("weight", F.element_at(cycle, F.pmod(F.col("source_no") - 1, F.lit(len(weights))) + 1))
+    per = (per.withColumn("weight", F.element_at(cycle, (F.pmod(F.col("source_no") - 1, F.lit(len(weights))) + 1).cast("int")))
            .withColumn("limit", F.col("source_size") * F.lit(epochs)))
-    order = Window.orderBy(F.col("limit") / F.col("weight"), by_source)
-    everything = Window.partitionBy()
-    full = F.coalesce(F.sum("limit").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    open_weight = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
-    per = (per.withColumn("budget", F.sum("source_size").over(everything))
-           .withColumn("level", (F.col("budget") - full) / open_weight))
+    per = running(per, [F.col("limit") / F.col("weight"), by_source],
+                  {"place": F.lit(1).cast("long"), "full": F.col("limit"), "passed": F.col("weight")})
+    budget, weight = per.agg(F.sum("source_size"), F.sum("weight")).first()
     # level: where the water stands if all sources before this one are at their limits; the
     # first source in this order that it does not fill ends the sharing
-    per = per.withColumn("place", F.row_number().over(order))
-    below = F.col("level") * F.col("weight") < F.col("limit")
-    first = F.min(F.when(below, F.struct("place", "level"))).over(everything)
-    per = per.withColumn("water", first["level"])
-    target = F.least(F.col("limit").cast("double"), F.col("water") * F.col("weight"))
-    return per.select("source", "source_no", "source_size", "source_rows", "budget", target.alias("target"))
+    budget, weight = F.lit(budget).cast("long"), F.lit(weight).cast("double")
+    level = (budget - (F.col("full") - F.col("limit"))) / (weight - F.col("passed") + F.col("weight"))
+    per = per.withColumn("budget", budget).withColumn("level", level)
+    first = per.where(F.col("level") * F.col("weight") < F.col("limit")).agg(F.min(F.struct("place", "level")).alias("e")).first()["e"]
+    water = F.lit(first["level"] if first else None).cast("double")
+    target = F.least(F.col("limit").cast("double"), water * F.col("weight"))
+    return per.select("source", F.col("source_no").cast("int").alias("source_no"), "source_size", "source_rows", "budget",
+                      target.alias("target"))
 
 
 def order_key(id_col: str, source_col: str, text_col: str) -> Column:
@@ -105,30 +121,53 @@ def finish_time(epoch) -> Column:
 def budget_end(rows: DataFrame, epochs: int = EPOCHS) -> tuple | None:
     """(finish, key) of the last copy, in global order, whose words still fit the budget; None if all fit.
 
-    Copies are counted in bins of virtual time (4096 to a unit up to 2, where
-    the budget must end but for tiny tables, coarser after it); only the bin
-    in which the budget ends is ordered copy by copy. One row reaches the driver."""
+    Copies are counted in ranges of virtual time (4096 to a unit up to 2, where
+    the budget must end but for tiny tables, coarser after it). The range in which the budget ends is cut
+    again, by time and for equal times by the key, until it has at most EDGE_ROWS copies; only these are
+    ordered copy by copy. One row a cut reaches the driver."""
     c = rows.where("size > 0").select("__key", "size", "budget", F.explode(
         F.array(*[finish_time(e) for e in range(epochs)])).alias("finish"))
     late = F.lit(8192) + F.floor(F.log2("finish") * F.lit(16.0))
-    c = c.withColumn("__t", F.when(F.col("finish") < 2, F.floor(F.col("finish") * F.lit(4096.0))).otherwise(late))
-    per_bin = c.groupBy("__t").agg(F.sum("size").alias("w"), F.max("budget").alias("budget"))
-    upto = F.sum("w").over(Window.orderBy("__t"))
-    edge = per_bin.withColumn("upto", upto).where("upto > budget").agg(
-        F.min(F.struct("__t", (F.col("upto") - F.col("w")).alias("before"))).alias("e")).first()["e"]
+    ranges = F.when(F.col("finish") < 2, F.floor(F.col("finish") * F.lit(4096.0))).otherwise(late)
+    edge = _edge(c, ranges, F.lit(0))
     if edge is None:
         return None
-    inner = Window.partitionBy("__t").orderBy("finish", "__key").rowsBetween(Window.unboundedPreceding, 0)
-    last = (c.where(F.col("__t") == F.lit(edge["__t"]))
-            .withColumn("upto", F.lit(edge["before"]) + F.sum("size").over(inner)).where("upto <= budget")
+    open_ = c.where(ranges == F.lit(edge["r"]))
+    while edge["n"] > EDGE_ROWS:
+        low, high = edge["low"], edge["high"]
+        if low["finish"] < high["finish"]:
+            step = (high["finish"] - low["finish"]) / 4096
+            ranges = F.least(F.floor((F.col("finish") - F.lit(low["finish"])) / F.lit(step)), F.lit(4095))
+        else:  # equal times: by the first digits in which their keys differ
+            same = next((i for i, (x, y) in enumerate(zip(low["key"], high["key"])) if x != y), None)
+            if same is None:
+                break  # copies of one row
+            ranges = F.conv(F.substring("__key", same + 1, 3), 16, 10).cast("long")
+        edge = _edge(open_, ranges, F.lit(edge["before"])) or edge
+        open_ = open_.where(ranges == F.lit(edge["r"]))
+    inner = Window.partitionBy("budget").orderBy("finish", "__key").rowsBetween(Window.unboundedPreceding, 0)
+    last = (open_.withColumn("upto", F.lit(edge["before"]) + F.sum("size").over(inner)).where("upto <= budget")
             .agg(F.max(F.struct("finish", "__key")).alias("e")).first()["e"])
     if last is not None:
         return last["finish"], last["__key"]
-    # nothing of that bin fits: the end is the last copy before it
-    before = c.where(F.col("__t") < F.lit(edge["__t"])).agg(F.max(F.struct("finish", "__key")).alias("e")).first()["e"]
+    # nothing of that range fits: the end is the last copy before it
+    low = edge["low"]
+    earlier = (F.col("finish") < F.lit(low["finish"])) | ((F.col("finish") == F.lit(low["finish"])) & (F.col("__key") < F.lit(low["key"])))
+    before = c.where(earlier).agg(F.max(F.struct("finish", "__key")).alias("e")).first()["e"]
     return (before["finish"], before["__key"]) if before is not None else (float("-inf"), "")
 
 
+def _edge(copies: DataFrame, ranges: Column, before: Column):
+    """The first range up to whose end the words, with those before, exceed the budget: r, n copies, words
+    before, its first and last (finish, key)."""
+    place = F.struct("finish", F.col("__key").alias("key"))
+    per = copies.groupBy(ranges.alias("r")).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"), F.max("budget").alias("budget"),
+                                                F.min(place).alias("low"), F.max(place).alias("high"))
+    upto = before + F.sum("w").over(Window.orderBy("r"))   # at most some thousand ranges
+    return (per.withColumn("upto", upto).where("upto > budget")
+            .agg(F.min(F.struct("r", "n", (F.col("upto") - F.col("w")).alias("before"), "low", "high")).alias("e")).first()["e"])
+
+
 #: Sources up to this number are broadcast (some 100 bytes each); more are joined by shuffle.
 BROADCAST_SOURCES = 100_000
 
@@ -151,15 +190,21 @@ class Mix:
         return docs.withColumns({"__key": order_key(id_col, source_col, text_col), "size": word_count(F.col(text_col)),
                                  "source": F.col(source_col)})
 
+    def queued(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (source, size, __key, ...) plus their source's figures and running words."""
+        return with_running_words(with_source(rows, self.targets, self.broadcast), self.starts)
+
+    def fits(self, finish: Column) -> Column:
+        """Whether a copy with this finish time lies before the end of the budget."""
+        if self.end is None:
+            return finish.isNotNull()
+        last = F.lit(self.end[0])
+        return (finish < last) | ((finish == last) & (F.col("__key") <= F.lit(self.end[1])))
+
     def take(self, rows: DataFrame) -> DataFrame:
         """``rows`` (source, size, __key, ...) plus source_size, target and taken."""
-        rows = with_running_words(with_source(rows, self.targets, self.broadcast), self.starts)
-        times = F.lit(0)
-        for e in range(self.epochs):
-            f = finish_time(e)
-            fits = F.lit(True) if self.end is None else (f < F.lit(self.end[0])) | (
-                (f == F.lit(self.end[0])) & (F.col("__key") <= F.lit(self.end[1])))
-            times = times + F.when(fits, 1).otherwise(0)
+        rows = self.queued(rows)
+        times = sum((F.when(self.fits(finish_time(e)), 1).otherwise(0) for e in range(self.epochs)), F.lit(0))
         taken = F.when(F.col("size") > 0, times * F.col("size")).otherwise(F.lit(0)).cast("long")
         return rows.withColumn("taken", taken).drop("__key", "__cum", "__bin", "source_no", "budget")
 
@@ -173,13 +218,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                     weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, each row as often as the mix takes it (at most ``epochs`` times)."""
+    """The mixed corpus: the columns of ``docs``, each row as often as the mix takes it (at most ``epochs`` times),
+    globally range-sorted by virtual finish time."""
     m = Mix(docs, id_col, source_col, text_col, weights, epochs)
     # columns of the input travel as one struct, so that their names never clash with the mix's
     base = docs.select(F.struct(*docs.columns).alias("__doc"), *[F.col(c).alias(c) for c in dict.fromkeys(m.columns)])
-    rows = m.take(m.sized(base).select("__doc", "source", "size", "__key")).where("taken > 0")
-    again = F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("taken") / F.col("size"))))
-    return rows.select("__doc", again.alias("__copy")).select("__doc.*")
+    rows = m.queued(m.sized(base).select("__doc", "source", "size", "__key")).where("size > 0")
+    copies = rows.select("__doc", "__key", F.explode(F.array(*[finish_time(e) for e in range(epochs)])).alias("__finish"))
+    taken = copies.where(m.fits(F.col("__finish")))
+    return taken.repartitionByRange("__finish", "__key").sortWithinPartitions("__finish", "__key").select("__doc.*")
 
 
 #: The query over ``documents`` for DuckDB: the same order keys, targets and cut.

@@ -804,6 +804,37 @@ def test_mixing(spark):
     assert ((one.taken // one["size"]).to_numpy() == n.reindex(one.id).to_numpy()).all()
 
 
+def test_mixed_documents_are_in_the_order_of_the_queue(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BIN_ROWS", 50)
+    monkeypatch.setattr(mixing, "EDGE_ROWS", 2)
+    rng = np.random.default_rng(5)
+    rows = [(i, "w " * int(rng.integers(1, 30)), "en", "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(1500)]
+    docs = docs_of(spark, rows)
+    got = mixing.mix(docs).toPandas().set_index("id")
+    mixed = [r["doc_id"] for r in mixing.mixed_documents(docs).collect()]
+    assert len(mixed) == (got.taken // got["size"]).sum()
+    read, finish = {}, []
+    for i in mixed:
+        s = got.source[i]
+        read[s] = read.get(s, 0) + got["size"][i]
+        finish.append(read[s] / got.target[i])
+    assert all(a <= b + 1e-9 for a, b in zip(finish, finish[1:]))        # one global order
+    assert sum(a != b for a, b in zip(mixed, mixed[1:])) > 0.95 * len(mixed)  # copies do not lie side by side
+    plain = mixing.EDGE_ROWS
+    monkeypatch.setattr(mixing, "EDGE_ROWS", 1 << 16)
+    assert plain == 2 and mixing.mix(docs).toPandas().set_index("id").taken.sort_index().equals(got.taken.sort_index())
+
+
+def test_mixing_many_sources(spark):
+    rows = [(i, "w " * (1 + i % 5), "en", f"{i % 997:x}" if i % 13 else None) for i in range(3000)]
+    got = mixing.mix(docs_of(spark, rows)).toPandas()
+    _, total, target = mix_by_force([(i, t, s) for i, t, _, s in rows])
+    assert len(total) > 900
+    for s, g in got.groupby(got["source"].fillna("\0none")):
+        s = None if s == "\0none" else s
+        assert set(g.source_size) == {total[s]} and g.target.iloc[0] == pytest.approx(target[s])
+
+
 def test_mixing_edges(spark):
     assert mixing.mix(docs_of(spark, EDGE).limit(0)).count() == 0
     assert mixing.mixed_documents(docs_of(spark, EDGE).limit(0)).count() == 0
