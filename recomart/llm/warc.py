@@ -12,10 +12,11 @@ Each member carries its compressed size in the ``sl`` extra field that the WARC
 specification recommends.
 
 Reading: the plan lists the files and packs them into partitions of about
-``partition_bytes``. ``open_archive`` switches filter pushdown on, so that filters on
-record type and headers reach the reader (``pushFilters``); a plain load, which Spark
-does not let push filters unless ``spark.sql.python.filterPushdown.enabled`` is set,
-takes record types by the option ``types``. A record's
+``partition_bytes``. Spark lets a Python reader take filters only while
+``spark.sql.python.filterPushdown.enabled`` is set: within ``filter_pushdown(spark)``, which restores the
+session's value afterwards, ``open_archive`` gives a reader that filters on
+record type and headers reach (``pushFilters``); elsewhere Spark applies them to the rows read, and
+a load takes record types by the option ``types``. A record's
 header is inflated and parsed first; if it fails a predicate, or if the requested
 schema has no payload, the rest of the member is skipped by its size and never
 inflated. Archives from elsewhere (no manifest, no ``sl`` field, not compressed)
@@ -24,7 +25,10 @@ or in a store that pyarrow reaches.
 
 Defined results: NULL payloads are written as empty, NULL headers are left out and read
 as NULL; line breaks in header values are percent-encoded; an empty table writes
-a manifest without files and reads as no rows.
+a manifest without files and reads as no rows. Of equal payloads the smallest id is the response; rows that
+repeat its id as well are responses too, and any other row with an equal payload is a revisit. A very long
+payload is one record, held whole by the task that writes or decodes it. Further columns of the
+pages play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ import re
 import struct
 import uuid
 import zlib
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -44,8 +49,10 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     IsNotNull, WriterCommitMessage)
 from pyspark.sql.types import StructType
 
-from . import common as C
 from ..session import ensure_checkpoint_dir
+from . import common as C
+
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 SCHEMA = ("record_id string, type string, uri string, date string, refers_to string, digest string, "
           "content_type string, payload binary")
@@ -413,27 +420,36 @@ def record_id(page_id, sha):
                     F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
-def open_archive(spark: SparkSession, folder: str, columns: str = SCHEMA) -> DataFrame:
-    """The records of the archives in ``folder``; columns that are left out are not decoded.
+@contextmanager
+def filter_pushdown(spark: SparkSession):
+    """Filters reach Python data sources in plans that run within; the session's setting is restored."""
+    before = spark.conf.get(PUSHDOWN, None)
+    spark.conf.set(PUSHDOWN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(PUSHDOWN) if before is None else spark.conf.set(PUSHDOWN, before)
+
 
-    Turns the session's pushdown for Python data sources on, without which Spark refuses
-    a reader that takes filters."""
+def open_archive(spark: SparkSession, folder: str, columns: str = SCHEMA) -> DataFrame:
+    """The records of the archives in ``folder``; columns that are left out are not decoded. Filters are pushed
+    down if it is called and run within ``filter_pushdown``."""
     C.workers_find_package(spark)
     spark.dataSource.register(WarcDataSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").option("pushdown", "true").schema(columns).load(folder)
+    pushed = spark.conf.get(PUSHDOWN, "false").lower()
+    return spark.read.format("warc").option("pushdown", pushed).schema(columns).load(folder)
 
 
 def read_archive(spark: SparkSession, folder: str, id_type: str = "bigint") -> DataFrame:
     """(id, payload_bytes, payload_digest, record_type, refers_to) per record; revisits take both figures of the
     payload from the response that they refer to, whose payload alone is decoded."""
     page = F.nullif(F.regexp_extract("record_id", r":([^:>]*)>$", 1), F.lit("")).cast(id_type)
-    first = open_archive(spark, folder, "record_id string, type string, payload binary").where("type = 'response'").select(
-        "record_id", page.alias("id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("payload_digest"))
-    first = C.cut(first)
-    again = (open_archive(spark, folder, "record_id string, type string, refers_to string").where("type = 'revisit'")
-             .select(page.alias("id"), "refers_to"))
+    with filter_pushdown(spark):
+        first = open_archive(spark, folder, "record_id string, type string, payload binary").where("type = 'response'")
+        first = C.cut(first.select("record_id", page.alias("id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+                                   F.sha2("payload", 256).alias("payload_digest")))
+        again = open_archive(spark, folder, "record_id string, type string, refers_to string").where("type = 'revisit'")
+        again = C.cut(again.select(page.alias("id"), "refers_to"))
     # a repeated response row has the same record id: one is enough to refer to
     target = first.groupBy(F.col("record_id").alias("refers_to")).agg(
         F.min("id").alias("target"), F.min("payload_bytes").alias("payload_bytes"),
