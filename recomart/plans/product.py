@@ -79,7 +79,13 @@ def booking_model(src: Sources, contact: str = "landlord", core_first: bool = Fa
             .withColumn("info_listing_id", F.coalesce("rfg_listing_id", "core_listing_id")))
     values = ["core_" + c for c in LISTING_COLS] + ["rfg_" + c for c in LISTING_COLS] + ["lr_pets_allowed"]
     on_listing = F.col("listing_id") == F.col("info_listing_id")
-    if plain:
+    if plain and src.listing_buckets:
+        # bucketed alike: a chain of left joins keeps the bookings' buckets, so nothing is exchanged
+        j = bk.join(core, F.col("listing_id") == F.col("core_listing_id"), "left")
+        j = j.join(rfg, F.col("listing_id") == F.col("rfg_listing_id"), "left")
+        j = j.join(pairs, (F.col("listing_id") == F.col("lr_listing_id")) & F.col("rfg_listing_id").isNotNull(), "left")
+        j = j.select(*bk.columns, F.col("booked_from").alias("driver_booked_from"), *values)
+    elif plain:
         j = bk.join(info, on_listing, "left").select(*bk.columns, F.col("booked_from").alias("driver_booked_from"), *values)
     else:
         known = bk.where(F.col("booking_id").isNotNull()) if core_first else bk

@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 
 from .schemas import SCHEMAS
 
+#: Sources whose ``listing_id`` is joined by the booking models.
+LISTING_SOURCES = ("bookings", "listings", "core_listings", "listing_requests")
+
 
 @dataclass
 class Sources:
     """The eight logical sources, and what staging (``plans/staging.py``) has derived from them: whether
-    ``booking_id`` was found to be a key, and the written booking models by (contact, core_first).
-    Binding a source anew forgets what was derived."""
+    ``booking_id`` was found to be a key, the written booking models by (contact, core_first), and the number of
+    buckets by ``listing_id`` if the listing sources are bucketed. Binding a source anew forgets what was derived."""
 
     deals: DataFrame
     bookings: DataFrame
@@ -32,11 +35,13 @@ class Sources:
     tenants: DataFrame
     booking_id_is_key: bool = field(default=False, metadata={"derived": True})
     booking_models: dict[tuple[str, bool], DataFrame] = field(default_factory=dict, metadata={"derived": True})
+    listing_buckets: int = field(default=0, metadata={"derived": True})
 
     def __setattr__(self, name, value):
         if name in self.__dict__ and name in self.names():
             super().__setattr__("booking_id_is_key", False)
             super().__setattr__("booking_models", {})
+            super().__setattr__("listing_buckets", 0)
         super().__setattr__(name, value)
 
     @classmethod
@@ -73,6 +78,23 @@ class Sources:
             out[name] = spark.read.parquet(target)
         return Sources(**out)
 
+    def bucket_by_listing(self, path: str, prefix: str, buckets: int) -> "Sources":
+        """Write the sources that are joined by ``listing_id`` as tables ``<prefix><name>`` bucketed and sorted by it,
+        under ``path``, and bind to them; the others stay bound as they are.
+
+        Their joins then need no exchange, whatever their sizes. For catalogues and bookings without a hot
+        listing only: the rows of a listing are one bucket, and AQE splits exchanges, not buckets. So this is a
+        choice of the caller; the marts' plans split hot listings otherwise."""
+        spark = self.bookings.sparkSession
+        out = self.as_dict()
+        for name in LISTING_SOURCES:
+            table = prefix + name
+            # each bucket is written by one task: one file per bucket
+            (out[name].repartition(buckets, "listing_id").write.bucketBy(buckets, "listing_id").sortBy("listing_id")
+             .option("path", f"{path.rstrip('/')}/{table}").saveAsTable(table))
+            out[name] = spark.table(table)
+        return Sources(**out, booking_id_is_key=self.booking_id_is_key, listing_buckets=buckets)
+
     def register(self, prefix: str = "") -> list[str]:
         """Expose every source as a temp view (for SQL users); returns the names of the views."""
         views = [prefix + n for n in self.names()]

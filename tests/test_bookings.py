@@ -132,3 +132,22 @@ def test_rebinding_a_source_forgets_the_models(spark):
     staged.bookings = staged.bookings.limit(10)
     assert not staged.booking_models and not staged.booking_id_is_key
     assert enriched_bookings(staged, AS_OF).count() >= 10
+
+
+def test_bucketed_listings_are_joined_without_an_exchange(spark, large_plans):
+    plain = stage(domain_sources(spark, SF), folder(spark))
+    prefix = f"b{uuid.uuid4().hex}_"
+    try:
+        src = plain.bucket_by_listing(folder(spark), prefix, 4)
+        got = booking_model(src, "landlord")
+        assert rows(got.select(sorted(got.columns))) == rows(booking_model(plain, "landlord").select(sorted(got.columns)))
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # the only exchanges are those of the join with the contact above
+        dealt = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+        assert sorted(dealt) == ["contact_id", "landlord_id"] and plan.count("SelectedBucketsCount") == 4
+        assert rows(M.MARTS["m1"](src, AS_OF)) == rows(M.MARTS["m1"](plain, AS_OF))
+        src.listings = src.listings.limit(5)
+        assert not src.listing_buckets
+    finally:
+        for name in ("bookings", "listings", "core_listings", "listing_requests"):
+            spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
