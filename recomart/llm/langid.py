@@ -10,14 +10,18 @@ The language of least loss wins; ``ambiguous`` marks texts whose two best losses
 are close.
 
 Training reads about ``MAX_ROWS`` texts in expectation, spread evenly over the
-languages by a hash of id and text, but at least 8 a language (all of a language's rows if it
-has fewer), so with more languages the sample grows with their number; that sample is the only bound. A text's n-gram counts
-are made on the executors; the driver gets one fixed-size row of counts per sampled text.
+languages by a hash of id and text, but about 8 a language (all of a language's rows if it
+has fewer) as long as that makes no more than ``MOST_ROWS``, and at least that row of every language with the smallest
+hash, so no language is lost; that sample is the only bound. A text's n-gram counts
+are made on the executors; the driver gets the counts that are not zero of every sampled text, and solves a system of
+as many equations as there are rows.
 
 Defined results: ``und`` with score 0 for a NULL text or one without a letter,
 and for every text if nothing was learned; with one learned language all others
 get it with score 1; ties go to the language that comes first by code point;
-NULL ids count as training rows if they have a language; repeated rows get equal results.
+NULL ids count as training rows if they have a language; repeated rows get equal results and enter the
+sample together or not at all; a text of any length is hashed whole, a piece at a time; an empty table gives no rows.
+Columns of the input named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from .bpe import slices
 
 DIM = 1 << 13
 MAX_ROWS = 1200
+MOST_ROWS = 4096     # sampled rows beyond which languages get fewer than 8
 BROADCAST_LANGS = 10_000  # languages up to this number are broadcast (some 50 bytes each), more are joined by shuffle
 RIDGE = 0.05
 PIECE = 1 << 20      # bytes of a text that are hashed at a time
@@ -76,15 +81,21 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     bits = 4 * int(np.ceil(np.log2(n))) + 11
     rng = np.random.default_rng(seed)
     best, far = None, -1
-    for _ in range(200):
+    for _ in range(max(4, min(200, 20_000 // n))):
         code = rng.choice([-1.0, 1.0], size=(n, bits))
-        apart = (bits - code @ code.T) / 2
-        least = apart[~np.eye(n, dtype=bool)].min()
+        least = min(_least_apart(code, k) for k in range(0, n, 512))
         if least > far and (np.abs(code.sum(axis=0)) < n).all():
             best, far = code, least
     return best
 
 
+def _least_apart(code: np.ndarray, k: int) -> float:
+    """Least distance of 512 codewords from row ``k`` on to any other."""
+    apart = (code.shape[1] - code[k:k + 512] @ code.T) / 2
+    apart[np.arange(len(apart)), k + np.arange(len(apart))] = np.inf
+    return float(apart.min())
+
+
 @dataclass
 class Model:
     """Learned languages, their codewords, weights (DIM, bits), biases and bit weights."""
@@ -97,8 +108,9 @@ class Model:
 
     def losses(self, counts: np.ndarray) -> np.ndarray:
         margin = features(counts) @ self.w + self.b
-        hinge = np.maximum(0.0, 1.0 - margin[:, None, :] * self.code[None]) ** 2
-        return hinge @ self.bit_weight
+        if_one, if_not = (np.maximum(0.0, 1.0 - margin) ** 2 * self.bit_weight, np.maximum(0.0, 1.0 + margin) ** 2 * self.bit_weight)
+        # a codeword's bits are 1 or -1: its loss is the mean of both sums and its bits times half their difference
+        return ((if_one + if_not).sum(axis=1, keepdims=True) + (if_one - if_not) @ self.code.T) / 2
 
     def predict(self, texts: list) -> tuple[list, np.ndarray, np.ndarray]:
         """(languages, scores, ambiguous) of the texts."""
@@ -110,7 +122,7 @@ class Model:
             loss = self.losses(np.stack([gram_counts(texts[i]) for i in part]))
             best = loss.argmin(axis=1)
             share = np.exp(loss.min(axis=1, keepdims=True) - loss)
-            two = np.sort(loss, axis=1)[:, :2]
+            two = np.partition(loss, min(1, loss.shape[1] - 1), axis=1)[:, :2]
             for r, i in enumerate(part):
                 lang[i] = self.langs[best[r]]
                 score[i] = 1.0 / share[r].sum()
@@ -118,20 +130,23 @@ class Model:
         return lang, score, close
 
 
-def fit(counts: np.ndarray, lang: list) -> Model:
-    """Ridge classifiers for all bits at once; bit weights from a split into two halves."""
+def fit(x: np.ndarray, lang: list) -> Model:
+    """Ridge classifiers of the rows of features ``x`` for all bits at once; bit weights from a split into two halves."""
     langs = sorted(set(lang))
     code = codewords(len(langs))
     if len(langs) < 2:
         return Model(langs, code, np.zeros((DIM, 0), np.float32), np.zeros(0), np.zeros(0))
-    x = features(counts)
-    y = code[[langs.index(v) for v in lang]]
+    place = {v: i for i, v in enumerate(langs)}
+    y = code[[place[v] for v in lang]]
 
     def solve(rows):
         a, t = x[rows], y[rows]
         mean, off = a.mean(axis=0), t.mean(axis=0)
         a = a - mean
-        w = a.T @ np.linalg.solve((a @ a.T).astype(np.float64) + RIDGE * np.eye(len(a)), t - off)
+        gram = a @ a.T
+        gram = gram.astype(np.float64) if len(a) <= MOST_ROWS else gram
+        gram[np.diag_indices(len(a))] += RIDGE
+        w = a.T @ np.linalg.solve(gram, (t - off).astype(gram.dtype))
         return w, off - mean @ w
 
     half = np.arange(len(x)) % 2 == 0
@@ -148,24 +163,34 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
           max_rows: int = MAX_ROWS) -> Model:
     """Model of the languages of the rows of ``docs`` for which ``learn`` holds."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(F.col(lang_col).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"))
+    place = F.shiftrightunsigned(F.xxhash64(id_col, text_col), 11) / F.lit(float(1 << 53))
+    counts = rows.groupBy(F.col(lang_col).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__first"))
     langs = counts.count()
     if not langs:
-        return fit(np.zeros((0, DIM)), [])
-    share = F.lit(max(8.0, max_rows / langs)) / F.col("__n")
-    place = (F.shiftrightunsigned(F.xxhash64(id_col, text_col), 11)) / F.lit(float(1 << 53))
+        return fit(np.zeros((0, DIM), np.float32), [])
+    each = max(max_rows / langs, min(8.0, MOST_ROWS / langs))
     counts = F.broadcast(counts) if langs <= BROADCAST_LANGS else counts
-    picked = rows.join(counts, F.col(lang_col) == F.col("__lang")).where(place < share)
+    picked = rows.join(counts, F.col(lang_col) == F.col("__lang")).where(
+        (place < F.lit(each) / F.col("__n")) | (place == F.col("__first")))
 
     def run(batches):
         for b in batches:
-            flat = [gram_counts(t).astype(np.uint32).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(flat, pa.binary())], ["lang", "counts"])
+            found = [gram_counts(t) for t in b.column("text").to_pylist()]
+            at = [np.flatnonzero(c).astype(np.uint16) for c in found]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("lang"), pa.array([a.tobytes() for a in at], pa.binary()),
+                 pa.array([c[a].astype(np.uint32).tobytes() for c, a in zip(found, at)], pa.binary())], ["lang", "at", "n"])
 
     texts = picked.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    got = C.map_arrow(texts, run, "lang string, counts binary").toArrow()
-    both = sorted(zip(got["lang"].to_pylist(), got["counts"].to_pylist()))  # the same order in every run
-    return fit(np.frombuffer(b"".join(c for _, c in both), dtype=np.uint32).reshape(-1, DIM), [v for v, _ in both])
+    got = C.map_arrow(texts, run, "lang string, at binary, n binary").toArrow()
+    both = sorted(zip(*(got[c].to_pylist() for c in ("lang", "at", "n"))))  # the same order in every run
+    del got
+    x = np.zeros((len(both), DIM), np.float32)
+    for row, (_, at, n) in zip(x, both):
+        counted = np.zeros((1, DIM), np.int64)
+        counted[0, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.uint32)
+        row[:] = features(counted)[0]
+    return fit(x, [v for v, _, _ in both])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -245,6 +245,44 @@ def test_language_model_keeps_every_language(spark):
     assert langid.train(docs, F.lit(True), max_rows=5).langs == [f"l{k:02}" for k in range(12)]
 
 
+def test_language_sample_is_bounded_and_loses_no_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_ROWS", 100)
+    name = lambda k: f"{chr(97 + k % 26)}{chr(97 + k // 26)}"
+    rows = [(9 * k + i, f"{name(k) * 3} {name(k)} word{i} " * 4, f"l{k:03}") for k in range(150) for i in range(9)]
+    seen = {}
+    real = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda x, lang: seen.update(rows=len(x)) or real(x, lang))
+    model = langid.train(docs_of(spark, rows), F.lit(True), max_rows=20)
+    assert len(model.langs) == 150 and 150 <= seen["rows"] < 300
+    got = langid.identify(docs_of(spark, rows[::9]), model).toPandas()
+    assert (got.lang_pred == [r[2] for r in rows[::9]]).mean() > 0.9
+
+
+def test_decoding_by_enumeration():
+    rng = np.random.default_rng(1)
+    for n in (2, 5, 30, 700):
+        code = langid.codewords(n)
+        bits = code.shape[1]
+        model = langid.Model([str(i) for i in range(n)], code, rng.normal(size=(langid.DIM, bits)).astype(np.float32) / 4,
+                             rng.normal(size=bits), rng.random(bits))
+        counts = rng.integers(0, 3, (4, langid.DIM))
+        margin = langid.features(counts) @ model.w + model.b
+        for row, m in zip(model.losses(counts), margin):
+            want = [sum(w * max(0.0, 1.0 - x * c) ** 2 for w, x, c in zip(model.bit_weight, m, word)) for word in code]
+            assert np.allclose(row, want, rtol=1e-5)
+
+
+def test_language_ties_repeats_and_long_texts(spark):
+    rows = [(1, "aa bb cc " * 9, "x"), (2, "aa bb cc " * 9, "y"), (1, "aa bb cc " * 9, "x"), (3, "dd ee ff " * 9, "z"), (4, "dd gg hh " * 9, "z")]
+    model = langid.train(docs_of(spark, rows), F.lit(True))
+    long = "dd ee ff gg " * 200_000
+    got = langid.identify(docs_of(spark, [*rows, (9, long), (9, long)]), model).collect()
+    assert len({(r["lang_pred"], r["score"]) for r in got[-2:]}) == 1 and got[-1]["lang_pred"] == "z"
+    assert len(long) > 2 * langid.PIECE
+    same = langid.Model(["a", "b"], langid.codewords(2), np.zeros((langid.DIM, 1), np.float32), np.zeros(1), np.ones(1))
+    assert same.predict(["text"]) [0] == ["a"] and same.predict(["text"])[2].all()
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 6, 9, 40])
 def test_codewords_are_apart(n):
     code = langid.codewords(n)
