@@ -22,6 +22,9 @@ in a table of bounded size; a piece that was forgotten is solved again.
 
 Defined results: NULL text encodes like an empty one (no ids, empty decoded
 text). Added tokens of the vocabulary file found in a text become their own id.
+Repeated rows get equal ids; a text of any length is encoded whole, in memory proportional to it; ties cannot
+occur, as the last token of a prefix is unique; an empty table gives no rows; other columns are passed on by ``encode``
+and ``decode``, but for one named like the result, which is replaced.
 """
 
 from __future__ import annotations

@@ -131,7 +131,8 @@ class Model:
 
 
 def fit(x: np.ndarray, lang: list) -> Model:
-    """Ridge classifiers of the rows of features ``x`` for all bits at once; bit weights from a split into two halves."""
+    """Ridge classifiers of the rows of features ``x`` (which is overwritten) for all bits at once; bit weights from a
+    split into two halves."""
     langs = sorted(set(lang))
     code = codewords(len(langs))
     if len(langs) < 2:
@@ -139,10 +140,9 @@ def fit(x: np.ndarray, lang: list) -> Model:
     place = {v: i for i, v in enumerate(langs)}
     y = code[[place[v] for v in lang]]
 
-    def solve(rows):
-        a, t = x[rows], y[rows]
+    def solve(a, t):
         mean, off = a.mean(axis=0), t.mean(axis=0)
-        a = a - mean
+        a -= mean
         gram = a @ a.T
         gram = gram.astype(np.float64) if len(a) <= MOST_ROWS else gram
         gram[np.diag_indices(len(a))] += RIDGE
@@ -152,10 +152,10 @@ def fit(x: np.ndarray, lang: list) -> Model:
     half = np.arange(len(x)) % 2 == 0
     right = np.zeros(y.shape[1])
     for rows in (half, ~half) if len(x) >= 4 else ():
-        w, b = solve(rows)
+        w, b = solve(x[rows], y[rows])
         right += ((x[~rows] @ w + b) * y[~rows] > 0).sum(axis=0)
     share = (right + 1) / (len(x) + 2)
-    w, b = solve(np.ones(len(x), dtype=bool))
+    w, b = solve(x, y)  # the features are not needed any more
     return Model(langs, code, w.astype(np.float32), b, np.maximum(np.log(share / (1 - share)), 0.1))
 
 
