@@ -11,6 +11,7 @@ first such meeting only, so no list of pairs is formed or shuffled.
 * Equal vectors collapse to one before hashing and are counted by multiplicity.
 * Hot buckets are cut into blocks and compared block against block; a unit
   gives a link count per vector and the edges of a spanning forest, not pairs.
+* Buckets are sized on narrow rows; only entries with a mate carry the vector and its codes, once.
 * ``plan`` picks the number of vertices a key from the number of vectors (random
   bucket mates stay few) and the number of tables from the chance that a pair exactly
   at the threshold meets, so that a pair is missed with probability 1 - ``recall``
@@ -231,12 +232,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
               for r in nodes.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()}
     hashed = C.cut(C.map_arrow(nodes, _hash_rows(chosen, kind),
                                "node long, copies long, dim int, raw binary, codes array<long>"))
-    entries = (hashed.select("*", F.posexplode("codes").alias("pos", "code"))
-               .withColumn("key", F.struct("dim", F.floor(F.col("pos") / F.lit(probes)).cast("int").alias("t"), "code"))
-               .drop("pos", "code", "dim"))
-    units = C.split_hot(entries, "key", "node", BLOCK_ROWS).select("key.*", "__unit", "__block", "node", "copies",
-                                                                  "raw", "codes")
-    dealt = units.repartition(*UNIT).sortWithinPartitions(*UNIT)
+    # buckets are sized and cut on narrow rows; a vector and its codes are joined to the entries that have mates,
+    # and cross one shuffle only
+    entries = (hashed.select("node", "dim", F.posexplode("codes").alias("pos", "code"))
+               .select("node", F.struct("dim", F.floor(F.col("pos") / F.lit(probes)).cast("int").alias("t"), "code").alias("key")))
+    units = C.split_hot(entries, "key", "node", BLOCK_ROWS).select("key.*", "__unit", "__block", "node")
+    dealt = units.join(hashed.drop("dim"), "node").repartition(*UNIT).sortWithinPartitions(*UNIT)
     found = C.cut(C.map_arrow(dealt, _compare(threshold, chosen, kind), "node long, links long, root long"))
     comp = C.connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
