@@ -109,22 +109,14 @@ def booking_model(src: Sources, contact: str = "landlord", core_first: bool = Fa
     raise ValueError(contact)
 
 
-def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
-    """J5a-J5f, J5i + J8 + D15-D17: every booking with listing attributes and a contact e-mail.
-
-    ``core_first=False``: program value, else core value (current form, D17).
-    ``core_first=True``: core value, else program value (first version, D17b).
-    Reads the staged model of the contact if there is one, else derives it (``booking_model``).
-    """
-    j = src.booking_models.get((contact, core_first))
-    if j is None:
-        j = booking_model(src, contact, core_first)
-
+def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+    """The booking model with one value per listing attribute, all columns of ``enriched_bookings`` that do not depend
+    on the reporting date, and the date that the nights spent are counted from. This is what staging writes."""
     def pick(c: str):
         a, b = (F.col("core_" + c), F.col("rfg_" + c)) if core_first else (F.col("rfg_" + c), F.col("core_" + c))
         return F.coalesce(a, b)
 
-    return j.select(
+    return booking_model(src, contact, core_first).select(
         F.col("booking_id"), F.col("contact").alias("email"), F.col("landlord_id"), F.col("tenant_id"),
         F.col("contact_id"), F.col("actual_booking_created_at").alias("created_at"),
         F.col("booked_from"), F.col("booked_to"), F.col("is_canceled"), F.col("listing_id"),
@@ -133,7 +125,7 @@ def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_
         F.to_date(pick("available_from")).alias("listing_available_from"),
         F.to_date(pick("available_to")).alias("listing_available_to"),
         X.days_between("booked_to", "booked_from").alias("nights_per_rent_duration"),
-        X.nights_spent_floored("driver_booked_from" if core_first else "booked_from", as_of).alias("nights_spent"),
+        F.col("driver_booked_from" if core_first else "booked_from").alias("spent_from"),
         pick("price").alias("price"), pick("beds").alias("beds"), pick("city").alias("city"),
         pick("accommodates").alias("accommodates"), pick("rooms").alias("rooms"), pick("area").alias("area"),
         pick("next_available_date").alias("next_available_date"),
@@ -144,6 +136,20 @@ def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_
     )
 
 
+def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+    """J5a-J5f, J5i + J8 + D15-D17: every booking with listing attributes and a contact e-mail.
+
+    ``core_first=False``: program value, else core value (current form, D17).
+    ``core_first=True``: core value, else program value (first version, D17b).
+    Reads the staged model of the contact if there is one, else derives it (``picked_bookings``).
+    """
+    j = src.booking_models.get((contact, core_first))
+    if j is None:
+        j = picked_bookings(src, contact, core_first)
+    before, after = j.columns[:j.columns.index("spent_from")], j.columns[j.columns.index("spent_from") + 1:]
+    return j.select(*before, X.nights_spent_floored("spent_from", as_of).alias("nights_spent"), *after)
+
+
 def listings_with_landlords(src: Sources) -> DataFrame:
     """J5e / J5r + J5d: program listings with the landlord e-mail and request pets pairs."""
     ll = src.landlords.select(F.col("landlord_id").alias("ll_landlord_id"), "freshworks_email")
@@ -183,7 +189,7 @@ def booking_contact_keys(src: Sources, contact: str = "landlord", core_first: bo
     version (``core_first``) does not find bookings without an id."""
     model = src.booking_models.get((contact, core_first))
     if model is not None:
-        return model.select(F.col("contact").alias("k"))
+        return model.select(F.col("email").alias("k"))
     bk = src.bookings.where(F.col("booking_id").isNotNull()) if core_first else src.bookings
     if contact == "landlord":
         dim = src.landlords.select(F.col("landlord_id").alias("c_id"), F.col("freshworks_email").alias("k"))

@@ -1,11 +1,10 @@
 """Staged models: the sources and the booking models, written once and read by all marts.
 
 ``stage`` writes every source, finds out whether ``booking_id`` is a key (ids alone are read for that, and one row
-reaches the driver), and writes one booking model per contact: the bookings with both
-catalogues' listing values, request pairs and the contact. The six booking marts then start from their
-model's files; the chain of listing joins runs once and not once per mart. The
-first version of the landlord mart has rules of its own for repeated and NULL ids, so it gets
-a model of its own only where there are such ids.
+reaches the driver), and writes a booking model per contact, and one for the first version of the
+landlord mart, whose values come from the catalogues in the other order: the bookings with one
+value per listing attribute, request pairs, stay lengths and the contact. The six booking marts then start
+from their model's files; the chain of listing joins and what is derived from it run once and not once per mart.
 """
 
 from __future__ import annotations
@@ -13,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.catalog import Sources
-from .product import booking_model
+from .product import picked_bookings
 
-CONTACTS = ("landlord", "tenant")
+#: Contact, and whether the core catalogue's values come first.
+MODELS = (("landlord", False), ("tenant", False), ("landlord", True))
 
 
 def is_key(src: Sources) -> bool:
@@ -36,12 +36,10 @@ def stage_models(staged: Sources, path: str) -> Sources:
     spark = staged.bookings.sparkSession
     key = is_key(staged)
     found = Sources(**staged.as_dict(), booking_id_is_key=key)
-    wanted = [(contact, False) for contact in CONTACTS] + ([] if key else [("landlord", True)])
     models = {}
-    for contact, core_first in wanted:
+    for contact, core_first in MODELS:
         target = f"{path.rstrip('/')}/booking_model_{contact}{'_core_first' if core_first else ''}"
-        booking_model(found, contact, core_first).write.mode("overwrite").parquet(target)
+        picked_bookings(found, contact, core_first).write.mode("overwrite").parquet(target)
         models[contact, core_first] = spark.read.parquet(target)
-    models.setdefault(("landlord", True), models["landlord", False])  # with a key, both forms join alike
     found.booking_models = models
     return found
