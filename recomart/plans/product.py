@@ -1,12 +1,13 @@
 """Product-side inputs of the marts (bookings, listings, listing requests).
 
-Partitioning: core listings, program listings and the distinct (listing_id,
-pets_allowed) pairs are first joined to each other by ``listing_id`` -- small inputs, one row
-per listing and pair -- and the bookings are then joined to the result once, as the
+Partitioning: core listings, program listings and the distinct pets_allowed answers of each
+listing are first joined to each other by ``listing_id`` -- small inputs, one row
+per listing -- and the bookings are then joined to the result once, as the
 streamed side of one LEFT join that AQE can split when a listing is hot (a chain
-of joins sharing one partitioning is not split). Dimensions (landlords, users,
-tenants) are left to AQE, which turns them into broadcast joins when their
-runtime size is under the threshold.
+of joins sharing one partitioning is not split). A listing's answers travel as one array and
+become rows (``exploded_pets``) after the last shuffle. Dimensions (landlords, users,
+tenants) are joined while the rows are narrow and left to AQE, which turns them into broadcast
+joins when their runtime size is under the threshold.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ LISTING_COLS = ["listing_id", "city", "is_bookable", "is_online", "is_published"
 
 def repeated_bookings(src: Sources) -> DataFrame:
     """booking_id, listing_id and booked_from of every booking whose id occurs more than once. Ids alone are
-    counted (partially before their shuffle); three narrow columns of the few rows follow."""
-    ids = src.bookings.where(F.col("booking_id").isNotNull()).groupBy("booking_id").count().where("count > 1")
-    return src.bookings.select("booking_id", "listing_id", "booked_from").join(ids, "booking_id", "left_semi")
+    counted (partially before their shuffle); three narrow columns of the few rows follow. Rows whose ids are
+    known to occur once (``Sources.booking_parts``) are not searched."""
+    bk = src.bookings if src.booking_parts is None else src.booking_parts[1]
+    ids = bk.where(F.col("booking_id").isNotNull()).groupBy("booking_id").count().where("count > 1")
+    return bk.select("booking_id", "listing_id", "booked_from").join(ids, "booking_id", "left_semi")
 
 
 def _partners(src: Sources, core_first: bool) -> DataFrame:
@@ -54,6 +57,49 @@ def _partners(src: Sources, core_first: bool) -> DataFrame:
     return ids.join(found, "r_booking_id", "left")
 
 
+def _with_partners(src: Sources, contact: str, core_first: bool) -> DataFrame:
+    """Bookings with their contact and ``partner``: a struct of the row that the self-join finds for a repeated id, else
+    NULL. Rows whose ids are known to occur once are not joined for it."""
+    found = _partners(src, core_first)
+    values = [c for c in found.columns if c != "r_booking_id"]
+    found = found.select("r_booking_id", F.struct(*values).alias("partner"))
+
+    def joined(bk: DataFrame) -> DataFrame:
+        j = bk.join(found, F.col("booking_id") == F.col("r_booking_id"), "left").drop("r_booking_id")
+        return j.where(F.col("booking_id").isNotNull()) if core_first else j
+
+    if src.booking_parts is None:
+        return _with_contact(src, joined(src.bookings), contact)
+    once, others = src.booking_parts
+    return _with_contact(src, once.withColumn("partner", F.lit(None).cast(found.schema["partner"].dataType))
+                         .unionByName(joined(others)), contact)
+
+
+def _with_contact(src: Sources, bookings: DataFrame, contact: str) -> DataFrame:
+    """``bookings`` with contact_id and contact: the id and e-mail of the landlord or user that is found."""
+    if contact == "landlord":
+        ll = src.landlords.select(F.col("landlord_id").alias("contact_id"), F.col("freshworks_email").alias("contact"))
+        return bookings.join(ll, F.col("landlord_id") == F.col("contact_id"), "left")
+    if contact == "tenant":
+        us = src.users.select(F.col("user_id").alias("contact_id"), F.col("email").alias("contact"))
+        return bookings.join(us, F.col("tenant_id") == F.col("contact_id"), "left")
+    raise ValueError(contact)
+
+
+def _pets_of_listings(src: Sources) -> DataFrame:
+    """lr_listing_id and lr_pets: the distinct pets_allowed answers of a listing's requests, NULL among them."""
+    pairs = distinct_pairs(src.listing_requests, "listing_id", "pets_allowed")
+    # a list leaves NULLs out, but not structs of NULL
+    answers = pairs.groupBy("listing_id").agg(F.collect_list(F.struct("pets_allowed")).alias("answers"))
+    return answers.select(F.col("listing_id").alias("lr_listing_id"), F.col("answers.pets_allowed").alias("lr_pets"))
+
+
+def exploded_pets(df: DataFrame, pets: str, out: str) -> DataFrame:
+    """One row per answer of the array ``pets``, as ``out``; a row without an array stays, with NULL."""
+    kept = [c for c in df.columns if c != pets]
+    return df.select(*kept, F.explode_outer(pets).alias(out))
+
+
 def booking_model(src: Sources, contact: str = "landlord", core_first: bool = False) -> DataFrame:
     """Bookings with the values of both catalogues (core_*, rfg_*), request pairs (lr_*) and a contact.
 
@@ -65,58 +111,58 @@ def booking_model(src: Sources, contact: str = "landlord", core_first: bool = Fa
     the plan is the plain one. ``driver_booked_from`` is the date of the row that the first version
     drives from. ``contact_id`` is the id of the landlord or user that was found.
     """
+    return exploded_pets(_packed_model(src, contact, core_first), "lr_pets", "lr_pets_allowed")
+
+
+def _packed_model(src: Sources, contact: str, core_first: bool) -> DataFrame:
+    """``booking_model`` with the pets answers of a row's listing as one array, ``lr_pets``."""
     bk, plain = src.bookings, src.booking_id_is_key
     core = _prefixed(src.core_listings, "core_", LISTING_COLS)
     rfg = _prefixed(src.listings, "rfg_", LISTING_COLS)
-    pairs = _prefixed(distinct_pairs(src.listing_requests, "listing_id", "pets_allowed"), "lr_")
+    pets = _pets_of_listings(src)
     if not plain:
         # of several core rows of one listing, rows that do not take their own core values keep one
         order = Window.partitionBy("core_listing_id").orderBy(F.lit(1))
         core = core.where(F.col("core_listing_id").isNotNull()).withColumn("core_n", F.row_number().over(order))
     # listings of either catalogue; a request pair counts only where the program lists the listing
     both = core.join(rfg, F.col("core_listing_id") == F.col("rfg_listing_id"), "full")
-    info = (both.join(pairs, F.col("rfg_listing_id") == F.col("lr_listing_id"), "left")
+    info = (both.join(pets, F.col("rfg_listing_id") == F.col("lr_listing_id"), "left")
             .withColumn("info_listing_id", F.coalesce("rfg_listing_id", "core_listing_id")))
-    values = ["core_" + c for c in LISTING_COLS] + ["rfg_" + c for c in LISTING_COLS] + ["lr_pets_allowed"]
+    values = ["core_" + c for c in LISTING_COLS] + ["rfg_" + c for c in LISTING_COLS] + ["lr_pets"]
     on_listing = F.col("listing_id") == F.col("info_listing_id")
+    own_date = F.col("booked_from").alias("driver_booked_from")
     if plain and src.listing_buckets:
         # bucketed alike: a chain of left joins keeps the bookings' buckets, so nothing is exchanged
         j = bk.join(core, F.col("listing_id") == F.col("core_listing_id"), "left")
         j = j.join(rfg, F.col("listing_id") == F.col("rfg_listing_id"), "left")
-        j = j.join(pairs, (F.col("listing_id") == F.col("lr_listing_id")) & F.col("rfg_listing_id").isNotNull(), "left")
-        j = j.select(*bk.columns, F.col("booked_from").alias("driver_booked_from"), *values)
-    elif plain:
-        j = bk.join(info, on_listing, "left").select(*bk.columns, F.col("booked_from").alias("driver_booked_from"), *values)
-    else:
-        known = bk.where(F.col("booking_id").isNotNull()) if core_first else bk
-        j = known.join(_partners(src, core_first), F.col("booking_id") == F.col("r_booking_id"), "left")
-        own = F.col("r_booking_id").isNull() & F.col("booking_id").isNotNull()
-        j = j.join(info, on_listing, "left").where(own | F.coalesce(F.col("core_n") == 1, F.lit(True)))
-        taken = [F.when(own, F.col("core_" + c)).otherwise(F.col("r_" + c)).alias("core_" + c) for c in LISTING_COLS]
-        driver = F.when(own, F.col("booked_from")).otherwise(F.col("r_booked_from")).alias("driver_booked_from")
-        j = j.select(*bk.columns, driver, *taken, *values[len(LISTING_COLS):])
-        if core_first:
-            lost = bk.where(F.col("booking_id").isNull()).select(
-                F.col("listing_id").alias("l_id"), F.col("booked_from").alias("driver_booked_from"))
-            lost = lost.join(core.drop("core_n"), F.col("l_id") == F.col("core_listing_id"), "left")
-            j = j.unionByName(lost.drop("l_id"), allowMissingColumns=True)
-    if contact == "landlord":
-        ll = src.landlords.select(F.col("landlord_id").alias("contact_id"), F.col("freshworks_email").alias("contact"))
-        return j.join(ll, F.col("landlord_id") == F.col("contact_id"), "left")
-    if contact == "tenant":
-        us = src.users.select(F.col("user_id").alias("contact_id"), F.col("email").alias("contact"))
-        return j.join(us, F.col("tenant_id") == F.col("contact_id"), "left")
-    raise ValueError(contact)
+        j = j.join(pets, (F.col("listing_id") == F.col("lr_listing_id")) & F.col("rfg_listing_id").isNotNull(), "left")
+        return _with_contact(src, j.select(*bk.columns, own_date, *values), contact)
+    people = ["contact_id", "contact"]
+    if plain:
+        return _with_contact(src, bk, contact).join(info, on_listing, "left").select(*bk.columns, own_date, *values, *people)
+    own = F.col("partner").isNull() & F.col("booking_id").isNotNull()
+    j = _with_partners(src, contact, core_first).join(info, on_listing, "left")
+    j = j.where(own | F.coalesce(F.col("core_n") == 1, F.lit(True)))
+    taken = [F.when(own, F.col("core_" + c)).otherwise(F.col("partner.r_" + c)).alias("core_" + c) for c in LISTING_COLS]
+    driver = F.when(own, F.col("booked_from")).otherwise(F.col("partner.r_booked_from")) if core_first else F.col("booked_from")
+    j = j.select(*bk.columns, driver.alias("driver_booked_from"), *taken, *values[len(LISTING_COLS):], *people)
+    if core_first:
+        lost = bk.where(F.col("booking_id").isNull()).select(
+            F.col("listing_id").alias("l_id"), F.col("booked_from").alias("driver_booked_from"))
+        lost = lost.join(core.drop("core_n"), F.col("l_id") == F.col("core_listing_id"), "left")
+        j = j.unionByName(lost.drop("l_id"), allowMissingColumns=True)
+    return j
 
 
 def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool = False) -> DataFrame:
     """The booking model with one value per listing attribute, all columns of ``enriched_bookings`` that do not depend
-    on the reporting date, and the date that the nights spent are counted from. This is what staging writes."""
+    on the reporting date, the date that the nights spent are counted from, and the pets answers of the listing as one
+    array (``pets``). This is what staging writes."""
     def pick(c: str):
         a, b = (F.col("core_" + c), F.col("rfg_" + c)) if core_first else (F.col("rfg_" + c), F.col("core_" + c))
         return F.coalesce(a, b)
 
-    return booking_model(src, contact, core_first).select(
+    return _packed_model(src, contact, core_first).select(
         F.col("booking_id"), F.col("contact").alias("email"), F.col("landlord_id"), F.col("tenant_id"),
         F.col("contact_id"), F.col("actual_booking_created_at").alias("created_at"),
         F.col("booked_from"), F.col("booked_to"), F.col("is_canceled"), F.col("listing_id"),
@@ -130,19 +176,14 @@ def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool =
         pick("accommodates").alias("accommodates"), pick("rooms").alias("rooms"), pick("area").alias("area"),
         pick("next_available_date").alias("next_available_date"),
         pick("created_at").alias("listing_created_at"), pick("has_requests").alias("has_requests"),
-        X.to_bool("lr_pets_allowed").alias("pets_allowed"),
-        F.col("lr_pets_allowed").alias("pets_allowed_raw"),
+        F.col("lr_pets").alias("pets"),
         F.col("number_of_tenants").alias("prd_number_of_tenants"),
     )
 
 
-def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
-    """J5a-J5f, J5i + J8 + D15-D17: every booking with listing attributes and a contact e-mail.
-
-    ``core_first=False``: program value, else core value (current form, D17).
-    ``core_first=True``: core value, else program value (first version, D17b).
-    Reads the staged model of the contact if there is one, else derives it (``picked_bookings``).
-    """
+def packed_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+    """``enriched_bookings`` with the pets answers of a row's listing still in one array, ``pets``.
+    Reads the staged model of the contact if there is one, else derives it (``picked_bookings``)."""
     j = src.booking_models.get((contact, core_first))
     if j is None:
         j = picked_bookings(src, contact, core_first)
@@ -150,6 +191,19 @@ def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_
     return j.select(*before, X.nights_spent_floored("spent_from", as_of).alias("nights_spent"), *after)
 
 
+def enriched_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+    """J5a-J5f, J5i + J8 + D15-D17: every booking with listing attributes and a contact e-mail, one row per
+    distinct pets answer of its listing.
+
+    ``core_first=False``: program value, else core value (current form, D17).
+    ``core_first=True``: core value, else program value (first version, D17b).
+    """
+    j = packed_bookings(src, as_of, contact, core_first)
+    at = j.columns.index("pets")
+    return exploded_pets(j, "pets", "pets_allowed_raw").select(
+        *j.columns[:at], X.to_bool("pets_allowed_raw").alias("pets_allowed"), "pets_allowed_raw", *j.columns[at + 1:])
+
+
 def listings_with_landlords(src: Sources) -> DataFrame:
     """J5e / J5r + J5d: program listings with the landlord e-mail and request pets pairs."""
     ll = src.landlords.select(F.col("landlord_id").alias("ll_landlord_id"), "freshworks_email")
@@ -197,7 +251,8 @@ def booking_contact_keys(src: Sources, contact: str = "landlord", core_first: bo
     else:
         dim = src.users.select(F.col("user_id").alias("c_id"), F.col("email").alias("k"))
         on = F.col("tenant_id") == F.col("c_id")
-    return bk.select("landlord_id", "tenant_id").join(dim, on, "left").select("k")
+    # every id once: few rows are left to join
+    return bk.select("landlord_id" if contact == "landlord" else "tenant_id").distinct().join(dim, on, "left").select("k")
 
 
 def listing_contact_keys(src: Sources) -> DataFrame:

@@ -151,3 +151,55 @@ def test_bucketed_listings_are_joined_without_an_exchange(spark, large_plans):
     finally:
         for name in ("bookings", "listings", "core_listings", "listing_requests"):
             spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_ids_that_cannot_repeat_are_not_searched(spark, large_plans):
+    for name in ("m1", "m2", "m8"):
+        plan = final_plan(M.MARTS[name](domain_sources(spark, SF), AS_OF))
+        assert not re.findall(r"Exchange hashpartitioning\(booking_id#", plan)
+        assert len(re.findall(r"Window \[row_number\(\) windowspecdefinition\(l_orderkey", plan)) <= 2  # the rows, and their reuse
+
+
+def test_pets_answers_are_shuffled_once_per_booking(spark, large_plans):
+    src = domain_sources(spark, SF)
+    mart = M.booking_mart(src, M.M1, AS_OF)
+    plan = final_plan(mart)
+    # the answers become rows above the union of the reconciliation's branches
+    assert plan.index("explode(prd__pets") < plan.index("Union")
+    assert mart.count() > src.bookings.count()
+
+
+def test_narrow_rules_read_no_listing_values(spark, large_plans):
+    mart = M.booking_mart(domain_sources(spark, SF), M.M1, AS_OF).select("source_flag", "pd_id", "prd_bookingid")
+    assert not [c for c in scans(final_plan(mart)) if c & {"p_retailprice", "p_size", "p_type"}]
+
+
+def test_ids_of_rows_without_order_or_line(spark):
+    """Ids made of fewer numbers may be those of other such rows: found, and joined as the source does."""
+    from recomart.sources import adapter
+    src = domain_sources(spark, SF)
+    few = spark.read.parquet(f"{SF}/lineitem.parquet").limit(40).where("l_linenumber < 4").select(
+        F.lit(3).cast("long").alias("l_orderkey"), F.lit(3).cast("int").alias("l_linenumber"), "l_partkey", "l_suppkey", "l_shipdate")
+    none = few.withColumn("l_orderkey", F.lit(None).cast("long"))
+    line = few.unionByName(none).unionByName(few.withColumn("l_linenumber", F.lit(None).cast("int"))).unionByName(
+        none.withColumn("l_linenumber", F.lit(None).cast("int")))
+    path = folder(spark)
+    line.write.parquet(path)
+    line = spark.read.parquet(path)
+    src.bookings = adapter.bookings(line)
+    parts = adapter.booking_parts(line)
+    assert src.booking_parts is None and rows(parts[0].unionByName(parts[1])) == rows(src.bookings)
+    ids = parts[0].select("booking_id")
+    assert ids.distinct().count() == ids.count() and ids.intersect(parts[1].select("booking_id")).count() == 0
+    src.booking_parts = parts
+    assert repeated_bookings(src).count() > 20
+    for contact, core_first in (("landlord", False), ("tenant", True)):
+        plain = plain_model(src, contact, core_first)
+        got = booking_model(src, contact, core_first)
+        names = [c for c in got.columns if c in plain.columns and c != "core_listing_id"]
+        assert rows(got.select(*names)) == rows(plain.select(*names))
