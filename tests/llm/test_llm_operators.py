@@ -546,6 +546,37 @@ def test_lm_stretches_keep_their_context():
     assert seen == len(text)
 
 
+def test_lm_trains_on_every_token(spark, monkeypatch):
+    path, seen, train = queries.vocab_path("byte_bpe_50k.tiktoken"), [], lm._train_on_spark
+    sub = lm.subwords(path, bpe.PATTERN)
+    rows = [(i, f"alpha beta gamma delta{i} " * (10 * i)) for i in range(1, 31)]
+
+    def spy(windows, vocab):
+        seen.append(windows.agg(F.sum("tokens")).first()[0])
+        return train(windows, vocab)
+
+    monkeypatch.setattr(lm, "START_TOKENS", 1 << 10)
+    monkeypatch.setattr(lm, "TASK_TOKENS", 1 << 10)
+    monkeypatch.setattr(lm, "_train_on_spark", spy)
+    assert lm.score(docs_of(spark, rows), F.col("doc_id") == 3, path, bpe.PATTERN).count() == 30
+    total = 0
+    for i, t in rows:
+        words = lm.words_of(t.encode())
+        sub.learn(words)
+        total += len(sub.ids(words)) * (i != 3)
+    assert total > 10 * lm.START_TOKENS and seen == [total]
+
+
+def test_lm_packed_stretches_are_the_same_blocks():
+    for end in (7, 100_000):
+        text = np.append(np.arange(1000, 1000 + 3 * lm.BLOCK * lm.STRETCH + 5), end)
+        packed = list(lm.packed_stretches(text, -3, 1, end))
+        got = lm._windows([x for _, _, x in packed], [k for k, _, _ in packed], end)
+        want = [np.concatenate(x) for x in zip(*lm.stretches(text, -3, 1, end))]
+        assert all(np.array_equal(a, b) for a, b in zip(got, want))
+        assert [n for _, n, _ in packed] == [int(w.sum()) for _, _, w, _ in lm.stretches(text, -3, 1, end)]
+
+
 # -- 6 exact top-k ------------------------------------------------------------------
 
 
