@@ -57,9 +57,26 @@ def _partners(src: Sources, core_first: bool) -> DataFrame:
     return ids.join(found, "r_booking_id", "left")
 
 
-def _with_partners(src: Sources, contact: str, core_first: bool) -> DataFrame:
-    """Bookings with their contact and ``partner``: a struct of the row that the self-join finds for a repeated id, else
-    NULL. Rows whose ids are known to occur once are not joined for it."""
+def contacts(src: Sources, contact: str) -> DataFrame:
+    """contact_id and contact: id and e-mail of every landlord or user."""
+    if contact == "landlord":
+        return src.landlords.select(F.col("landlord_id").alias("contact_id"), F.col("freshworks_email").alias("contact"))
+    if contact == "tenant":
+        return src.users.select(F.col("user_id").alias("contact_id"), F.col("email").alias("contact"))
+    raise ValueError(contact)
+
+
+def booked_contacts(src: Sources, contact: str, core_first: bool = False) -> DataFrame:
+    """The rows of ``contacts`` that some booking refers to. The first version (``core_first``) does not find bookings
+    without an id."""
+    bk = src.bookings.where(F.col("booking_id").isNotNull()) if core_first else src.bookings
+    ids = bk.select(F.col(f"{contact}_id").alias("b_id")).distinct()
+    return contacts(src, contact).join(ids, F.col("contact_id") == F.col("b_id"), "left_semi")
+
+
+def _with_partners(src: Sources, contact: str, core_first: bool, people: DataFrame) -> DataFrame:
+    """Bookings with the rows of ``people`` and ``partner``: a struct of the row that the self-join finds for a repeated id,
+    else NULL. Rows whose ids are known to occur once are not joined for it."""
     found = _partners(src, core_first)
     values = [c for c in found.columns if c != "r_booking_id"]
     found = found.select("r_booking_id", F.struct(*values).alias("partner"))
@@ -69,21 +86,15 @@ def _with_partners(src: Sources, contact: str, core_first: bool) -> DataFrame:
         return j.where(F.col("booking_id").isNotNull()) if core_first else j
 
     if src.booking_parts is None:
-        return _with_contact(src, joined(src.bookings), contact)
+        return _with_people(joined(src.bookings), contact, people)
     once, others = src.booking_parts
-    return _with_contact(src, once.withColumn("partner", F.lit(None).cast(found.schema["partner"].dataType))
-                         .unionByName(joined(others)), contact)
+    return _with_people(once.withColumn("partner", F.lit(None).cast(found.schema["partner"].dataType))
+                        .unionByName(joined(others)), contact, people)
 
 
-def _with_contact(src: Sources, bookings: DataFrame, contact: str) -> DataFrame:
-    """``bookings`` with contact_id and contact: the id and e-mail of the landlord or user that is found."""
-    if contact == "landlord":
-        ll = src.landlords.select(F.col("landlord_id").alias("contact_id"), F.col("freshworks_email").alias("contact"))
-        return bookings.join(ll, F.col("landlord_id") == F.col("contact_id"), "left")
-    if contact == "tenant":
-        us = src.users.select(F.col("user_id").alias("contact_id"), F.col("email").alias("contact"))
-        return bookings.join(us, F.col("tenant_id") == F.col("contact_id"), "left")
-    raise ValueError(contact)
+def _with_people(bookings: DataFrame, contact: str, people: DataFrame) -> DataFrame:
+    """``bookings`` with every row of ``people`` whose contact_id is the booking's landlord or tenant."""
+    return bookings.join(people, F.col(f"{contact}_id") == F.col("contact_id"), "left")
 
 
 def _pets_of_listings(src: Sources) -> DataFrame:
@@ -114,8 +125,10 @@ def booking_model(src: Sources, contact: str = "landlord", core_first: bool = Fa
     return exploded_pets(_packed_model(src, contact, core_first), "lr_pets", "lr_pets_allowed")
 
 
-def _packed_model(src: Sources, contact: str, core_first: bool) -> DataFrame:
-    """``booking_model`` with the pets answers of a row's listing as one array, ``lr_pets``."""
+def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFrame | None = None) -> DataFrame:
+    """``booking_model`` with the pets answers of a row's listing as one array, ``lr_pets``. ``people``: rows to join by
+    contact_id in place of ``contacts``; all their columns are kept."""
+    people = contacts(src, contact) if people is None else people
     bk, plain = src.bookings, src.booking_id_is_key
     core = _prefixed(src.core_listings, "core_", LISTING_COLS)
     rfg = _prefixed(src.listings, "rfg_", LISTING_COLS)
@@ -136,16 +149,18 @@ def _packed_model(src: Sources, contact: str, core_first: bool) -> DataFrame:
         j = bk.join(core, F.col("listing_id") == F.col("core_listing_id"), "left")
         j = j.join(rfg, F.col("listing_id") == F.col("rfg_listing_id"), "left")
         j = j.join(pets, (F.col("listing_id") == F.col("lr_listing_id")) & F.col("rfg_listing_id").isNotNull(), "left")
-        return _with_contact(src, j.select(*bk.columns, own_date, *values), contact)
-    people = ["contact_id", "contact"]
+        return _with_people(j.select(*bk.columns, own_date, *values), contact, people)
+    # one wide row per listing: looked up in a hash table, so the bookings are not sorted
+    info = info.hint("shuffle_hash")
     if plain:
-        return _with_contact(src, bk, contact).join(info, on_listing, "left").select(*bk.columns, own_date, *values, *people)
+        return (_with_people(bk, contact, people).join(info, on_listing, "left")
+                .select(*bk.columns, own_date, *values, *people.columns))
     own = F.col("partner").isNull() & F.col("booking_id").isNotNull()
-    j = _with_partners(src, contact, core_first).join(info, on_listing, "left")
+    j = _with_partners(src, contact, core_first, people).join(info, on_listing, "left")
     j = j.where(own | F.coalesce(F.col("core_n") == 1, F.lit(True)))
     taken = [F.when(own, F.col("core_" + c)).otherwise(F.col("partner.r_" + c)).alias("core_" + c) for c in LISTING_COLS]
     driver = F.when(own, F.col("booked_from")).otherwise(F.col("partner.r_booked_from")) if core_first else F.col("booked_from")
-    j = j.select(*bk.columns, driver.alias("driver_booked_from"), *taken, *values[len(LISTING_COLS):], *people)
+    j = j.select(*bk.columns, driver.alias("driver_booked_from"), *taken, *values[len(LISTING_COLS):], *people.columns)
     if core_first:
         lost = bk.where(F.col("booking_id").isNull()).select(
             F.col("listing_id").alias("l_id"), F.col("booked_from").alias("driver_booked_from"))
@@ -154,15 +169,18 @@ def _packed_model(src: Sources, contact: str, core_first: bool) -> DataFrame:
     return j
 
 
-def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool = False,
+                    people: DataFrame | None = None) -> DataFrame:
     """The booking model with one value per listing attribute, all columns of ``enriched_bookings`` that do not depend
     on the reporting date, the date that the nights spent are counted from, and the pets answers of the listing as one
-    array (``pets``). This is what staging writes."""
+    array (``pets``). This is what staging writes. Columns that ``people`` has besides contact_id and contact follow."""
+    more = [] if people is None else [c for c in people.columns if c not in ("contact_id", "contact")]
+
     def pick(c: str):
         a, b = (F.col("core_" + c), F.col("rfg_" + c)) if core_first else (F.col("rfg_" + c), F.col("core_" + c))
         return F.coalesce(a, b)
 
-    return _packed_model(src, contact, core_first).select(
+    return _packed_model(src, contact, core_first, people).select(
         F.col("booking_id"), F.col("contact").alias("email"), F.col("landlord_id"), F.col("tenant_id"),
         F.col("contact_id"), F.col("actual_booking_created_at").alias("created_at"),
         F.col("booked_from"), F.col("booked_to"), F.col("is_canceled"), F.col("listing_id"),
@@ -177,16 +195,17 @@ def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool =
         pick("next_available_date").alias("next_available_date"),
         pick("created_at").alias("listing_created_at"), pick("has_requests").alias("has_requests"),
         F.col("lr_pets").alias("pets"),
-        F.col("number_of_tenants").alias("prd_number_of_tenants"),
+        F.col("number_of_tenants").alias("prd_number_of_tenants"), *more,
     )
 
 
-def packed_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False) -> DataFrame:
+def packed_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False,
+                    people: DataFrame | None = None) -> DataFrame:
     """``enriched_bookings`` with the pets answers of a row's listing still in one array, ``pets``.
-    Reads the staged model of the contact if there is one, else derives it (``picked_bookings``)."""
-    j = src.booking_models.get((contact, core_first))
+    Reads the staged model of the contact if there is one, else (or to join ``people``) derives it (``picked_bookings``)."""
+    j = None if people is not None else src.booking_models.get((contact, core_first))
     if j is None:
-        j = picked_bookings(src, contact, core_first)
+        j = picked_bookings(src, contact, core_first, people)
     before, after = j.columns[:j.columns.index("spent_from")], j.columns[j.columns.index("spent_from") + 1:]
     return j.select(*before, X.nights_spent_floored("spent_from", as_of).alias("nights_spent"), *after)
 
@@ -244,15 +263,7 @@ def booking_contact_keys(src: Sources, contact: str = "landlord", core_first: bo
     model = src.booking_models.get((contact, core_first))
     if model is not None:
         return model.select(F.col("email").alias("k"))
-    bk = src.bookings.where(F.col("booking_id").isNotNull()) if core_first else src.bookings
-    if contact == "landlord":
-        dim = src.landlords.select(F.col("landlord_id").alias("c_id"), F.col("freshworks_email").alias("k"))
-        on = F.col("landlord_id") == F.col("c_id")
-    else:
-        dim = src.users.select(F.col("user_id").alias("c_id"), F.col("email").alias("k"))
-        on = F.col("tenant_id") == F.col("c_id")
-    # every id once: few rows are left to join
-    return bk.select("landlord_id" if contact == "landlord" else "tenant_id").distinct().join(dim, on, "left").select("k")
+    return booked_contacts(src, contact, core_first).select(F.col("contact").alias("k"))
 
 
 def listing_contact_keys(src: Sources) -> DataFrame:

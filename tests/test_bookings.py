@@ -203,3 +203,29 @@ def test_ids_of_rows_without_order_or_line(spark):
         got = booking_model(src, contact, core_first)
         names = [c for c in got.columns if c in plain.columns and c != "core_listing_id"]
         assert rows(got.select(*names)) == rows(plain.select(*names))
+
+
+def test_bookings_are_not_dealt_by_email(spark, large_plans):
+    """The e-mails are reconciled on the contacts; bookings go to their contact and their listing, unsorted for both."""
+    src = domain_sources(spark, SF)
+    for name in BOOKING_MARTS:
+        final = final_plan(M.MARTS[name](src, AS_OF))
+        assert not re.findall(r"Exchange hashpartitioning\(__rk_key#[^\n]*\n[^\n]*booking_id#", final)
+        joins = [x for x in re.findall(r"(\w+Join) \[(\w+)#[^\]]*\], \[(\w+)#", final)
+                 if x[2] in ("contact_id", "info_listing_id") and x[1] != "contact_id"]
+        assert len(joins) == 2 and {x[0] for x in joins} == {"ShuffledHashJoin"}, joins
+
+
+def test_repeated_and_unbooked_contacts(spark):
+    """Contacts that occur twice, have no id, no booking or a shared e-mail: as the staged models' full join gives them."""
+    src = domain_sources(spark, SF)
+    for name, key, email in (("landlords", "landlord_id", "freshworks_email"), ("users", "user_id", "email")):
+        df = getattr(src, name)
+        ids = F.crc32(key)
+        more = (df.where(ids % 3 == 0).unionByName(df.where(ids % 5 == 0).withColumn(key, F.lit(None).cast("string")))
+                .unionByName(df.where(ids % 4 == 0).withColumn(key, F.concat(F.lit("unbooked"), key))))
+        shared = F.when(F.crc32(key) % 7 == 0, F.lit("user2@mail.example")).otherwise(F.col(email))
+        setattr(src, name, df.unionByName(more).withColumn(email, shared))
+    staged = stage(src, folder(spark))
+    for name in ("m1", "m2", "m8d"):
+        assert rows(M.MARTS[name](src, AS_OF)) == rows(M.MARTS[name](staged, AS_OF))
