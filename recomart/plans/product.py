@@ -125,9 +125,11 @@ def booking_model(src: Sources, contact: str = "landlord", core_first: bool = Fa
     return exploded_pets(_packed_model(src, contact, core_first), "lr_pets", "lr_pets_allowed")
 
 
-def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFrame | None = None) -> DataFrame:
+def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFrame | None = None,
+                  alone: DataFrame | None = None) -> DataFrame:
     """``booking_model`` with the pets answers of a row's listing as one array, ``lr_pets``. ``people``: rows to join by
-    contact_id in place of ``contacts``; all their columns are kept."""
+    contact_id in place of ``contacts``; all their columns are kept. ``alone``: rows with columns of ``people`` that belong to
+    no booking, and ``spread``, by which they are dealt; they are put to the bookings before the listings are joined."""
     people = contacts(src, contact) if people is None else people
     bk, plain = src.bookings, src.booking_id_is_key
     core = _prefixed(src.core_listings, "core_", LISTING_COLS)
@@ -150,13 +152,24 @@ def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFram
         j = j.join(rfg, F.col("listing_id") == F.col("rfg_listing_id"), "left")
         j = j.join(pets, (F.col("listing_id") == F.col("lr_listing_id")) & F.col("rfg_listing_id").isNotNull(), "left")
         return _with_people(j.select(*bk.columns, own_date, *values), contact, people)
+    if alone is not None:
+        on_listing = F.col("has_listing") & (F.col("listing_key") == F.col("info_listing_id"))
     # one wide row per listing: looked up in a hash table, so the bookings are not sorted
     info = info.hint("shuffle_hash")
+
+    def listed(rows: DataFrame) -> DataFrame:
+        if alone is not None:
+            # rows without a listing are many then: a hash of the row in place of the key deals them evenly
+            rows = rows.unionByName(alone, allowMissingColumns=True)
+            other = F.xxhash64("booking_id", "spread").cast("string")
+            rows = rows.withColumns({"listing_key": F.coalesce("listing_id", other),
+                                     "has_listing": F.col("listing_id").isNotNull()})
+        return rows.join(info, on_listing, "left")
+
     if plain:
-        return (_with_people(bk, contact, people).join(info, on_listing, "left")
-                .select(*bk.columns, own_date, *values, *people.columns))
+        return listed(_with_people(bk, contact, people)).select(*bk.columns, own_date, *values, *people.columns)
     own = F.col("partner").isNull() & F.col("booking_id").isNotNull()
-    j = _with_partners(src, contact, core_first, people).join(info, on_listing, "left")
+    j = listed(_with_partners(src, contact, core_first, people))
     j = j.where(own | F.coalesce(F.col("core_n") == 1, F.lit(True)))
     taken = [F.when(own, F.col("core_" + c)).otherwise(F.col("partner.r_" + c)).alias("core_" + c) for c in LISTING_COLS]
     driver = F.when(own, F.col("booked_from")).otherwise(F.col("partner.r_booked_from")) if core_first else F.col("booked_from")
@@ -170,17 +183,18 @@ def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFram
 
 
 def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool = False,
-                    people: DataFrame | None = None) -> DataFrame:
+                    people: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
     """The booking model with one value per listing attribute, all columns of ``enriched_bookings`` that do not depend
     on the reporting date, the date that the nights spent are counted from, and the pets answers of the listing as one
-    array (``pets``). This is what staging writes. Columns that ``people`` has besides contact_id and contact follow."""
+    array (``pets``). This is what staging writes. Columns that ``people`` has besides contact_id and contact follow;
+    ``alone``: see ``_packed_model``."""
     more = [] if people is None else [c for c in people.columns if c not in ("contact_id", "contact")]
 
     def pick(c: str):
         a, b = (F.col("core_" + c), F.col("rfg_" + c)) if core_first else (F.col("rfg_" + c), F.col("core_" + c))
         return F.coalesce(a, b)
 
-    return _packed_model(src, contact, core_first, people).select(
+    return _packed_model(src, contact, core_first, people, alone).select(
         F.col("booking_id"), F.col("contact").alias("email"), F.col("landlord_id"), F.col("tenant_id"),
         F.col("contact_id"), F.col("actual_booking_created_at").alias("created_at"),
         F.col("booked_from"), F.col("booked_to"), F.col("is_canceled"), F.col("listing_id"),
@@ -200,12 +214,12 @@ def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool =
 
 
 def packed_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False,
-                    people: DataFrame | None = None) -> DataFrame:
+                    people: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
     """``enriched_bookings`` with the pets answers of a row's listing still in one array, ``pets``.
     Reads the staged model of the contact if there is one, else (or to join ``people``) derives it (``picked_bookings``)."""
     j = None if people is not None else src.booking_models.get((contact, core_first))
     if j is None:
-        j = picked_bookings(src, contact, core_first, people)
+        j = picked_bookings(src, contact, core_first, people, alone)
     before, after = j.columns[:j.columns.index("spent_from")], j.columns[j.columns.index("spent_from") + 1:]
     return j.select(*before, X.nights_spent_floored("spent_from", as_of).alias("nights_spent"), *after)
 

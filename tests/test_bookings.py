@@ -229,3 +229,30 @@ def test_repeated_and_unbooked_contacts(spark):
     staged = stage(src, folder(spark))
     for name in ("m1", "m2", "m8d"):
         assert rows(M.MARTS[name](src, AS_OF)) == rows(M.MARTS[name](staged, AS_OF))
+
+
+def test_rules_follow_the_listings_without_a_union(spark, large_plans):
+    """Deals without a booking are put to the bookings before the listings are joined, and deals travel as one struct."""
+    for name in ("m1", "m8", "m8d"):
+        plan = M.MARTS[name](domain_sources(spark, SF), AS_OF)._jdf.queryExecution().executedPlan().toString()
+        top, below = plan[plan.index("explode(prd__pets"):].split("ShuffledHashJoin [listing_key", 1)
+        assert "Union" not in top
+        dealt = re.search(r"Exchange hashpartitioning\(listing_key#[^\n]*\n[^\n]*Union", below)
+        assert dealt and "pd__city" not in re.search(r"Project \[[^\n]*contact#[^\n]*deal#[^\n]*", below)[0]
+
+
+def test_bookings_without_listing_beside_deals_without_booking(spark):
+    src = domain_sources(spark, SF)
+    path = folder(spark)
+    src.bookings.withColumn("listing_id", F.when(F.crc32("booking_id") % 3 > 0, F.col("listing_id"))).write.parquet(path)
+    src.bookings = spark.read.parquet(path)
+    got, staged = M.MARTS["m8"](src, AS_OF), M.MARTS["m8"](stage(src, folder(spark)), AS_OF)
+    assert rows(got) == rows(staged)
+    assert {r[0] for r in got.select("source_flag").distinct().collect()} == {
+        r[0] for r in staged.select("source_flag").distinct().collect()} and got.where("prd_bookingid is null").count() > 50
+
+
+def test_few_columns_have_the_rows_of_the_whole_mart(spark):
+    src = domain_sources(spark, SF)
+    for name, plan in M.FEW_COLUMNS.items():
+        assert rows(plan(src, AS_OF)) == rows(M.MARTS[name](src, AS_OF))
