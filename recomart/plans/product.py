@@ -74,9 +74,9 @@ def booked_contacts(src: Sources, contact: str, core_first: bool = False) -> Dat
     return contacts(src, contact).join(ids, F.col("contact_id") == F.col("b_id"), "left_semi")
 
 
-def _with_partners(src: Sources, contact: str, core_first: bool, people: DataFrame) -> DataFrame:
-    """Bookings with the rows of ``people`` and ``partner``: a struct of the row that the self-join finds for a repeated id,
-    else NULL. Rows whose ids are known to occur once are not joined for it."""
+def _with_partners(src: Sources, core_first: bool) -> DataFrame:
+    """Bookings with ``partner``: a struct of the row that the self-join finds for a repeated id, else NULL. Rows whose
+    ids are known to occur once are not joined for it."""
     found = _partners(src, core_first)
     values = [c for c in found.columns if c != "r_booking_id"]
     found = found.select("r_booking_id", F.struct(*values).alias("partner"))
@@ -86,10 +86,9 @@ def _with_partners(src: Sources, contact: str, core_first: bool, people: DataFra
         return j.where(F.col("booking_id").isNotNull()) if core_first else j
 
     if src.booking_parts is None:
-        return _with_people(joined(src.bookings), contact, people)
+        return joined(src.bookings)
     once, others = src.booking_parts
-    return _with_people(once.withColumn("partner", F.lit(None).cast(found.schema["partner"].dataType))
-                        .unionByName(joined(others)), contact, people)
+    return once.withColumn("partner", F.lit(None).cast(found.schema["partner"].dataType)).unionByName(joined(others))
 
 
 def _with_people(bookings: DataFrame, contact: str, people: DataFrame) -> DataFrame:
@@ -97,9 +96,11 @@ def _with_people(bookings: DataFrame, contact: str, people: DataFrame) -> DataFr
     return bookings.join(people, F.col(f"{contact}_id") == F.col("contact_id"), "left")
 
 
-def _pets_of_listings(src: Sources) -> DataFrame:
-    """lr_listing_id and lr_pets: the distinct pets_allowed answers of a listing's requests, NULL among them."""
+def _pets_of_listings(src: Sources, answers: bool = True) -> DataFrame:
+    """lr_listing_id and lr_pets: the distinct pets_allowed answers of a listing's requests, NULL among them, or how many."""
     pairs = distinct_pairs(src.listing_requests, "listing_id", "pets_allowed")
+    if not answers:
+        return pairs.groupBy(F.col("listing_id").alias("lr_listing_id")).agg(F.count("*").cast("int").alias("lr_pets"))
     # a list leaves NULLs out, but not structs of NULL
     answers = pairs.groupBy("listing_id").agg(F.collect_list(F.struct("pets_allowed")).alias("answers"))
     return answers.select(F.col("listing_id").alias("lr_listing_id"), F.col("answers.pets_allowed").alias("lr_pets"))
@@ -111,6 +112,13 @@ def exploded_pets(df: DataFrame, pets: str, out: str) -> DataFrame:
     return df.select(*kept, F.explode_outer(pets).alias(out))
 
 
+def repeated_rows(df: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its column ``times`` says (NULL: once), without that column."""
+    kept = [c for c in df.columns if c != times]
+    often = F.array_repeat(F.lit(True), F.coalesce(times, F.lit(1)))
+    return df.select(*kept, F.explode(often).alias(times)).select(*kept)
+
+
 def booking_model(src: Sources, contact: str = "landlord", core_first: bool = False) -> DataFrame:
     """Bookings with the values of both catalogues (core_*, rfg_*), request pairs (lr_*) and a contact.
 
@@ -122,19 +130,25 @@ def booking_model(src: Sources, contact: str = "landlord", core_first: bool = Fa
     the plan is the plain one. ``driver_booked_from`` is the date of the row that the first version
     drives from. ``contact_id`` is the id of the landlord or user that was found.
     """
-    return exploded_pets(_packed_model(src, contact, core_first), "lr_pets", "lr_pets_allowed")
+    return exploded_pets(_packed_model(src, contact, core_first, contacts(src, contact)), "lr_pets", "lr_pets_allowed")
 
 
-def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFrame | None = None,
-                  alone: DataFrame | None = None) -> DataFrame:
-    """``booking_model`` with the pets answers of a row's listing as one array, ``lr_pets``. ``people``: rows to join by
-    contact_id in place of ``contacts``; all their columns are kept. ``alone``: rows with columns of ``people`` that belong to
-    no booking, and ``spread``, by which they are dealt; they are put to the bookings before the listings are joined."""
-    people = contacts(src, contact) if people is None else people
+def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFrame | None,
+                  alone: DataFrame | None = None, answers: bool = True) -> DataFrame:
+    """``booking_model`` with the pets answers of a row's listing as one array, ``lr_pets``, or their number (NULL: it has
+    no answers) for a caller who does not read the ``answers``. ``people``: rows to join by
+    contact_id, ``contacts`` or more; all their columns are kept. None: left to the caller. ``alone``: rows with columns of
+    ``people`` that belong to no booking, and ``spread``, by which they are dealt; they are put to the bookings before the
+    listings are joined."""
+    found = [] if people is None else people.columns
+
+    def known(rows: DataFrame) -> DataFrame:
+        return rows if people is None else _with_people(rows, contact, people)
+
     bk, plain = src.bookings, src.booking_id_is_key
     core = _prefixed(src.core_listings, "core_", LISTING_COLS)
     rfg = _prefixed(src.listings, "rfg_", LISTING_COLS)
-    pets = _pets_of_listings(src)
+    pets = _pets_of_listings(src, answers)
     if not plain:
         # of several core rows of one listing, rows that do not take their own core values keep one
         order = Window.partitionBy("core_listing_id").orderBy(F.lit(1))
@@ -151,7 +165,7 @@ def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFram
         j = bk.join(core, F.col("listing_id") == F.col("core_listing_id"), "left")
         j = j.join(rfg, F.col("listing_id") == F.col("rfg_listing_id"), "left")
         j = j.join(pets, (F.col("listing_id") == F.col("lr_listing_id")) & F.col("rfg_listing_id").isNotNull(), "left")
-        return _with_people(j.select(*bk.columns, own_date, *values), contact, people)
+        return known(j.select(*bk.columns, own_date, *values))
     if alone is not None:
         on_listing = F.col("has_listing") & (F.col("listing_key") == F.col("info_listing_id"))
     # one wide row per listing: looked up in a hash table, so the bookings are not sorted
@@ -167,13 +181,13 @@ def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFram
         return rows.join(info, on_listing, "left")
 
     if plain:
-        return listed(_with_people(bk, contact, people)).select(*bk.columns, own_date, *values, *people.columns)
+        return listed(known(bk)).select(*bk.columns, own_date, *values, *found)
     own = F.col("partner").isNull() & F.col("booking_id").isNotNull()
-    j = listed(_with_partners(src, contact, core_first, people))
+    j = listed(known(_with_partners(src, core_first)))
     j = j.where(own | F.coalesce(F.col("core_n") == 1, F.lit(True)))
     taken = [F.when(own, F.col("core_" + c)).otherwise(F.col("partner.r_" + c)).alias("core_" + c) for c in LISTING_COLS]
     driver = F.when(own, F.col("booked_from")).otherwise(F.col("partner.r_booked_from")) if core_first else F.col("booked_from")
-    j = j.select(*bk.columns, driver.alias("driver_booked_from"), *taken, *values[len(LISTING_COLS):], *people.columns)
+    j = j.select(*bk.columns, driver.alias("driver_booked_from"), *taken, *values[len(LISTING_COLS):], *found)
     if core_first:
         lost = bk.where(F.col("booking_id").isNull()).select(
             F.col("listing_id").alias("l_id"), F.col("booked_from").alias("driver_booked_from"))
@@ -183,20 +197,23 @@ def _packed_model(src: Sources, contact: str, core_first: bool, people: DataFram
 
 
 def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool = False,
-                    people: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
+                    people: DataFrame | None = None, alone: DataFrame | None = None, few: bool = False,
+                    answers: bool = True) -> DataFrame:
     """The booking model with one value per listing attribute, all columns of ``enriched_bookings`` that do not depend
     on the reporting date, the date that the nights spent are counted from, and the pets answers of the listing as one
     array (``pets``). This is what staging writes. Columns that ``people`` has besides contact_id and contact follow;
-    ``alone``: see ``_packed_model``."""
-    more = [] if people is None else [c for c in people.columns if c not in ("contact_id", "contact")]
+    ``alone``: see ``_packed_model``. ``few``: the same rows for a caller of few listing values; ``people`` are joined
+    after the listings, so that neither what they hold nor the rows they multiply are shuffled with the bookings.
+    ``answers=False``: for a caller who reads no pets answer; ``pets`` is their number, NULL if there are none."""
+    people = contacts(src, contact) if people is None else people
+    more = [c for c in people.columns if c not in ("contact_id", "contact")]
 
     def pick(c: str):
         a, b = (F.col("core_" + c), F.col("rfg_" + c)) if core_first else (F.col("rfg_" + c), F.col("core_" + c))
         return F.coalesce(a, b)
 
-    return _packed_model(src, contact, core_first, people, alone).select(
-        F.col("booking_id"), F.col("contact").alias("email"), F.col("landlord_id"), F.col("tenant_id"),
-        F.col("contact_id"), F.col("actual_booking_created_at").alias("created_at"),
+    model = [
+        F.col("booking_id"), F.col("landlord_id"), F.col("tenant_id"), F.col("actual_booking_created_at").alias("created_at"),
         F.col("booked_from"), F.col("booked_to"), F.col("is_canceled"), F.col("listing_id"),
         pick("is_online").alias("is_online"), pick("is_bookable").alias("is_bookable"),
         pick("is_published").alias("is_published"), pick("is_deleted").alias("is_deleted"),
@@ -209,17 +226,24 @@ def picked_bookings(src: Sources, contact: str = "landlord", core_first: bool =
         pick("next_available_date").alias("next_available_date"),
         pick("created_at").alias("listing_created_at"), pick("has_requests").alias("has_requests"),
         F.col("lr_pets").alias("pets"),
-        F.col("number_of_tenants").alias("prd_number_of_tenants"), *more,
-    )
+        F.col("number_of_tenants").alias("prd_number_of_tenants"),
+    ]
+    if few:
+        j = _with_people(_packed_model(src, contact, core_first, None, answers=answers).select(*model), contact, people)
+    else:
+        j = _packed_model(src, contact, core_first, people, alone, answers).select(*model, *people.columns)
+    names = j.columns[:len(model)]
+    return j.select("booking_id", F.col("contact").alias("email"), "landlord_id", "tenant_id", "contact_id", *names[3:], *more)
 
 
 def packed_bookings(src: Sources, as_of=None, contact: str = "landlord", core_first: bool = False,
-                    people: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
-    """``enriched_bookings`` with the pets answers of a row's listing still in one array, ``pets``.
+                    people: DataFrame | None = None, alone: DataFrame | None = None, few: bool = False,
+                    answers: bool = True) -> DataFrame:
+    """``enriched_bookings`` with the pets answers of a row's listing still in one array, ``pets`` (or their number: ``answers``).
     Reads the staged model of the contact if there is one, else (or to join ``people``) derives it (``picked_bookings``)."""
     j = None if people is not None else src.booking_models.get((contact, core_first))
     if j is None:
-        j = picked_bookings(src, contact, core_first, people, alone)
+        j = picked_bookings(src, contact, core_first, people, alone, few, answers)
     before, after = j.columns[:j.columns.index("spent_from")], j.columns[j.columns.index("spent_from") + 1:]
     return j.select(*before, X.nights_spent_floored("spent_from", as_of).alias("nights_spent"), *after)
 

@@ -256,3 +256,40 @@ def test_few_columns_have_the_rows_of_the_whole_mart(spark):
     src = domain_sources(spark, SF)
     for name, plan in M.FEW_COLUMNS.items():
         assert rows(plan(src, AS_OF)) == rows(M.MARTS[name](src, AS_OF))
+
+
+def test_few_columns_deal_each_booking_once_for_its_contact(spark, large_plans):
+    """Listings first: neither a contact's e-mail nor the rows of its deals are shuffled with the bookings, nor are pets answers
+    that nobody reads."""
+    src = domain_sources(spark, SF)
+    for name, cols in (("m1", ["pd_id", "prd_bookingid", "rooms"]), ("m2", ["pd_id", "prd_bookingid", "distinct_ids"]),
+                       ("m8d", ["pd_id", "prd_bookingid", "pd_te_rent_duration_raw"])):
+        plan = M.FEW_COLUMNS[name](src, AS_OF, cols).select(*cols)._jdf.queryExecution().executedPlan().toString()
+        contact, listing = plan.index("ShuffledHashJoin [landlord_id" if name != "m8d" else "ShuffledHashJoin [tenant_id"), plan.index(
+            "ShuffledHashJoin [listing_id")
+        assert contact < listing                                  # the plan's last join is its first line
+        assert "collect_list" not in plan and "explode(prd__pets" not in plan
+
+
+def test_few_columns_of_odd_bookings(spark, repeated):
+    """Repeated and NULL ids, listings that occur twice, no listing, shared and repeated contacts, no, NULL and several answers."""
+    path = folder(spark)
+    repeated.bookings.withColumn("listing_id", F.when(F.crc32("listing_id") % 5 > 0, F.col("listing_id"))).write.parquet(path)
+    src = domain_sources(spark, SF)
+    src.bookings = spark.read.parquet(path)
+    src.core_listings, src.listings = repeated.core_listings, repeated.listings
+    for name, key, email in (("landlords", "landlord_id", "freshworks_email"), ("users", "user_id", "email")):
+        df = getattr(src, name)
+        again = df.where(F.crc32(key) % 3 == 0)
+        setattr(src, name, df.unionByName(again).withColumn(
+            email, F.when(F.crc32(key) % 7 == 0, F.lit("user2@mail.example")).otherwise(F.col(email))))
+    answers = src.listing_requests.groupBy("listing_id").agg(F.countDistinct("pets_allowed").alias("n"),
+                                                             F.count_if(F.col("pets_allowed").isNull()).alias("none"))
+    assert answers.where("n > 1").count() and answers.where("none > 0").count()
+    for name, cols in (("m1", ["pd_id", "prd_bookingid", "rooms", "email"]),
+                       ("m2", ["pd_id", "prd_bookingid", "distinct_ids", "city", "nights_spent"]),
+                       ("m8", ["pd_id", "prd_bookingid", "number_of_tenants"]),
+                       ("m8d", ["pd_id", "prd_bookingid", "max_rent_duration_categorical", "pets_allowed"])):
+        few = M.FEW_COLUMNS[name](src, AS_OF, cols)
+        assert ("pets_allowed" in few.columns) == ("pets_allowed" in cols)
+        assert rows(few.select(*cols)) == rows(M.MARTS[name](src, AS_OF).select(*cols))
